@@ -137,9 +137,10 @@ def series_ids(spark: SparkSession, folder: str) -> DataFrame:
 # --- filters -----------------------------------------------------------------------------------
 
 
-@query("SELECT * FROM nation WHERE n_name != 'NATION_1' AND n_name != 'NATION_2'")
+@query("SELECT * FROM customer WHERE c_mktsegment != 'BUILDING' AND c_mktsegment != 'MACHINERY'")
 def exclude_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return relate.exclude_keys(table(spark, folder, "nation"), "n_name", ["NATION_1", "NATION_2"])
+    customers = table(spark, folder, "customer")
+    return relate.exclude_keys(customers, "c_mktsegment", ["BUILDING", "MACHINERY"])
 
 
 @query(
@@ -227,7 +228,7 @@ def union_users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def price_series(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Series (orders), areas (customers) and items (nations), with ids equal to their keys.
+    """Series (orders), areas (customers) and items (priorities), with ids equal to their keys.
 
     Some areas are missing.
     """
