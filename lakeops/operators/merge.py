@@ -65,14 +65,17 @@ def soft_deletes(
     return missing_in(active(target, flag), source, keys).withColumn(flag, F.lit(True))
 
 
-def _joined(target: DataFrame, source: DataFrame, keys: Sequence[str], whole_target: bool) -> DataFrame:
+def _joined(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], whole_target: bool, check_keys: bool
+) -> DataFrame:
     t = target.select(*keys, F.struct(*target.columns).alias("t"))
-    s = unique_keys(source, keys).select(*keys, F.struct(*source.columns).alias("s"))
+    checked = unique_keys(source, keys) if check_keys else source
+    s = checked.select(*keys, F.struct(*source.columns).alias("s"))
     if whole_target:
         return t.join(s, list(keys), "full_outer")
     # Only target rows with a partner matter. The semi join lets a small source be broadcast (or
     # sent as a runtime filter), so that the large target is scanned but not shuffled.
-    partners = t.join(s.select(*keys), list(keys), "left_semi")
+    partners = t.join(source.select(*keys), list(keys), "left_semi")
     return s.join(partners, list(keys), "left_outer")
 
 
@@ -98,13 +101,15 @@ def merge_pairs(
     insert: Setting | None = None,
     insert_when: str | Column | None = None,
     whole_target: bool = True,
+    check_keys: bool = True,
 ) -> DataFrame:
     """Pairs of a keyed merge.
 
     ``update`` and ``insert`` map target columns to expressions over ``t`` and ``s``; left out,
     they take every source column which the target also has. An empty mapping switches the branch
     off. ``when`` and ``insert_when`` limit the branches. With ``whole_target=False`` target rows
-    without a partner are left out of the pairs.
+    without a partner are left out of the pairs. ``check_keys=False`` trusts the caller that source
+    keys are unique and not NULL.
     """
     shared = {c: F.col(f"s.`{c}`") for c in source.columns if c in target.columns}
     update = shared if update is None else update
@@ -128,7 +133,8 @@ def merge_pairs(
         .when(F.col("action") == INSERT, _row(target, insert, None))
         .otherwise(F.col("t"))
     )
-    pairs = _joined(target, source, keys, whole_target).withColumn("action", action)
+    joined = _joined(target, source, keys, whole_target, check_keys)
+    pairs = joined.withColumn("action", action)
     return pairs.select("t", "action", after.alias("after"))
 
 
@@ -160,7 +166,8 @@ def sync_pairs(
         .when(F.col("action") == SOFT_DELETE, marked)
         .otherwise(F.col("t"))
     )
-    pairs = _joined(target, source, keys, whole_target=True).withColumn("action", action)
+    joined = _joined(target, source, keys, whole_target=True, check_keys=True)
+    pairs = joined.withColumn("action", action)
     return pairs.select("t", "action", after.alias("after"))
 
 

@@ -21,26 +21,21 @@ def with_row_number(
     step (and a retry after a lost executor) sees the same places. Only the row count of each
     partition comes to the driver. The order has to be unique for a repeatable result.
     """
-    spark = df.sparkSession
-    shared_dir(spark)
+    shared_dir(df.sparkSession)
     columns = df.columns
-    placed = (
-        df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
-    )
+    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
     sizes = placed.groupBy(F.spark_partition_id().alias("part")).count().collect()
-    offsets, total = [], start
-    for part, count in sorted((r["part"], r["count"]) for r in sizes):
-        offsets.append((part, total))
-        total += count
-    # One row per partition: small whatever the table's size.
-    starts = spark.createDataFrame(offsets, "_part int, _start long")
-    place = F.monotonically_increasing_id()
-    numbered = placed.withColumn("_place", place).join(
-        F.broadcast(starts),
-        F.shiftright("_place", _PLACE_BITS).cast("int") == F.col("_part"),
-    )
+    counts = {row["part"]: row["count"] for row in sizes}
+    starts, total = [], start
+    for part in range(max(counts, default=0) + 1):
+        starts.append(total)
+        total += counts.get(part, 0)
+    # One number per partition, as a constant: small whatever the table's size.
+    first = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
+    placed = placed.withColumn("_place", F.monotonically_increasing_id())
+    part = F.shiftright("_place", _PLACE_BITS).cast("int")
     within = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    return numbered.select(*columns, (F.col("_start") + within).alias(name))
+    return placed.select(*columns, (F.get(first, part) + within).alias(name))
 
 
 def assign_ids(

@@ -13,11 +13,12 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.operators import changes as feed_of
-from lakeops.operators.merge import DELETED, merge_pairs
-from lakeops.operators.numbering import assign_ids
+from lakeops.operators.merge import DELETED, INSERT, merge_pairs
+from lakeops.operators.numbering import assign_ids, highest_id, with_row_number
 from lakeops.operators.relate import fact_lookup
 from lakeops.plans.jobs import run_tables
-from lakeops.tables.versioned import VersionedTable
+from lakeops.session import written
+from lakeops.tables.versioned import MERGE, State, VersionedTable
 
 MODIFIED = "last_modified"
 CONSUMED = "consumed"
@@ -53,25 +54,31 @@ def latest_rows(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
     return feed_of.as_rows(marked, MODIFIED)
 
 
-def new_changes(source: VersionedTable, target: VersionedTable) -> tuple[DataFrame | None, int]:
-    """The feed behind what the target consumed, and the version it reaches; None if there is none."""
+def new_changes(source: VersionedTable, state: State | None) -> tuple[DataFrame | None, int]:
+    """The feed behind what a table consumed, and the version it reaches; None if there is none."""
+    first = 0 if state is None else int(state.properties.get(CONSUMED, "-1")) + 1
     newest = source.state().version
-    first = 0
-    if target.exists():
-        first = int(target.state().properties.get(CONSUMED, "-1")) + 1
     return (source.changes(first) if first <= newest else None), newest
 
 
-def with_ids(
-    rows: DataFrame, dimension: DataFrame, key: str, id_column: str, highest: int
+def dimension_pairs(
+    dimension: DataFrame, rows: DataFrame, key: str, id_column: str, highest: int
 ) -> tuple[DataFrame, int]:
-    """Rows with their surrogate id: the known one, or the next number. Also the new highest id."""
-    ids = dimension.select(key, id_column)
-    known = ids.join(rows.select(key), key, "left_semi")
-    found = rows.join(known, key, "inner")
-    fresh = assign_ids(rows.join(known, key, "left_anti"), id_column, [key], highest)
-    top = fresh.agg(F.max(id_column).alias("top")).first()["top"]
-    return found.unionByName(fresh.select(*found.columns)), max(highest, top or 0)
+    """Pairs of a dimension merge, and the highest id after it.
+
+    Known rows keep their id. New rows come first in the numbering, so that they get the numbers
+    after the highest one, in key order.
+    """
+    settings = {c: F.col(f"s.`{c}`") for c in rows.columns}
+    pairs = merge_pairs(
+        dimension, rows, [key], update=settings, insert=settings, whole_target=False, check_keys=False
+    )
+    ordered = pairs.withColumns({"_known": F.col("action") != INSERT, "_key": F.col(f"after.`{key}`")})
+    numbered = with_row_number(ordered, ["_known", "_key"], "_number", highest + 1)
+    with_id = F.col("after").withField(id_column, F.col("_number"))
+    after = F.when(F.col("_known"), F.col("after")).otherwise(with_id)
+    top = numbered.agg(F.max(F.when(~F.col("_known"), F.col("_number"))).alias("top")).first()["top"]
+    return numbered.select("t", "action", after.alias("after")), max(highest, top or 0)
 
 
 def load_dimension(
@@ -82,18 +89,20 @@ def load_dimension(
     committed_at: datetime | None = None,
 ) -> int | None:
     """Merge new changes into a dimension; None if there are none."""
-    feed, newest = new_changes(source, target)
+    state = target.find_state()
+    feed, newest = new_changes(source, state)
     if feed is None:
         return None
     rows = latest_rows(feed, [key])
     done = {CONSUMED: str(newest)}
-    if not target.exists():
+    if state is None:
         numbered = assign_ids(rows, id_column, [key])
-        top = numbered.agg(F.max(id_column).alias("top")).first()["top"]
-        return target.create(numbered, (), committed_at, {**done, HIGHEST: str(top or 0)})
-    highest = int(target.state().properties[HIGHEST])
-    numbered, top = with_ids(rows, target.read(), key, id_column, highest)
-    return target.merge(numbered, [key], committed_at, {**done, HIGHEST: str(top)})
+        top = str(highest_id(numbered, id_column))
+        return target.create(numbered, (), committed_at, {**done, HIGHEST: top})
+    highest = int(state.properties[HIGHEST])
+    rows = written(rows, "dimension-rows")
+    pairs, top = dimension_pairs(target.read(), rows, key, id_column, highest)
+    return target.commit(pairs, [key], MERGE, committed_at, {**done, HIGHEST: str(top)}, state)
 
 
 def _rejects_path(fact: VersionedTable, load: str) -> str:
@@ -112,11 +121,11 @@ def load_fact(
     A reading whose series is unknown has no fact key. It is put aside and tried again by the next
     load; ``rejects`` shows what is waiting.
     """
-    feed, newest = new_changes(source, target)
+    state = target.find_state()
+    feed, newest = new_changes(source, state)
     if feed is None:
         return None
     spark = target.spark
-    state = target.state() if target.exists() else None
     if state is not None and state.properties.get(REJECTS):
         waiting = spark.read.schema(feed.schema).parquet(
             _rejects_path(target, state.properties[REJECTS])
@@ -137,8 +146,10 @@ def load_fact(
     )
     if state is None:
         return target.create(facts, partition_by, committed_at, done)
-    pairs = merge_pairs(target.read(), facts, FACT_KEY, whole_target=False)
-    return target.commit(pairs, FACT_KEY, "merge", committed_at, done)
+    # One row per reading key and one series per series id, so the fact key is unique.
+    facts = written(facts, "fact-rows")
+    pairs = merge_pairs(target.read(), facts, FACT_KEY, whole_target=False, check_keys=False)
+    return target.commit(pairs, FACT_KEY, MERGE, committed_at, done, state)
 
 
 def rejects(fact: VersionedTable) -> DataFrame:

@@ -26,10 +26,10 @@ from lakeops.operators import changes as feed_of
 from lakeops.operators.merge import DELETED, merge_pairs, sync_pairs, unique_keys
 from lakeops.sources.writers import overwrite
 
+# ``detail`` is JSON: schema, partition columns, folders touched and written, properties.
 COMMIT_SCHEMA = (
     "version bigint, committed_at timestamp, operation string, inserted bigint, updated bigint, "
-    "deleted bigint, schema string, partition_by array<string>, touched array<string>, "
-    "written array<string>, properties map<string,string>"
+    "deleted bigint, detail string"
 )
 CREATE, OVERWRITE, MERGE, SYNC = "create", "overwrite", "merge", "sync"
 # These commits replace all rows. Their feed is derived from the rows, not stored once more.
@@ -75,6 +75,11 @@ class VersionedTable:
     def exists(self) -> bool:
         return bool(self._commit_rows())
 
+    def find_state(self) -> State | None:
+        """The newest state, or None if there is no table yet."""
+        commits = self._commit_rows()
+        return self._state(commits) if commits else None
+
     def state(self, version: int | None = None) -> State:
         """The table at a version, by default the newest."""
         return self._state(self._commit_rows(), version)
@@ -85,19 +90,20 @@ class VersionedTable:
             raise ValueError(f"no version {version} of table {self.path}")
         folders: dict[str, int] = {}
         properties: dict[str, str] = {}
+        detail: dict = {}
         for row in rows:
+            detail = json.loads(row["detail"])
             if row["operation"] in _WHOLE:
                 folders = {}
-            for folder in row["touched"]:
+            for folder in detail["touched"]:
                 folders.pop(folder, None)
-            folders.update({folder: row["version"] for folder in row["written"]})
-            properties.update(row["properties"] or {})
-        last = rows[-1]
+            folders.update({folder: row["version"] for folder in detail["written"]})
+            properties.update(detail["properties"])
         return State(
-            last["version"],
-            last["committed_at"],
-            StructType.fromJson(json.loads(last["schema"])),
-            list(last["partition_by"]),
+            rows[-1]["version"],
+            rows[-1]["committed_at"],
+            StructType.fromJson(detail["schema"]),
+            detail["partition_by"],
             folders,
             properties,
         )
@@ -198,21 +204,25 @@ class VersionedTable:
         if operation in _WHOLE:
             # Reads no column, only the row counts of the files.
             counts = {**counts, "inserted": self.spark.read.schema(rows.schema).parquet(target).count()}
-        commit = (
+        detail = {
+            "schema": rows.schema.jsonValue(),
+            "partition_by": list(partition_by),
+            "touched": list(touched),
+            "written": written,
+            "properties": dict(properties),
+        }
+        values = [
             version,
             committed_at,
             operation,
-            counts.get("inserted", 0),
-            counts.get("updated", 0),
-            counts.get("deleted", 0),
-            rows.schema.json(),
-            list(partition_by),
-            list(touched),
-            written,
-            dict(properties),
+            *[counts.get(name, 0) for name in ("inserted", "updated", "deleted")],
+            json.dumps(detail),
+        ]
+        fields = StructType.fromDDL(COMMIT_SCHEMA).fields
+        row = self.spark.range(1).select(
+            *[F.lit(value).cast(f.dataType).alias(f.name) for f, value in zip(fields, values)]
         )
-        row = self.spark.createDataFrame([commit], COMMIT_SCHEMA).coalesce(1)
-        row.write.mode("error").parquet(f"{self.path}/commits/_version={version}")
+        row.coalesce(1).write.mode("error").parquet(f"{self.path}/commits/_version={version}")
         return version
 
     def _commit_time(self, given: datetime | None, last: datetime | None) -> datetime:
@@ -244,9 +254,9 @@ class VersionedTable:
         committed_at: datetime | None = None,
     ) -> int:
         """Replace all rows; the feed shows every old row deleted and every new row inserted."""
-        if not self.exists():
+        state = self.find_state()
+        if state is None:
             return self.create(rows, partition_by or (), committed_at)
-        state = self.state()
         columns = state.partition_by if partition_by is None else partition_by
         when = self._commit_time(committed_at, state.committed_at)
         counts = {"deleted": self._rows(state).count()}
@@ -259,13 +269,14 @@ class VersionedTable:
         operation: str = MERGE,
         committed_at: datetime | None = None,
         properties: Mapping[str, str] | None = None,
+        state: State | None = None,
     ) -> int | None:
         """Store a merge described by pairs; None, and no commit, if it changes nothing.
 
         The images are written first. They tell which partitions to rewrite, and they supply the
         new rows, so the merge join runs once.
         """
-        state = self.state()
+        state = state or self.state()
         version = state.version + 1
         when = self._commit_time(committed_at, state.committed_at)
         base = f"{self.path}/changes"
@@ -309,8 +320,9 @@ class VersionedTable:
         **options,
     ) -> int | None:
         """Merge a source which is small next to the table; options as for ``merge_pairs``."""
-        pairs = merge_pairs(self.read(), source, keys, whole_target=False, **options)
-        return self.commit(pairs, keys, MERGE, committed_at, properties)
+        state = self.state()
+        pairs = merge_pairs(self._rows(state), source, keys, whole_target=False, **options)
+        return self.commit(pairs, keys, MERGE, committed_at, properties, state)
 
     def sync(
         self,
@@ -321,9 +333,10 @@ class VersionedTable:
         **options,
     ) -> int | None:
         """Bring the table in line with a full extract; the first load creates it."""
-        if not self.exists():
+        state = self.find_state()
+        if state is None:
             rows = unique_keys(source, keys).withColumn(options.get("flag", DELETED), F.lit(False))
             return self.create(rows, partition_by, committed_at)
-        pairs = sync_pairs(self.read(), source, keys, **options)
-        return self.commit(pairs, keys, SYNC, committed_at)
+        pairs = sync_pairs(self._rows(state), source, keys, **options)
+        return self.commit(pairs, keys, SYNC, committed_at, state=state)
 
