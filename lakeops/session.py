@@ -20,6 +20,8 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        # The tables of one machine are small: smaller partitions keep all its cores busy.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
         .getOrCreate()
     )
 

@@ -47,17 +47,37 @@ def read_xml(
     row_tag: str = "row",
     schema: StructType | str | None = None,
     sampling_ratio: float = 0.001,
+    row_per_line: bool = True,
 ) -> DataFrame:
     """Rows of an XML file; attributes become columns named ``_Attribute``.
 
-    Without a schema a sample of the rows is read to find one.
+    Without a schema a sample of the rows is read to find one. Dumps hold one row per line, so a
+    large file is split among tasks; a line which breaks this rule fails the job. Other files need
+    ``row_per_line=False``, which reads each file in one task.
     """
     reader = spark.read.format("xml").option("rootTag", root_tag).option("rowTag", row_tag)
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
+    if schema is None:
         reader = reader.option("samplingRatio", sampling_ratio).option("inferSchema", "true")
-    return reader.load(path)
+    else:
+        reader = reader.schema(schema)
+    if not row_per_line:
+        return reader.load(path)
+    if schema is None:
+        # Lines outside of rows, such as the root tag, are no rows to learn from.
+        sample = reader.option("multiLine", "false").option("mode", "DROPMALFORMED")
+        schema = sample.load(path).schema
+    opened = F.regexp_count("value", F.lit(f"<{row_tag}[\\s/>]"))
+    whole = F.rlike("value", F.lit(f"^\\s*<{row_tag}[\\s/>].*(/>|</{row_tag}>)\\s*$"))
+    other = F.rlike("value", F.lit(f"^\\s*(<[?!].*|</?{root_tag}(\\s[^>]*)?>)?\\s*$"))
+    broken = F.raise_error(F.concat(F.lit("not one XML row per line: "), F.substring("value", 1, 200)))
+    is_row = (
+        F.when((opened == 1) & whole, F.lit(True))
+        .when((opened == 0) & other, F.lit(False))
+        .otherwise(broken.cast("boolean"))
+    )
+    ddl = schema if isinstance(schema, str) else schema.toDDL()
+    row = F.from_xml("value", ddl, {"rowTag": row_tag}).alias("row")
+    return spark.read.text(path).where(is_row).select(row).select("row.*")
 
 
 def read_pages(spark: SparkSession, path: str, item_schema: StructType | str) -> DataFrame:
