@@ -8,6 +8,7 @@ everything but the readings of 1995, and those of 1999 are one higher.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -71,7 +72,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
         "concat('A', l_suppkey) AS area_code",
         "concat('I', l_partkey) AS item_code",
         "CAST(year(l_shipdate) AS BIGINT) AS year",
-        "date_format(l_shipdate, \"'M'MM\") AS period",
+        "concat('M', lpad(CAST(month(l_shipdate) AS STRING), 2, '0')) AS period",
         "l_quantity",
         "l_returnflag",
     )
@@ -174,20 +175,56 @@ def dim_load(spark: SparkSession, folder: str) -> DataFrame:
     return item_dimension(spark, folder).read().drop(star.MODIFIED)
 
 
+def readings(spark: SparkSession, folder: str, second: bool) -> DataFrame:
+    """Orders as monthly readings of customers; the second extract raises the prices of 1999."""
+    price = "sum(CAST(round(o_totalprice) AS BIGINT))"
+    if second:
+        price += " + max(CASE WHEN year(o_orderdate) = 1999 THEN 1 ELSE 0 END)"
+    orders = table(spark, folder, "orders")
+    if not second:
+        orders = orders.where("o_orderdate < TIMESTAMP_NTZ'2000-01-01 00:00:00'")
+    month = "concat('M', lpad(CAST(month(o_orderdate) AS STRING), 2, '0'))"
+    return orders.groupBy(
+        F.expr("concat('S', o_custkey)").alias("series_id"),
+        F.expr("CAST(year(o_orderdate) AS BIGINT)").alias("year"),
+        F.expr(month).alias("period"),
+    ).agg(F.expr(f"CAST({price} AS DOUBLE)").alias("value"))
+
+
 @query(
-    f"""{FACTS_SQL}
-    SELECT a.area_code, f.year, count(*) AS reading_count, sum(f.value)::BIGINT AS total_value
-    FROM facts f JOIN dim_area a USING (dim_area_id) WHERE NOT is_deleted GROUP BY ALL"""
+    """WITH facts AS (
+      SELECT o_custkey, year(o_orderdate)::BIGINT AS year, strftime(o_orderdate, 'M%m') AS period,
+             (sum(round(o_totalprice)::BIGINT)
+               + max(CASE WHEN year(o_orderdate) = 1999 THEN 1 ELSE 0 END))::DOUBLE AS value
+      FROM orders GROUP BY ALL)
+    SELECT c_name AS area_name, year, count(*) AS reading_count, sum(value)::BIGINT AS total_value
+    FROM facts JOIN customer ON o_custkey = c_custkey GROUP BY ALL"""
 )
 def fact_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Active facts by area and year, through the curated tables as temporary views."""
-    curated, _ = loaded_star(spark, folder)
-    for name in ("fact_current", "dim_area"):
-        catalog.view(VersionedTable(spark, f"{curated}/{name}"), name)
+    """Two loads of a fact table against given dimensions, reported by area through SQL views."""
+    root = scratch_path(spark, "facts")
+    source, fact = VersionedTable(spark, f"{root}/current"), VersionedTable(spark, f"{root}/fact")
+    customers = table(spark, folder, "customer")
+    dimensions = {
+        "series": customers.selectExpr(
+            "c_custkey + 1 AS dim_series_id", "concat('S', c_custkey) AS series_id",
+            "c_name AS area_code", "c_mktsegment AS item_code",
+        ),
+        "area": customers.selectExpr("c_custkey AS dim_area_id", "c_name AS area_code"),
+        "item": customers.selectExpr(
+            "length(c_mktsegment) AS dim_item_id", "c_mktsegment AS item_code"
+        ).distinct(),
+    }
+    for second, when in ((False, FIRST), (True, SECOND)):
+        source.sync(readings(spark, folder, second), star.READING_KEY, when, ["year"])
+        star.load_fact(source, dimensions, fact, when, ["year"])
+    view = f"fact_{uuid.uuid4().hex}"
+    catalog.view(fact, view)
+    dimensions["area"].createOrReplaceTempView(f"{view}_area")
     return spark.sql(
-        """SELECT a.area_code, f.year, count(*) AS reading_count,
-                  CAST(sum(f.value) AS BIGINT) AS total_value
-        FROM fact_current f JOIN dim_area a ON f.dim_area_id = a.dim_area_id
+        f"""SELECT a.area_code AS area_name, f.year, count(*) AS reading_count,
+                   CAST(sum(f.value) AS BIGINT) AS total_value
+        FROM {view} f JOIN {view}_area a ON f.dim_area_id = a.dim_area_id
         WHERE NOT f.is_deleted GROUP BY a.area_code, f.year"""
     )
 

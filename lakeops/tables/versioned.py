@@ -26,7 +26,8 @@ from lakeops.operators import changes as feed_of
 from lakeops.operators.merge import DELETED, merge_pairs, sync_pairs, unique_keys
 from lakeops.sources.writers import overwrite
 
-# ``detail`` is JSON: schema, partition columns, folders touched and written, properties.
+# ``detail`` is JSON: schema, partition columns, the commit each partition folder is found in, and
+# properties. It describes the whole table, so a reader needs the newest commit row only.
 COMMIT_SCHEMA = (
     "version bigint, committed_at timestamp, operation string, inserted bigint, updated bigint, "
     "deleted bigint, detail string"
@@ -62,52 +63,44 @@ class VersionedTable:
 
     # --- reading -------------------------------------------------------------------------------
 
-    def _commit_rows(self) -> list:
-        """All commit rows, oldest first: a few values per commit."""
+    def _commits(self) -> DataFrame | None:
         try:
-            commits = self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits")
-            return sorted(commits.collect(), key=lambda row: row["version"])
+            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return []
+                return None
             raise
 
-    def exists(self) -> bool:
-        return bool(self._commit_rows())
-
-    def find_state(self) -> State | None:
-        """The newest state, or None if there is no table yet."""
-        commits = self._commit_rows()
-        return self._state(commits) if commits else None
-
-    def state(self, version: int | None = None) -> State:
-        """The table at a version, by default the newest."""
-        return self._state(self._commit_rows(), version)
-
-    def _state(self, commits: list, version: int | None = None) -> State:
-        rows = [r for r in commits if version is None or r["version"] <= version]
-        if not rows or (version is not None and rows[-1]["version"] != version):
-            raise ValueError(f"no version {version} of table {self.path}")
-        folders: dict[str, int] = {}
-        properties: dict[str, str] = {}
-        detail: dict = {}
-        for row in rows:
-            detail = json.loads(row["detail"])
-            if row["operation"] in _WHOLE:
-                folders = {}
-            for folder in detail["touched"]:
-                folders.pop(folder, None)
-            folders.update({folder: row["version"] for folder in detail["written"]})
-            properties.update(detail["properties"])
+    def find_state(self, version: int | None = None) -> State | None:
+        """The table at a version, by default the newest; None if there is no such version."""
+        commits = self._commits()
+        if commits is None:
+            return None
+        if version is not None:
+            commits = commits.where(F.col("version") == version)
+        commit = commits.agg(F.max_by(F.struct("*"), "version").alias("newest")).first()["newest"]
+        if commit is None:
+            return None
+        detail = json.loads(commit["detail"])
         return State(
-            rows[-1]["version"],
-            rows[-1]["committed_at"],
+            commit["version"],
+            commit["committed_at"],
             StructType.fromJson(detail["schema"]),
             detail["partition_by"],
-            folders,
-            properties,
+            detail["folders"],
+            detail["properties"],
         )
 
+    def state(self, version: int | None = None) -> State:
+        """As ``find_state``, but a missing version is an error."""
+        state = self.find_state(version)
+        if state is None:
+            raise ValueError(f"no version {version} of table {self.path}")
+        return state
+
+    def exists(self) -> bool:
+        return self.find_state() is not None
+
     def _rows(self, state: State, only: set[str] | None = None) -> DataFrame:
         base = f"{self.path}/rows"
         paths = [
@@ -126,7 +119,8 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """One row per commit."""
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits").select(
+        self.state()
+        return self._commits().select(
             "version", "committed_at", "operation", "inserted", "updated", "deleted"
         )
 
@@ -138,16 +132,15 @@ class VersionedTable:
         The feed is partitioned by commit, so earlier commits are not read. A start after the
         newest commit gives an empty feed.
         """
-        commits = self._commit_rows()
-        wanted = [
-            c
-            for c in commits
-            if (first_version is None or c["version"] >= first_version)
-            and (since is None or c["committed_at"] >= since)
-        ]
-        schema = StructType(list(self._state(commits).schema.fields))
+        schema = StructType(list(self.state().schema.fields))
         schema.add(feed_of.CHANGE_TYPE, "string").add(feed_of.VERSION, "long")
         schema.add(feed_of.COMMIT_TIME, "timestamp")
+        commits = self._commits().select("version", "committed_at", "operation")
+        if first_version is not None:
+            commits = commits.where(F.col("version") >= first_version)
+        if since is not None:
+            commits = commits.where(F.col("committed_at") >= F.lit(since))
+        wanted = sorted(commits.collect(), key=lambda commit: commit["version"])
         base = f"{self.path}/changes"
         stored = [
             f"{base}/{feed_of.VERSION}={c['version']}" for c in wanted if c["operation"] not in _WHOLE
@@ -160,10 +153,10 @@ class VersionedTable:
             if commit["operation"] not in _WHOLE:
                 continue
             version = commit["version"]
-            new = self._rows(self._state(commits, version))
+            new = self._rows(self.state(version))
             images = [new.withColumn(feed_of.CHANGE_TYPE, F.lit(feed_of.INSERTED))]
             if version > 0:
-                old = self._rows(self._state(commits, version - 1))
+                old = self._rows(self.state(version - 1))
                 images.append(old.withColumn(feed_of.CHANGE_TYPE, F.lit(feed_of.DELETED_ROW)))
             parts += [feed_of.stamped(i, version, commit["committed_at"]) for i in images]
         if not parts:
@@ -195,9 +188,10 @@ class VersionedTable:
         operation: str,
         committed_at: datetime,
         counts: Mapping[str, int],
-        touched: Sequence[str],
+        kept: Mapping[str, int],
         properties: Mapping[str, str],
     ) -> int:
+        """Write rows and the commit; ``kept`` are the folders which stay as they are."""
         target = f"{self.path}/rows/_version={version}"
         overwrite(rows, target, partition_by)
         written = self._folders(target)
@@ -207,8 +201,7 @@ class VersionedTable:
         detail = {
             "schema": rows.schema.jsonValue(),
             "partition_by": list(partition_by),
-            "touched": list(touched),
-            "written": written,
+            "folders": {**kept, **{folder: version for folder in written}},
             "properties": dict(properties),
         }
         values = [
@@ -242,10 +235,10 @@ class VersionedTable:
         properties: Mapping[str, str] | None = None,
     ) -> int:
         """Version 0."""
-        if self.exists():
+        if self.find_state() is not None:
             raise ValueError(f"table {self.path} exists already")
         when = self._commit_time(committed_at, None)
-        return self._write_rows(rows, 0, partition_by, CREATE, when, {}, (), properties or {})
+        return self._write_rows(rows, 0, partition_by, CREATE, when, {}, {}, properties or {})
 
     def overwrite(
         self,
@@ -260,7 +253,7 @@ class VersionedTable:
         columns = state.partition_by if partition_by is None else partition_by
         when = self._commit_time(committed_at, state.committed_at)
         counts = {"deleted": self._rows(state).count()}
-        return self._write_rows(rows, state.version + 1, columns, OVERWRITE, when, counts, (), {})
+        return self._write_rows(rows, state.version + 1, columns, OVERWRITE, when, counts, {}, {})
 
     def commit(
         self,
@@ -297,18 +290,20 @@ class VersionedTable:
             return None
         gone = stored.where(kind.isin(feed_of.BEFORE_UPDATE, feed_of.DELETED_ROW))
         came = stored.where(kind.isin(feed_of.INSERTED, feed_of.AFTER_UPDATE))
-        touched = self._folders(target)
-        kept = self._rows(state, only=set(touched)).join(
+        touched = set(self._folders(target))
+        unchanged = self._rows(state, only=touched).join(
             gone.select(*keys), list(keys), "left_anti"
         )
-        rows = kept.select(*state.schema.names).unionByName(came.select(*state.schema.names))
+        rows = unchanged.select(*state.schema.names).unionByName(came.select(*state.schema.names))
         counts = {
             "inserted": found.get(feed_of.INSERTED, 0),
             "updated": found.get(feed_of.AFTER_UPDATE, 0),
             "deleted": found.get(feed_of.DELETED_ROW, 0),
         }
+        kept = {folder: v for folder, v in state.folders.items() if folder not in touched}
+        told = {**state.properties, **(properties or {})}
         return self._write_rows(
-            rows, version, state.partition_by, operation, when, counts, touched, properties or {}
+            rows, version, state.partition_by, operation, when, counts, kept, told
         )
 
     def merge(
