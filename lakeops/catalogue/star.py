@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakeops.catalogue import query, table
 from lakeops.operators.merge import DELETED
 from lakeops.plans import star
+from lakeops.plans.jobs import run_tables
 from lakeops.plans.refined import RefinedTable, load_all_refined
-from lakeops.session import scratch_path
+from lakeops.session import scratch_path, written
 from lakeops.sources.writers import overwrite
 from lakeops.tables import catalog
 from lakeops.tables.versioned import VersionedTable
@@ -66,19 +67,33 @@ facts AS (
        JOIN dim_item USING (item_code))"""
 
 
-def lines(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "lineitem").selectExpr(
+def shipped(spark: SparkSession, folder: str) -> DataFrame:
+    """Quantity per series and month, and whether any of its lines was finished."""
+    lines = table(spark, folder, "lineitem").selectExpr(
+        "l_partkey",
+        "l_suppkey",
+        "CAST(year(l_shipdate) AS BIGINT) AS year",
+        "month(l_shipdate) AS month",
+        "l_quantity",
+        "l_returnflag != 'N' AS finished",
+    )
+    monthly = lines.groupBy("l_partkey", "l_suppkey", "year", "month").agg(
+        F.sum("l_quantity").alias("value"), F.bool_or("finished").alias("finished")
+    )
+    return monthly.selectExpr(
         "concat('S', l_partkey, '-', l_suppkey) AS series_id",
         "concat('A', l_suppkey) AS area_code",
         "concat('I', l_partkey) AS item_code",
-        "CAST(year(l_shipdate) AS BIGINT) AS year",
-        "concat('M', lpad(CAST(month(l_shipdate) AS STRING), 2, '0')) AS period",
-        "l_quantity",
-        "l_returnflag",
+        "year",
+        "concat('M', lpad(CAST(month AS STRING), 2, '0')) AS period",
+        "value",
+        "finished",
     )
 
 
-def write_raw(spark: SparkSession, folder: str, root: str, second: bool) -> None:
+def write_raw(
+    spark: SparkSession, folder: str, shipments: DataFrame, root: str, second: bool
+) -> None:
     """One extract of the four raw tables."""
     areas = table(spark, folder, "supplier").selectExpr(
         "concat('A', s_suppkey) AS area_code", "s_name AS area_name",
@@ -89,31 +104,27 @@ def write_raw(spark: SparkSession, folder: str, root: str, second: bool) -> None
         "CAST(p_size AS BIGINT) AS display_level", "p_partkey AS sort_sequence",
         "'T' AS selectable",
     )
-    readings = lines(spark, folder)
-    if second:
-        series = readings
-        readings = readings.where("year != 1995")
-    else:
-        readings = readings.where(F.col("year") <= LAST_FIRST_YEAR)
-        series = readings.where("l_returnflag != 'N'")
-    values = readings.groupBy("series_id", "year", "period").agg(F.sum("l_quantity").alias("value"))
     if second:
+        series = shipments
         raised = F.when(F.col("year") == LAST_FIRST_YEAR, 1).otherwise(0)
-        values = values.withColumn("value", F.col("value") + raised)
-    values = values.withColumn("footnote_codes", F.lit(float("nan")))
+        values = shipments.where("year != 1995").withColumn("value", F.col("value") + raised)
+    else:
+        values = shipments.where(F.col("year") <= LAST_FIRST_YEAR)
+        series = values.where("finished")
+    values = values.select("series_id", "year", "period", "value", F.lit(float("nan")).alias("footnote_codes"))
     series = series.select("series_id", "area_code", "item_code").distinct()
     raw = {"area": areas, "item": items, "series": series, "current": values}
-    for name, rows in raw.items():
-        overwrite(rows, f"{root}/{name}")
+    run_tables(spark, raw, lambda name: overwrite(raw[name], f"{root}/{name}"))
 
 
 def loaded_star(spark: SparkSession, folder: str, rounds: int = 2) -> tuple[str, DataFrame]:
     """Both extracts, from raw to curated. The folder of the curated tables, and the last status."""
     root = scratch_path(spark, "star")
     status = None
+    shipments = written(shipped(spark, folder), "shipments")
     for number, when in enumerate((FIRST, SECOND)[:rounds]):
         raw = f"{root}/raw-{number}"
-        write_raw(spark, folder, raw, second=number == 1)
+        write_raw(spark, folder, shipments, raw, second=number == 1)
         load_all_refined(spark, REFINED, raw, f"{root}/refined", committed_at=when)
         status = star.load_star(
             spark, f"{root}/refined", f"{root}/curated", when, partition_by=["year"]
@@ -239,7 +250,7 @@ def fact_load(spark: SparkSession, folder: str) -> DataFrame:
 def refined_load(spark: SparkSession, folder: str) -> DataFrame:
     """Four refined tables loaded side by side; the active rows of each."""
     root = scratch_path(spark, "refined")
-    write_raw(spark, folder, f"{root}/raw", second=True)
+    write_raw(spark, folder, shipped(spark, folder), f"{root}/raw", second=True)
     load_all_refined(spark, REFINED, f"{root}/raw", f"{root}/refined", committed_at=FIRST)
     result = None
     for config in REFINED:

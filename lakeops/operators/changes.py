@@ -24,20 +24,23 @@ HARD_DELETE = "delete"
 
 def change_images(pairs: DataFrame) -> DataFrame:
     """One image per inserted or deleted row, two per updated row, none for a kept row."""
-    columns = pairs.schema["after"].dataType.names
-
-    def image(row: str, kind: str) -> Column:
-        return F.struct(*[F.col(f"{row}.`{c}`") for c in columns], F.lit(kind).alias(CHANGE_TYPE))
-
-    images = (
-        F.when(F.col("action") == INSERT, F.array(image("after", INSERTED)))
+    kinds = (
+        F.when(F.col("action") == INSERT, F.array(F.lit(INSERTED)))
         .when(
             F.col("action").isin(UPDATE, SOFT_DELETE),
-            F.array(image("t", BEFORE_UPDATE), image("after", AFTER_UPDATE)),
+            F.array(F.lit(BEFORE_UPDATE), F.lit(AFTER_UPDATE)),
         )
-        .when(F.col("action") == HARD_DELETE, F.array(image("t", DELETED_ROW)))
+        .when(F.col("action") == HARD_DELETE, F.array(F.lit(DELETED_ROW)))
+    )
+    images = pairs.where(F.col("action") != KEEP).select(
+        "t", "after", F.explode(kinds).alias(CHANGE_TYPE)
     )
-    return pairs.where(F.col("action") != KEEP).select(F.inline(images))
+    shows_old = F.col(CHANGE_TYPE).isin(BEFORE_UPDATE, DELETED_ROW)
+    columns = [
+        F.when(shows_old, F.col(f"t.`{c}`")).otherwise(F.col(f"after.`{c}`")).alias(c)
+        for c in pairs.schema["after"].dataType.names
+    ]
+    return images.select(*columns, CHANGE_TYPE)
 
 
 def stamped(images: DataFrame, version: int, committed_at: datetime) -> DataFrame:

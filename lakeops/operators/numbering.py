@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.session import shared_dir
+from lakeops.session import written
 
 # monotonically_increasing_id() puts the partition above bit 33 and the row's place below it.
 _PLACE_BITS = 33
@@ -17,23 +17,23 @@ def with_row_number(
 ) -> DataFrame:
     """Number rows from ``start`` in the given order, without gaps.
 
-    The rows are range partitioned, sorted within partitions and checkpointed, so that every later
-    step (and a retry after a lost executor) sees the same places. Only the row count of each
-    partition comes to the driver. The order has to be unique for a repeatable result.
+    The rows are range partitioned, sorted within partitions and written once together with their
+    places, so that every later step (and a retry after a lost executor) sees the same places. Only
+    the row count of each partition comes to the driver. The order has to be unique for a
+    repeatable result.
     """
-    shared_dir(df.sparkSession)
     columns = df.columns
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
-    sizes = placed.groupBy(F.spark_partition_id().alias("part")).count().collect()
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = written(ranged.withColumn("_place", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("_place", _PLACE_BITS).cast("int")
+    sizes = placed.groupBy(part.alias("part")).count().collect()
     counts = {row["part"]: row["count"] for row in sizes}
     starts, total = [], start
-    for part in range(max(counts, default=0) + 1):
+    for number in range(max(counts, default=0) + 1):
         starts.append(total)
-        total += counts.get(part, 0)
+        total += counts.get(number, 0)
     # One number per partition, as a constant: small whatever the table's size.
     first = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
-    placed = placed.withColumn("_place", F.monotonically_increasing_id())
-    part = F.shiftright("_place", _PLACE_BITS).cast("int")
     within = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
     return placed.select(*columns, (F.get(first, part) + within).alias(name))
 

@@ -103,10 +103,19 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def _file_system(spark: SparkSession, path: str) -> tuple:
+    """The file system of a path, and the path, as Hadoop objects."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, folder = _file_system(spark, path)
+    return files.exists(folder)
+
+
 def table_folders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     """(path, name) of each folder below the root; a folder holds one table."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [(s.getPath().toString(), s.getPath().getName()) for s in files.listStatus(folder) if s.isDirectory()]
-    return sorted(found, key=lambda entry: entry[1])
+    files, folder = _file_system(spark, root)
+    found = [entry.getPath() for entry in files.listStatus(folder) if entry.isDirectory()]
+    return sorted((path.toString(), path.getName()) for path in found)

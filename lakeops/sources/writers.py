@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 
 def spread(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -21,6 +21,21 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
+def overwrite_counted(
+    df: DataFrame, path: str, partition_by: Sequence[str], **counts: Column
+) -> dict[str, int]:
+    """Overwrite a path, and return aggregates over the rows, taken while they are written.
+
+    They are observed behind the last shuffle, in the tasks which write: of those Spark counts each
+    partition once, even if a task is repeated.
+    """
+    seen = Observation()
+    observed = spread(df, partition_by).observe(seen, *[c.alias(name) for name, c in counts.items()])
+    writer = observed.write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    return seen.get
+
+
 def overwrite_table(
     df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None
 ) -> None:

@@ -17,14 +17,15 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.operators import changes as feed_of
 from lakeops.operators.merge import DELETED, merge_pairs, sync_pairs, unique_keys
-from lakeops.sources.writers import overwrite
+from lakeops.sources.files import path_exists
+from lakeops.sources.writers import overwrite_counted
 
 # ``detail`` is JSON: schema, partition columns, the commit each partition folder is found in, and
 # properties. It describes the whole table, so a reader needs the newest commit row only.
@@ -64,12 +65,10 @@ class VersionedTable:
     # --- reading -------------------------------------------------------------------------------
 
     def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        path = f"{self.path}/commits"
+        if not path_exists(self.spark, path):
+            return None
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(path)
 
     def find_state(self, version: int | None = None) -> State | None:
         """The table at a version, by default the newest; None if there is no such version."""
@@ -168,17 +167,12 @@ class VersionedTable:
 
     # --- writing -------------------------------------------------------------------------------
 
-    def _folders(self, path: str) -> list[str]:
-        """Partition folders below a path which hold a file."""
-        files = (
-            self.spark.read.format("binaryFile")
-            .option("recursiveFileLookup", "true")
-            .option("pathGlobFilter", "*.parquet")
-            .load(path)
-        )
-        inner = F.substring_index("path", path.split("/")[-1], -1)
-        folder = F.trim(F.regexp_replace(inner, "[^/]*$", ""), F.lit("/"))
-        return sorted(r[0] for r in files.select(folder.alias("folder")).distinct().collect())
+    def _folders(self, path: str, schema: StructType) -> set[str]:
+        """Partition folders below a path which hold a file, from the file listing."""
+        files = self.spark.read.schema(schema).parquet(path).inputFiles()
+        root = f"/{path.rsplit('/', 1)[-1]}/"
+        inner = {unquote(file).rsplit(root, 1)[-1] for file in files}
+        return {file.rpartition("/")[0] for file in inner}
 
     def _write_rows(
         self,
@@ -193,11 +187,10 @@ class VersionedTable:
     ) -> int:
         """Write rows and the commit; ``kept`` are the folders which stay as they are."""
         target = f"{self.path}/rows/_version={version}"
-        overwrite(rows, target, partition_by)
-        written = self._folders(target)
+        count = overwrite_counted(rows, target, partition_by, rows=F.count(F.lit(1)))["rows"]
         if operation in _WHOLE:
-            # Reads no column, only the row counts of the files.
-            counts = {**counts, "inserted": self.spark.read.schema(rows.schema).parquet(target).count()}
+            counts = {**counts, "inserted": count}
+        written = self._folders(target, rows.schema)
         detail = {
             "schema": rows.schema.jsonValue(),
             "partition_by": list(partition_by),
@@ -277,29 +270,30 @@ class VersionedTable:
         images = feed_of.change_images(pairs).withColumn(
             feed_of.COMMIT_TIME, F.lit(when).cast("timestamp")
         )
-        overwrite(images, target, state.partition_by)
+        kind = F.col(feed_of.CHANGE_TYPE)
+        counts = overwrite_counted(
+            images,
+            target,
+            state.partition_by,
+            inserted=F.count_if(kind == feed_of.INSERTED),
+            updated=F.count_if(kind == feed_of.AFTER_UPDATE),
+            deleted=F.count_if(kind == feed_of.DELETED_ROW),
+        )
+        if not any(counts.values()):
+            return None
         stored = (
             self.spark.read.schema(images.schema)
             .option("basePath", base)
             .parquet(target)
             .select(*images.columns)
         )
-        kind = F.col(feed_of.CHANGE_TYPE)
-        found = {r[0]: r[1] for r in stored.groupBy(kind).count().collect()}
-        if not found:
-            return None
         gone = stored.where(kind.isin(feed_of.BEFORE_UPDATE, feed_of.DELETED_ROW))
         came = stored.where(kind.isin(feed_of.INSERTED, feed_of.AFTER_UPDATE))
-        touched = set(self._folders(target))
+        touched = self._folders(target, images.schema)
         unchanged = self._rows(state, only=touched).join(
             gone.select(*keys), list(keys), "left_anti"
         )
         rows = unchanged.select(*state.schema.names).unionByName(came.select(*state.schema.names))
-        counts = {
-            "inserted": found.get(feed_of.INSERTED, 0),
-            "updated": found.get(feed_of.AFTER_UPDATE, 0),
-            "deleted": found.get(feed_of.DELETED_ROW, 0),
-        }
         kept = {folder: v for folder, v in state.folders.items() if folder not in touched}
         told = {**state.properties, **(properties or {})}
         return self._write_rows(
