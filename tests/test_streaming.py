@@ -54,6 +54,6 @@ def test_full_post_schema_parses(spark):
 
 
 def test_topic_options():
-    options = posts.topic_options("host:1", "stack", "g1", **{"kafka.sasl.mechanism": "PLAIN"})
-    assert options["subscribe"] == "stack" and options["startingOffsets"] == "earliest"
+    options = posts.topic_options("host:1", "posts", "g1", **{"kafka.sasl.mechanism": "PLAIN"})
+    assert options["subscribe"] == "posts" and options["startingOffsets"] == "earliest"
     assert options["failOnDataLoss"] == "false" and options["kafka.sasl.mechanism"] == "PLAIN"
