@@ -15,14 +15,14 @@ from lakeops.functions import (
 )
 from lakeops.operators import numbering, profile, relate
 from lakeops.plans.ingest import enrich_posts
-from lakeops.sources.files import read_table, sql_on_path
+from lakeops.sources import files
 
 # --- projections -------------------------------------------------------------------------------
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
 def scan_select(spark: SparkSession, folder: str) -> DataFrame:
-    return read_table(
+    return files.read_table(
         spark, f"{folder}/orders.parquet", ["o_orderkey", "o_custkey", "o_totalprice"]
     )
 
@@ -30,7 +30,7 @@ def scan_select(spark: SparkSession, folder: str) -> DataFrame:
 @query("SELECT c_custkey AS id, c_name AS display_name, c_acctbal AS balance FROM customer")
 def rename_select(spark: SparkSession, folder: str) -> DataFrame:
     """Names are found whatever their case."""
-    return read_table(
+    return files.read_table(
         spark,
         f"{folder}/customer.parquet",
         ["C_CustKey AS id", "C_Name AS display_name", "c_acctbal AS balance"],
@@ -38,9 +38,9 @@ def rename_select(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 30")
-def sql_on_path_top(spark: SparkSession, folder: str) -> DataFrame:
+def sql_on_path(spark: SparkSession, folder: str) -> DataFrame:
     """The first thirty rows of a path, as a report."""
-    return sql_on_path(
+    return files.sql_on_path(
         spark, f"{folder}/orders.parquet", "ORDER BY o_totalprice DESC, o_orderkey LIMIT 30"
     )
 
@@ -154,11 +154,9 @@ def epoch_range(spark: SparkSession, folder: str) -> DataFrame:
     chosen = events.where(epoch_between(events, "ts", 1_705_144_800 - 300_000, 1_705_144_800))
     # Whole seconds since the epoch, of a timestamp without zone taken as UTC.
     seconds = F.timestamp_diff("SECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
-    return chosen.select(
-        "event_id",
-        "user_id",
-        seconds.alias("seconds"),
-        F.date_trunc("second", "ts").cast("timestamp_ntz").alias("created"),
+    created = F.convert_timezone(None, F.lit("UTC"), epoch_to_timestamp("seconds"))
+    return chosen.select("event_id", "user_id", seconds.alias("seconds")).withColumn(
+        "created", created
     )
 
 

@@ -151,6 +151,9 @@ def sync_pairs(
     and a deleted key which returns becomes active again, because its mark differs.
     """
     source = source.withColumn(flag, F.lit(False))
+    if set(source.columns) != set(target.columns):
+        different = sorted(set(source.columns) ^ set(target.columns))
+        raise ValueError(f"columns of only one of source and target: {different}")
     compared = [c for c in target.columns if c not in keys]
     in_target, in_source = F.col("t").isNotNull(), F.col("s").isNotNull()
     action = (

@@ -148,7 +148,8 @@ def load_fact(
         return target.create(facts, partition_by, committed_at, done)
     # One row per reading key and one series per series id, so the fact key is unique.
     facts = written(facts, "fact-rows")
-    pairs = merge_pairs(target.read(), facts, FACT_KEY, whole_target=False, check_keys=False)
+    near = target.near(facts, FACT_KEY, state)
+    pairs = merge_pairs(near, facts, FACT_KEY, whole_target=False, check_keys=False)
     return target.commit(pairs, FACT_KEY, MERGE, committed_at, done, state)
 
 

@@ -33,6 +33,7 @@ COMMIT_SCHEMA = (
     "version bigint, committed_at timestamp, operation string, inserted bigint, updated bigint, "
     "deleted bigint, detail string"
 )
+MOST_PARTITIONS = 1000
 CREATE, OVERWRITE, MERGE, SYNC = "create", "overwrite", "merge", "sync"
 # These commits replace all rows. Their feed is derived from the rows, not stored once more.
 _WHOLE = (CREATE, OVERWRITE)
@@ -116,6 +117,26 @@ class VersionedTable:
         """The rows at a version, by default the newest."""
         return self._rows(self.state(version))
 
+    def near(self, source: DataFrame, keys: Sequence[str], state: State | None = None) -> DataFrame:
+        """The rows in which partners of the source can be found.
+
+        If the partition columns belong to the key, those are the partitions which the source
+        names. Their values come to the driver, one row per partition; beyond ``MOST_PARTITIONS``
+        of them nothing is pruned.
+        """
+        state = state or self.state()
+        rows, columns = self._rows(state), state.partition_by
+        if not columns or not set(columns) <= set(keys):
+            return rows
+        found = source.select(*columns).distinct().limit(MOST_PARTITIONS + 1).collect()
+        if len(found) > MOST_PARTITIONS:
+            return rows
+        named = [
+            F.struct(*[F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(columns, row)])
+            for row in found
+        ]
+        return rows.where(F.struct(*columns).isin(*named)) if named else rows.where(F.lit(False))
+
     def history(self) -> DataFrame:
         """One row per commit."""
         self.state()
@@ -310,7 +331,9 @@ class VersionedTable:
     ) -> int | None:
         """Merge a source which is small next to the table; options as for ``merge_pairs``."""
         state = self.state()
-        pairs = merge_pairs(self._rows(state), source, keys, whole_target=False, **options)
+        pairs = merge_pairs(
+            self.near(source, keys, state), source, keys, whole_target=False, **options
+        )
         return self.commit(pairs, keys, MERGE, committed_at, properties, state)
 
     def sync(

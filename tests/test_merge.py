@@ -99,6 +99,12 @@ def test_soft_deletes_skip_inactive_rows(spark, rows):
     assert rows(merge.soft_deletes(target, source, ["k"])) == [(1, True)]
 
 
+def test_sync_needs_the_same_columns(spark):
+    target = spark.createDataFrame([(1, "x", 1.0, False)], T)
+    with pytest.raises(ValueError, match="extra"):
+        merge.sync(target, spark.createDataFrame([(1, "x", 1.0, 2)], S + ", extra int"), ["k"])
+
+
 def test_any_changed_without_columns_is_false(spark):
     assert spark.range(1).where(any_changed([])).count() == 0
 

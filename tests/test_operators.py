@@ -76,6 +76,35 @@ def test_fact_lookup_reaches_area_through_series(spark, rows):
         ("s1", 20, None, 10, 1.0), ("s2", None, 30, 11, 2.0), ("s3", None, None, None, 3.0)]
 
 
+def test_dominant_series_is_split(spark):
+    """A third of the readings belongs to one series, and no side is small enough to broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+    readings = spark.range(0, 300_000, 1, 8).select(
+        F.concat(F.lit("S"), key).alias("series_id"), (F.rand(1) * 100).alias("value"))
+    series = spark.range(5000).selectExpr(
+        "concat('S', id) AS series_id", "id AS dim_series_id", "'a' AS area_code", "'i' AS item_code")
+    area = spark.createDataFrame([("a", 1)], "area_code string, dim_area_id long")
+    item = spark.createDataFrame([("i", 2)], "item_code string, dim_item_id long")
+    found = relate.fact_lookup(readings, series, area, item)
+    found.write.format("noop").mode("overwrite").save()
+    assert found.collect()[0]["dim_area_id"] == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    for name, value in before.items():
+        spark.conf.set(name, value)
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_profile(spark):
     frame = spark.createDataFrame(
         [(1, 1.5, "x", True), (None, float("nan"), "y", True), (3, -0.0, "x", True), (3, 0.0, None, True)],

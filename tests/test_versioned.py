@@ -110,3 +110,23 @@ def test_emptied_table_can_be_read_and_filled(spark, table, rows):
     assert table.read().count() == 0
     table.merge(frame(spark, (1, "a", 1.0)), ["k"], T1)
     assert rows(table.read(), "k") == [(1,)]
+
+
+@pytest.mark.parametrize("partition_by", [["part"], ["part", "k"]])
+def test_merge_opens_only_the_partitions_its_source_names(spark, table, rows, partition_by):
+    table.create(frame(spark, (1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)), partition_by, T0)
+    source = frame(spark, (2, "b", 5.0), (9, "d", 9.0))
+    near = table.near(source, ["k", "part"])
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert rows(near, "k") == [(2,)]
+    table.merge(source, ["k", "part"], T1)
+    assert rows(table.read(), "k", "v") == [(1, 1.0), (2, 5.0), (3, 3.0), (9, 9.0)]
+
+
+def test_partitions_outside_the_key_prune_nothing(spark, table):
+    table.create(frame(spark, (1, "a", 1.0), (2, "b", 2.0)), ["part"], T0)
+    moved = frame(spark, (1, "z", 1.0))
+    assert table.near(moved, ["k"]).count() == 2
+    table.merge(moved, ["k"], T1)
+    assert {r["part"] for r in table.read().collect()} == {"z", "b"}
