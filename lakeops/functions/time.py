@@ -5,11 +5,19 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType, TimestampNTZType
 
 # Fixed value: where a table that holds no row yet starts to read its feed.
 FIRST_LOAD = datetime(2022, 1, 1)
 
 
+def literal(value: object, kind: DataType) -> Column:
+    """A constant of a column's type. A time without zone must not pass through the session's zone."""
+    if isinstance(kind, TimestampNTZType):
+        value = None if value is None else str(value)
+    return F.lit(value).cast(kind)
+
+
 def month_start(ts: str | Column) -> Column:
     """First day of the month as text."""
     return F.date_format(ts, "yyyy-MM-01")
@@ -43,6 +51,5 @@ def after_watermark(
 
     The latest value of ``column``, or ``default`` for an empty table, plus ``seconds``.
     """
-    kind = table.schema[column].dataType.typeName()
-    latest = F.coalesce(F.max(column), F.lit(default).cast(kind))
+    latest = F.coalesce(F.max(column), literal(default, table.schema[column].dataType))
     return table.agg((latest + F.expr(f"INTERVAL {seconds} SECOND")).alias(column))

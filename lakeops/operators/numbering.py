@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from lakeops.functions.time import literal
 from lakeops.session import written
 
 # monotonically_increasing_id() puts the partition above bit 33 and the row's place below it.
@@ -69,9 +70,10 @@ def next_page(
     if after is not None:
         # (a, b) > (x, y) as: a >= x AND (a > x OR b > y); the first part reaches the scan.
         beyond = F.lit(False)
-        for name, value in reversed(list(zip(order, after))):
+        last = [literal(value, df.schema[name].dataType) for name, value in zip(order, after)]
+        for name, value in reversed(list(zip(order, last))):
             beyond = (F.col(name) > value) | ((F.col(name) == value) & beyond)
-        df = df.where((F.col(order[0]) >= after[0]) & beyond)
+        df = df.where((F.col(order[0]) >= last[0]) & beyond)
     return df.orderBy(*order).limit(page_size)
 
 

@@ -22,6 +22,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from lakeops.functions.time import literal
 from lakeops.operators import changes as feed_of
 from lakeops.operators.merge import DELETED, merge_pairs, sync_pairs, unique_keys
 from lakeops.sources.files import path_exists
@@ -132,7 +133,7 @@ class VersionedTable:
         if len(found) > MOST_PARTITIONS:
             return rows
         named = [
-            F.struct(*[F.lit(v).cast(rows.schema[c].dataType).alias(c) for c, v in zip(columns, row)])
+            F.struct(*[literal(v, rows.schema[c].dataType).alias(c) for c, v in zip(columns, row)])
             for row in found
         ]
         return rows.where(F.struct(*columns).isin(*named)) if named else rows.where(F.lit(False))
