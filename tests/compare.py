@@ -28,6 +28,13 @@ def database(folder: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+# Type names of Spark, as DuckDB calls them.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+}
+
+
 def _plain(value):
     if isinstance(value, float):
         return "NaN" if math.isnan(value) else repr(value)
@@ -49,6 +56,10 @@ def differences(spark, connection, name: str, folder: str) -> str | None:
         return None if names else "no columns"
     result = connection.execute(sql)
     columns = [d[0] for d in result.description]
+    types = {d[0]: str(d[1]) for d in result.description}
+    for name, kind in df.dtypes:
+        if TYPES.get(kind) != types.get(name):
+            return f"column {name} is {kind} but expected {types.get(name)}"
     expected_names, expected = _sorted_rows(columns, result.fetchall())
     if names != expected_names:
         return f"columns {names} but expected {expected_names}"
