@@ -32,10 +32,17 @@ CURATED_TABLES = {
 }
 
 
-def create_database(spark: SparkSession, name: str, path: str, drop: bool = False) -> None:
-    if drop:
-        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{path}'")
+def create_database(
+    spark: SparkSession, name: str, location: str, replace: bool = False
+) -> None:
+    """A database whose tables lie below a location.
+
+    An existing one stays as it is, unless ``replace`` asks to drop it first, tables included.
+    """
+    if replace and spark.catalog.databaseExists(name):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    place = location.replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{place}'")
 
 
 def create_table(

@@ -190,11 +190,11 @@ def test_failures_are_gathered_and_the_rest_is_loaded(spark):
 
 def test_database_ingest_into_catalog(spark, path, rows):
     """The reader is replaced: no database is to be had in a test."""
-    catalog.create_database(spark, "ingested", f"{path}/db", drop=True)
+    catalog.create_database(spark, "ingested", f"{path}/db", replace=True)
     frames = {"Badges": spark.range(3), "Votes": spark.range(5)}
     ingest.ingest_database(spark, {}, "ingested", list(frames), read=frames.__getitem__)
     assert spark.table("ingested.badges").count() == 3 and spark.table("ingested.votes").count() == 5
-    catalog.create_database(spark, "ingested", f"{path}/db2", drop=True)
+    catalog.create_database(spark, "ingested", f"{path}/db2", replace=True)
     assert spark.sql("SHOW TABLES IN ingested").where("NOT isTemporary").count() == 0
 
 
@@ -218,7 +218,7 @@ def test_listing_is_tried_twice(spark, monkeypatch):
 
 
 def test_curated_tables_can_be_created(spark, path):
-    catalog.create_database(spark, "curated_test", path, drop=True)
+    catalog.create_database(spark, "curated_test", path, replace=True)
     for name, columns in catalog.CURATED_TABLES.items():
         catalog.create_table(spark, f"curated_test.{name}", columns)
         assert "CREATE TABLE" in catalog.create_statement(spark, f"curated_test.{name}")
