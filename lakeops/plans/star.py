@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.operators import changes as feed_of
 from lakeops.operators.merge import DELETED, INSERT, merge_pairs
-from lakeops.operators.numbering import assign_ids, highest_id, with_row_number
+from lakeops.operators.numbering import assign_ids, highest_id
 from lakeops.operators.relate import fact_lookup
 from lakeops.plans.jobs import run_tables
 from lakeops.session import written
@@ -66,19 +66,23 @@ def dimension_pairs(
 ) -> tuple[DataFrame, int]:
     """Pairs of a dimension merge, and the highest id after it.
 
-    Known rows keep their id. New rows come first in the numbering, so that they get the numbers
-    after the highest one, in key order.
+    Known rows keep their id. Only new rows are sorted, to get the numbers after the highest one in
+    key order.
     """
     settings = {c: F.col(f"s.`{c}`") for c in rows.columns}
     pairs = merge_pairs(
         dimension, rows, [key], update=settings, insert=settings, whole_target=False, check_keys=False
     )
-    ordered = pairs.withColumns({"_known": F.col("action") != INSERT, "_key": F.col(f"after.`{key}`")})
-    numbered = with_row_number(ordered, ["_known", "_key"], "_number", highest + 1)
-    with_id = F.col("after").withField(id_column, F.col("_number"))
-    after = F.when(F.col("_known"), F.col("after")).otherwise(with_id)
-    top = numbered.agg(F.max(F.when(~F.col("_known"), F.col("_number"))).alias("top")).first()["top"]
-    return numbered.select("t", "action", after.alias("after")), max(highest, top or 0)
+    pairs = written(pairs, "dimension-pairs")
+    is_new = F.col("action") == INSERT
+    numbered = assign_ids(pairs.where(is_new).select("after.*"), id_column, [key], highest)
+    inserted = numbered.select(
+        F.lit(None).cast(pairs.schema["t"].dataType).alias("t"),
+        F.lit(INSERT).alias("action"),
+        F.struct(*dimension.columns).alias("after"),
+    )
+    top = max(highest, highest_id(numbered, id_column))
+    return pairs.where(~is_new).unionByName(inserted), top
 
 
 def load_dimension(
