@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakeops.llm import lines, packing, token_files, transducer
+from lakeops.llm import (
+    ann,
+    decontam,
+    hmm,
+    lines,
+    ngram_join,
+    packing,
+    paragraphs,
+    quality,
+    token_files,
+    transducer,
+)
 from lakeops.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +82,41 @@ def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(documents(spark, folder))
+
+
+@query()
+def op1_ann(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return ann.search(vectors, F.col("vec_id") % 20 == 0)
+
+
+@query()
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_documents(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query()
+def op3_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(documents(spark, folder))
+
+
+@query()
+def op7_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.score_documents(documents(spark, folder))
+
+
+@query()
+def op9_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.leaks(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+@query()
+def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.jaccard_components(documents(spark, folder))
+
+
+@query()
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
