@@ -12,6 +12,8 @@ about 10 +- 3. Candidates within the radius are verified by exact weighted Jacca
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lakeops.llm.common import BLANKS
@@ -27,19 +29,19 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), f"[{BLANKS}]+"), lambda w: w != "")
 
 
-def _shingles(words: Column) -> Column:
-    """The hash of each run of WIDTH words, in order; of all words if there are fewer."""
+def _shingles(words: Column, width: int = WIDTH) -> Column:
+    """The hash of each run of ``width`` words, in order; of all words if there are fewer."""
     return F.when(F.size(words) == 0, F.array().cast("array<long>")).otherwise(
         F.transform(
-            F.sequence(F.lit(1), F.greatest(F.size(words) - WIDTH + 1, F.lit(1))),
-            lambda i: F.xxhash64(F.slice(words, i, WIDTH)),
+            F.sequence(F.lit(1), F.greatest(F.size(words) - width + 1, F.lit(1))),
+            lambda i: F.xxhash64(F.slice(words, i, width)),
         )
     )
 
 
 def _with(value: Column, function) -> Column:
     """``function`` of a value that is computed once, however often the function uses it."""
-    return F.get(F.transform(F.array(value), function), 0)
+    return F.get(F.transform(F.array(value), lambda x: function(x)), 0)
 
 
 def simhash(shingles: Column) -> Column:
@@ -111,9 +113,14 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     needed = items.select("size", F.posexplode("item_shingles").alias("item_at", "shingle")).distinct()
     held = needed.count()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
-    shingled = keyed.select(
-        "doc_id", "row", F.posexplode(_with(_words(F.col("text")), _shingles)).alias("at", "shingle")
-    )
+
+    def runs(width: int) -> DataFrame:
+        shingles = _with(_words(F.col("text")), lambda words: _shingles(words, width))
+        return keyed.select("doc_id", "row", F.posexplode(shingles).alias("at", "shingle"))
+
+    # An item of fewer words is one shingle of its own width.
+    short = [r["size"] for r in items.filter(F.col("size") < WIDTH).select("size").distinct().collect()]
+    shingled = reduce(DataFrame.union, map(runs, [WIDTH, *short]))
     shared = shingled.join(F.broadcast(needed) if held <= MOST_BROADCAST else needed, "shingle")
     starts = written(
         shared.groupBy("doc_id", "row").agg(

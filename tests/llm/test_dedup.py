@@ -167,8 +167,8 @@ def test_paragraphs_agree_with_all_pairs(spark, documents, odd_rows):
 
 
 def test_edit_distance_of_short_paragraphs():
-    assert paragraphs.similar("a b c d e".split(), "a b x d e".split(), 80)
-    assert not paragraphs.similar("a b c d e".split(), "a x y d e".split(), 80)
+    assert paragraphs.edits_allow("a b c d e".split(), "a b x d e".split(), 80)
+    assert not paragraphs.edits_allow("a b c d e".split(), "a x y d e".split(), 80)
 
 
 def test_components_of_a_chain_and_a_star(spark):
