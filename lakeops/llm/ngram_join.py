@@ -1,23 +1,26 @@
 """Exact Jaccard self-join of word n-gram sets with prefix trees, and its components (operator 10).
 
-1. Each text becomes its set of n-gram hashes in one global order. Sets are digested; equal sets are
-   one class from here on.
-2. Two sets with Jaccard of at least t share one of their first n - ceil(t n) + 1 members, in any
-   order common to all. Members which many sets hold come last in it, so that these prefixes are rare.
-   Classes which share a prefix member, and whose sizes allow a link, are joined into candidate
-   components: a superset of the true ones, found from one edge per prefix member and class.
-3. The sets of a candidate component meet in one task, several small components together. One that
+1. Each text becomes its set of n-gram hashes, in ascending order: one global order. Sets are
+   digested; equal sets are one class from here on.
+2. A fixed bitmap tells which members may occur in several sets. A set with more than n - ceil(t n)
+   members of its own links with nothing and is left out here.
+3. Sets of sizes a and b with Jaccard of at least 0.8 differ in at most (a + b) / 9 members. Between
+   the members they share, that many gaps are broken, so one of the next two in order is unbroken:
+   two shared members follow each other in both sets, within the first 0.4 n + 3 members of each.
+   Classes with such a pair in common are joined into candidate components, a superset of the true
+   ones, found from one edge per pair and class. Small sets use single members.
+4. The sets of a candidate component meet in one task, several small components together. One that
    is too large for a task is dealt over blocks, and each pair of blocks meets in a task.
-4. There, sets are put into a prefix tree in order of size. Each one is first looked up: the walk
+5. There, sets are put into a prefix tree in order of size. Each one is first looked up: the walk
    carries the overlap along shared paths, and leaves a subtree when the members that are left, of
    the set or of the longest set below, cannot make up the overlap that the shortest one needs.
    Sets that are already connected are not compared again, so a link is never lost but its component.
-5. The components of the links are those of the documents.
+6. The components of the links are those of the documents.
 """
 
 from __future__ import annotations
 
-import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,20 +29,14 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.llm.common import components, shingle_set
+from lakeops.llm.common import components, mixed, shingle_set
 from lakeops.session import written
 
-# A little over 1 / 0.8, so that rounding cannot part two sizes whose ratio is exactly that.
-SIZE_STEP = 1.26
-FREQUENT = 5
-MOST_FREQUENT = 400_000
+RANGES, RANGE_BITS = 256, 20  # the bitmap has 2**28 bits
+SMALL, LARGER = 8, 10  # a partner of a set of up to 8 members has up to 10
 TASK_DOCS = 1_500
 
 
-def _signed(hashes: np.ndarray) -> np.ndarray:
-    return hashes.view(np.int64)
-
-
 def _digest(members: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(members.tobytes())
 
@@ -163,72 +160,128 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     return links
 
 
+class Occupied:
+    """Which places of the bitmap hold a member of a set, and which hold members of several sets."""
+
+    def __init__(self):
+        self.once = np.zeros(RANGES << (RANGE_BITS - 3), np.uint8)
+        self.again = np.zeros_like(self.once)
+
+    def add(self, sets: list[np.ndarray]) -> None:
+        if not sets:
+            return
+        places = np.sort(_places(np.concatenate(sets)))
+        repeated = places[1:][places[1:] == places[:-1]]
+        for target, chosen in ((self.again, repeated), (None, places)):
+            if not len(chosen):
+                continue
+            octets = chosen >> 3
+            firsts = np.flatnonzero(np.concatenate(([True], octets[1:] != octets[:-1])))
+            bits = np.bitwise_or.reduceat(np.uint8(1) << (chosen & 7).astype(np.uint8), firsts)
+            at = octets[firsts]
+            if target is None:
+                self.again[at] |= self.once[at] & bits
+                self.once[at] |= bits
+            else:
+                target[at] |= bits
+
+    def ranges(self) -> Iterator[tuple[int, bytes, bytes]]:
+        for number, (once, again) in enumerate(zip(np.split(self.once, RANGES), np.split(self.again, RANGES))):
+            yield number, zlib.compress(once.tobytes(), 1), zlib.compress(again.tobytes(), 1)
+
+
+def _places(members: np.ndarray) -> np.ndarray:
+    """A member's place in the bitmap; consecutive members are far apart."""
+    return (mixed(members) >> np.uint64(36)).astype(np.uint32)
+
+
 def _class_table(docs: DataFrame, size: int) -> DataFrame:
-    """A row for each document: its set's size, node and digest, and members common in its batch."""
+    """A row for each document: its set's size, node and digest. Rows without ``n`` hold the ranges
+    of the bitmaps of a task, over its different sets."""
+
+    names = ["doc_id", "text_hash", "n", "node", "digest", "range", "once", "again"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        occupied, seen = Occupied(), set()
         for batch in batches:
             sets = [shingle_set(text, size) for text in batch.column("text").to_pylist()]
             digests = [_digest(s) for s in sets]
-            different = {d: s for d, s in zip(digests, sets) if len(s)}
-            common = np.empty(0, np.uint64)
-            counts = np.empty(0, np.int64)
-            if different:
-                common, counts = np.unique(np.concatenate(list(different.values())), return_counts=True)
-                common, counts = common[counts > 1], counts[counts > 1]
-            nothing = [[] for _ in range(len(sets) - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("text_hash"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_node(d) for d in digests], pa.int64()),
-                    pa.array(digests, pa.binary()),
-                    pa.array([_signed(common), *nothing] if sets else [], pa.list_(pa.int64())),
-                    pa.array([counts, *nothing] if sets else [], pa.list_(pa.int64())),
-                ],
-                names=["doc_id", "text_hash", "n", "node", "digest", "common", "times"],
-            )
+            if len(seen) > 200_000:
+                seen.clear()
+            new = {d: s for d, s in zip(digests, sets) if len(s) and d not in seen}
+            seen.update(new)
+            occupied.add(list(new.values()))
+            own = [
+                batch.column("doc_id"),
+                batch.column("text_hash"),
+                pa.array([len(s) for s in sets], pa.int64()),
+                pa.array([_node(d) for d in digests], pa.int64()),
+                pa.array(digests, pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(own + [pa.nulls(len(sets), k) for k in kinds[5:]], names=names)
+        columns = [pa.array(c, k) for c, k in zip(zip(*occupied.ranges()), kinds[5:])]
+        yield pa.RecordBatch.from_arrays([pa.nulls(RANGES, k) for k in kinds[:5]] + columns, names=names)
 
     schema = (
-        "doc_id long, text_hash long, n long, node long, digest binary, common array<long>, times array<long>"
+        "doc_id long, text_hash long, n long, node long, digest binary, range long, once binary, again binary"
     )
     return written(docs.mapInArrow(digested, schema), "ngram-classes")
 
 
-def _frequent(classes: DataFrame) -> np.ndarray:
-    """Members found in many classes, ascending; at most ``MOST_FREQUENT``, the most frequent ones.
+def _shared_places(table: DataFrame) -> np.ndarray:
+    """The bitmap of places with members of several sets, of a fixed size for any corpus.
 
-    They decide the order of members only, and any order gives the same links.
+    A place that is taken by chance keeps a set in the search and costs time only.
     """
-    counted = written(
-        classes.filter(F.size("common") > 0)
-        .select(F.explode(F.arrays_zip("common", "times")).alias("__pair"))
-        .groupBy(F.col("__pair.common").alias("member"))
-        .agg(F.sum("__pair.times").alias("times"))
-        .filter(F.col("times") >= FREQUENT),
-        "ngram-frequent",
-    )
-    by_times = counted.groupBy(F.floor(F.log2("times") * 4).alias("level")).count().orderBy(F.desc("level")).collect()
-    least, taken = None, 0
-    for row in by_times:
-        taken += row["count"]
-        if taken > MOST_FREQUENT:
-            break
-        least = row["level"]
-    if least is None:
-        return np.empty(0, np.uint64)
-    rows = counted.filter(F.floor(F.log2("times") * 4) >= least).select("member").toPandas()
-    return np.sort(rows["member"].to_numpy(np.int64).view(np.uint64))
-
-
-def _candidate_components(docs: DataFrame, size: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """``node`` and ``component`` of the classes that share a prefix member with another one."""
-    spark = docs.sparkSession
-    last = spark.sparkContext.broadcast(frequent)
-
-    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = last.value
+
+    def combined(frame: pd.DataFrame) -> pd.DataFrame:
+        once = np.zeros(1 << (RANGE_BITS - 3), np.uint8)
+        again = np.zeros_like(once)
+        for one, more in zip(frame["once"], frame["again"]):
+            new = np.frombuffer(zlib.decompress(one), np.uint8)
+            again |= np.frombuffer(zlib.decompress(more), np.uint8) | (once & new)
+            once |= new
+        packed = [zlib.compress(x.tobytes(), 1) for x in (once, again)]
+        return pd.DataFrame({"range": frame["range"][:1], "part": [0], "once": packed[:1], "again": packed[1:]})
+
+    schema = "range long, part long, once binary, again binary"
+    parts = table.filter("n IS NULL").select("range", F.pmod(F.hash("once"), F.lit(16)).cast("long").alias("part"), "once", "again")
+    some = parts.groupBy("range", "part").applyInPandas(combined, schema)
+    rows = some.groupBy("range").applyInPandas(combined, schema).select("range", "again").collect()
+    result = np.zeros((RANGES, 1 << (RANGE_BITS - 3)), np.uint8)
+    for row in rows:
+        result[row["range"]] = np.frombuffer(zlib.decompress(row["again"]), np.uint8)
+    return result.ravel()
+
+
+def search_keys(members: np.ndarray, shared: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of which two sets that link have one in common at least; none for a set that cannot link.
+
+    ``shared`` marks the members that other sets may hold. The others are members of this set only,
+    so they are no part of an overlap, and fewer of the shared ones can be missing elsewhere.
+    """
+    size, alone = len(members), int(np.count_nonzero(~shared))
+    missing = prefix_length(size, percent) - 1  # so many members of its own at most
+    if alone > missing:
+        return members[:0]
+    left = members[shared]
+    # With x members missing in the other set and y of its own, x + y gaps are broken, and x members
+    # may lie between: a pair ends within 2 x + y + 2 members, and 2 x + y exceeds twice the most
+    # that can be missing by one at most.
+    reach = 2 * (missing - alone) + 3
+    with np.errstate(over="ignore"):
+        keys = mixed(left[: min(reach, len(left)) - 1] * np.uint64(3)) + left[1:reach] if len(left) > 1 else left[:0]
+        if size <= LARGER:
+            keys = np.concatenate((keys, mixed(left[: missing - alone + 1] + np.uint64(1))))
+        return mixed(keys)
+
+
+def _candidate_components(docs: DataFrame, size: int, percent: int, places: np.ndarray) -> DataFrame:
+    """``node`` and ``component`` of the classes that share a key with another one."""
+    held = docs.sparkSession.sparkContext.broadcast(places)
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {}
             for text in batch.column("text").to_pylist():
@@ -238,54 +291,27 @@ def _candidate_components(docs: DataFrame, size: int, percent: int, frequent: np
                 node = _node(_digest(members))
                 if node in found:
                     continue
-                if len(common):
-                    places = np.minimum(np.searchsorted(common, members), len(common) - 1)
-                    late = common[places] == members
-                    ordered = np.concatenate((members[~late], members[late]))
-                else:
-                    ordered = members
-                kept = ordered[: prefix_length(len(members), percent)]
-                found[node] = (len(members), _signed(np.ascontiguousarray(kept)))
+                at = _places(members)
+                shared = (held.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+                keys = search_keys(members, shared, percent)
+                if len(keys):
+                    found[node] = keys.view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(found), pa.int64()),
-                    pa.array([int(math.log(n) / math.log(SIZE_STEP)) for n, _ in found.values()], pa.int64()),
-                    pa.array([p for _, p in found.values()], pa.list_(pa.int64())),
-                ],
-                names=["node", "level", "prefix"],
+                [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))],
+                names=["node", "keys"],
             )
 
-    stored = written(
-        docs.select("text").mapInArrow(prefixes, "node long, level long, prefix array<long>"), "ngram-prefixes"
-    )
-    postings = stored.select("node", "level", F.explode("prefix").alias("member"))
-    shared = (
-        postings.groupBy("member")
-        .agg(F.min("node").alias("__first"), F.max("node").alias("__last"))
-        .filter(F.col("__first") != F.col("__last"))
-        .select("member")
-    )
-    # Sizes that allow a link are at most one level apart, so they meet at the level of the larger.
-    keyed = written(
-        postings.join(shared, "member").select(
-            "node",
-            F.explode(
-                F.array(F.xxhash64("member", "level"), F.xxhash64("member", F.col("level") + 1))
-            ).alias("key"),
-        ),
-        "ngram-postings",
-    )
+    stored = written(docs.select("text").mapInArrow(keyed, "node long, keys array<long>"), "ngram-keys")
+    postings = stored.select("node", F.explode("keys").alias("key"))
     leaders = written(
-        keyed.groupBy("key")
+        postings.groupBy("key")
         .agg(F.min("node").alias("leader"), F.max("node").alias("__last"))
         .filter(F.col("leader") != F.col("__last"))
         .select("key", "leader"),
         "ngram-leaders",
     )
-    edges = keyed.join(leaders, "key").filter(F.col("node") != F.col("leader")).select(
-        F.col("node").alias("a"), F.col("leader").alias("b")
-    )
-    return components(edges.distinct(), "ngram-candidates")
+    edges = postings.join(leaders, "key").filter(F.col("node") != F.col("leader"))
+    return components(edges.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "ngram-candidates")
 
 
 def _links(docs: DataFrame, classes: DataFrame, candidates: DataFrame, size: int, percent: int) -> DataFrame:
@@ -343,8 +369,9 @@ def _labelled(docs: DataFrame, size: int, percent: int) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "text_hash", F.xxhash64("text")
     )
-    classes = _class_table(narrow, size)
-    candidates = _candidate_components(narrow, size, percent, _frequent(classes))
+    table = _class_table(narrow, size)
+    classes = table.filter("n IS NOT NULL").select("doc_id", "text_hash", "n", "node", "digest")
+    candidates = _candidate_components(narrow, size, percent, _shared_places(table))
     links = _links(narrow, classes, candidates, size, percent)
     joined = components(links, "ngram").withColumnRenamed("node", "digest")
     smallest = classes.groupBy("digest").agg(F.min("doc_id").alias("__least")).join(joined, "digest")
