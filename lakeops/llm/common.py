@@ -6,8 +6,6 @@ columns it needs, so extra columns of its input cannot clash with its own names.
 
 from __future__ import annotations
 
-from functools import reduce
-
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -95,41 +93,35 @@ def crc_remainder(column: str | Column, divisor: int) -> Column:
 def components(edges: DataFrame, name: str, most_rounds: int = 60) -> DataFrame:
     """``node`` and ``component``, the smallest node it reaches, for the nodes of ``edges`` (a, b).
 
-    Each round hands the smallest label seen by the ends of each edge to both, then lets each label
-    jump to its own label. Rounds are written to the shared folder, so lineage does not grow and a
-    lost executor costs no earlier round. Neither edges nor labels ever reach the driver: only the
-    number of changed labels does.
+    Each round hooks every node to its smallest neighbour and contracts the edges to what the nodes
+    were hooked to, so that edges vanish fast; the smallest node of a component is never hooked.
+    Rounds are written to the shared folder, so lineage does not grow and a lost executor costs no
+    earlier round. Neither edges nor nodes ever reach the driver.
     """
-    both = written(
-        edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(),
-        f"{name}-edges",
-    )
-    labels = written(
-        both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("component")).withColumnRenamed("a", "node"),
-        f"{name}-labels",
-    )
-    for _ in range(most_rounds):
-        seen = (
-            both.join(labels.select(F.col("node").alias("b"), "component"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("__seen"))
-        )
-        hooked = labels.join(seen, "node").select(
-            "node", "component", F.least("component", "__seen").alias("__next")
-        )
-        jump = labels.select(F.col("node").alias("__next"), F.col("component").alias("__jump"))
-        labels = written(
-            hooked.join(jump, "__next", "left").select(
-                "node",
-                F.least("__next", F.coalesce("__jump", "__next")).alias("component"),
-                (F.least("__next", F.coalesce("__jump", "__next")) < F.col("component")).alias("__changed"),
-            ),
-            f"{name}-labels",
-        )
-        if labels.filter("__changed").isEmpty():
-            return labels.select("node", "component")
-    raise RuntimeError(f"the components did not settle within {most_rounds} rounds")
 
+    def contracted(links: DataFrame, label: str) -> DataFrame:
+        pair = links.filter(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return written(pair.distinct(), f"{name}-{label}")
 
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions)
+    links, found = contracted(edges, "edges"), None
+    for _ in range(most_rounds):
+        if found is not None and links.isEmpty():
+            return found
+        ends = links.union(links.select("b", "a"))
+        parents = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("__least"))
+        hooked = written(parents.select("node", F.least("node", "__least").alias("parent")), f"{name}-hooked")
+        up = hooked.select(F.col("node").alias("parent"), F.col("parent").alias("__up"))
+        hooked = written(hooked.join(up, "parent").select("node", F.col("__up").alias("parent")), f"{name}-hooked")
+        if found is None:
+            found = hooked.withColumnRenamed("parent", "component")
+        else:
+            step = hooked.withColumnRenamed("node", "component")
+            found = found.join(step, "component", "left").select(
+                "node", F.coalesce("parent", "component").alias("component")
+            )
+        found = written(found, f"{name}-found")
+        of_a = hooked.select(F.col("node").alias("a"), F.col("parent").alias("__a"))
+        of_b = hooked.select(F.col("node").alias("b"), F.col("parent").alias("__b"))
+        moved = links.join(of_a, "a").join(of_b, "b")
+        links = contracted(moved.select(F.col("__a").alias("a"), F.col("__b").alias("b")), "edges")
+    raise RuntimeError(f"the components did not settle within {most_rounds} rounds")
