@@ -6,8 +6,8 @@
    (1 - 0.8**5) ** 20, below 0.04 %.
 3. Classes that collide in a band form candidate components, from one edge per band value and class.
    A component's classes meet in a task, several small ones together; one that is too large is dealt
-   over blocks whose pairs meet. There, pairs that share a band are verified by exact Jaccard, or by
-   edit distance where shingles are too few to tell.
+   over blocks whose pairs meet. There, links are verified by exact Jaccard, or by edit distance where
+   shingles are too few to tell.
 4. Components of verified links are groups of copies. A paragraph is a removal unless it is the first
    of its group, by document and position.
 """
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from lakeops.llm.common import components, mixed, plain_words, shingle_hashes
-from lakeops.llm.ngram_join import Groups, needed_overlap
+from lakeops.llm.ngram_join import Groups, linked
 from lakeops.session import written
 
 BANDS, ROWS = 20, 5
@@ -66,32 +66,32 @@ def edits_within(one: list[str], other: list[str], most: int) -> bool:
     return before[-1] <= most
 
 
-def similar(one: list[str], other: list[str], percent: int) -> bool:
-    """Exact Jaccard of the five-word shingles; of words by edit distance where there are few."""
-    if min(len(one), len(other)) < FEW_WORDS:
-        longest = max(len(one), len(other))
-        return edits_within(one, other, longest * (100 - percent) // 100)
-    first, second = set(shingle_hashes(one).tolist()), set(shingle_hashes(other).tolist())
-    return len(first & second) >= needed_overlap(len(first), len(second), percent)
+def edits_allow(one: list[str], other: list[str], percent: int) -> bool:
+    """Whether the words that differ leave ``percent`` of the longer text."""
+    return edits_within(one, other, max(len(one), len(other)) * (100 - percent) // 100)
 
 
 def verified(texts: list[str], percent: int) -> list[tuple[int, int]]:
-    """Verified links among texts which share a band, enough to connect all that are connected."""
+    """Verified links among the texts of a candidate component, enough to connect all that link.
+
+    Texts of few words are compared by edit distance if they share a band, all others by the exact
+    Jaccard of their shingles, through a prefix tree that compares no pair already connected.
+    """
     words = [plain_words(t) for t in texts]
-    bands = band_values(signatures([shingle_hashes(w) for w in words]))
-    groups, links = Groups(len(texts)), []
+    few = [n for n, w in enumerate(words) if len(w) < FEW_WORDS]
+    many = [n for n, w in enumerate(words) if len(w) >= FEW_WORDS]
+    links = [(many[a], many[b]) for a, b in linked([np.unique(shingle_hashes(words[n])) for n in many], percent)]
+    if not few:
+        return links
+    bands, groups = band_values(signatures([shingle_hashes(words[n]) for n in few])), Groups(len(few))
     for band in range(BANDS):
         order = np.argsort(bands[:, band], kind="stable")
-        cuts = np.flatnonzero(np.diff(bands[order, band])) + 1
-        for run in np.split(order, cuts):
-            if len({groups.of(int(x)) for x in run}) == 1:
-                continue
-            for at in range(1, len(run)):
-                one = int(run[at])
-                for other in map(int, run[:at]):
-                    if groups.of(one) != groups.of(other) and similar(words[one], words[other], percent):
+        for run in np.split(order, np.flatnonzero(np.diff(bands[order, band])) + 1):
+            for at, one in enumerate(run.tolist()):
+                for other in run[:at].tolist():
+                    if groups.of(one) != groups.of(other) and edits_allow(words[few[one]], words[few[other]], percent):
                         groups.join(one, other)
-                        links.append((one, other))
+                        links.append((few[one], few[other]))
     return links
 
 
