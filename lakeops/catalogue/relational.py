@@ -334,12 +334,13 @@ def _profile_sql(name: str, numbers: dict[str, bool], texts: list[str], source:
     rows = []
     for column, fraction in numbers.items():
         valid = f"CASE WHEN isnan({column}) THEN NULL ELSE {column} END" if fraction else column
+        text = "NULL" if fraction else "{}(" + column + ")"
         nan = f"count(*) FILTER (WHERE isnan({column}))" if fraction else "0::BIGINT"
         rows.append(
             f"""SELECT '{column}' AS column_name, count(*) AS row_count,
             count(*) FILTER (WHERE {column} IS NULL) AS null_count, {nan} AS nan_count,
             min({valid})::DOUBLE AS min_number, max({valid})::DOUBLE AS max_number,
-            NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text,
+            {text.format("min")}::VARCHAR AS min_text, {text.format("max")}::VARCHAR AS max_text,
             count(DISTINCT {column}) AS distinct_count FROM {name}"""
         )
     for column in texts:

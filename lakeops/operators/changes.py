@@ -94,10 +94,13 @@ def as_rows(feed: DataFrame, time_column: str = "last_modified") -> DataFrame:
 def latest_changes(feed: DataFrame, keys: Sequence[str], order: str = VERSION) -> DataFrame:
     """The newest image of each key; images from before an update are dropped.
 
+    An overwrite deletes and inserts a key at one version: there the image that stays wins, whatever
+    the order of the rows.
+
     Spark turns ``row_number() = 1`` into a group limit ahead of the shuffle, so each task sends on
     at most one row per key, however often that key occurs.
     """
-    newest = Window.partitionBy(*keys).orderBy(F.desc(order))
+    newest = Window.partitionBy(*keys).orderBy(F.desc(order), F.col(CHANGE_TYPE) == DELETED_ROW)
     return (
         feed.where(F.col(CHANGE_TYPE) != BEFORE_UPDATE)
         .withColumn("_newest", F.row_number().over(newest))

@@ -32,15 +32,15 @@ def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     missing = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
     named = ", ".join(keys)
-    fine = (
-        F.when(missing, F.raise_error(F.lit(f"NULL in merge key ({named})")).cast("boolean"))
-        .when(
-            F.col("_copies") > 1,
-            F.raise_error(F.lit(f"several source rows for one merge key ({named})")).cast("boolean"),
-        )
-        .otherwise(F.lit(True))
+    named_key = F.when(missing, F.raise_error(F.lit(f"NULL in merge key ({named})")).cast("boolean")).otherwise(
+        F.lit(True)
     )
-    return df.withColumn("_copies", copies).where(fine).drop("_copies")
+    fine = F.when(
+        F.col("_copies") > 1,
+        F.raise_error(F.lit(f"several source rows for one merge key ({named})")).cast("boolean"),
+    ).otherwise(F.lit(True))
+    # Rows without key fail ahead of the window, so they never gather in one of its tasks.
+    return df.where(named_key).withColumn("_copies", copies).where(fine).drop("_copies")
 
 
 def active(df: DataFrame, flag: str = DELETED) -> DataFrame:

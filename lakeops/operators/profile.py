@@ -19,8 +19,8 @@ from pyspark.sql.types import (
 _TEXT_LIKE = (StringType, BooleanType, DateType, TimestampType, TimestampNTZType)
 
 
-def _profiled(df: DataFrame) -> list:
-    return [f for f in df.schema.fields if isinstance(f.dataType, (NumericType, *_TEXT_LIKE))]
+# Longer texts travel as their digest, which has one letter more than this.
+_SHORT = 32
 
 
 def _distinct_text(field) -> Column:
@@ -28,27 +28,33 @@ def _distinct_text(field) -> Column:
     value = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (FloatType, DoubleType)):
         value = value + F.lit(0.0).cast(field.dataType)
-    return value.cast("string")
+    if isinstance(field.dataType, (NumericType, *_TEXT_LIKE)):
+        text = value.cast("string")
+    else:
+        text = F.when(value.isNotNull(), F.to_json(F.struct(value)))
+    return F.when(F.length(text) > _SHORT, F.concat(F.lit("#"), F.md5(text))).otherwise(text)
 
 
 def profile_columns(df: DataFrame, distinct: str = "exact") -> DataFrame:
     """One row per column: rows, NULLs, NaNs, distinct values, smallest and largest value.
 
-    Numbers report their range in ``min_number``/``max_number`` (NaN left out), other columns in
-    ``min_text``/``max_text``. The ranges need one aggregation without a shuffle of rows. The exact
+    Numbers report their range in ``min_number``/``max_number`` (NaN left out), all but fractions also
+    in ``min_text``/``max_text``, exactly. Texts, flags and times report theirs there. Binary and nested
+    columns have counts only. The ranges need one aggregation without a shuffle of rows. The exact
     distinct counts need a second scan: (column, value) pairs are made distinct within each task
     and then by hash of the pair, so a frequent value costs no more than a rare one.
     ``distinct="approx"`` estimates them in the first pass instead.
     """
-    fields = _profiled(df)
+    fields = df.schema.fields
 
     def described(field) -> Column:
         value = F.col(f"`{field.name}`")
         number = isinstance(field.dataType, NumericType)
         fraction = isinstance(field.dataType, (FloatType, DoubleType))
+        exact = isinstance(field.dataType, (NumericType, *_TEXT_LIKE)) and not fraction
         ranged = F.when(~F.isnan(value), value) if fraction else value
         none_number, none_text = F.lit(None).cast("double"), F.lit(None).cast("string")
-        low, high = F.min(ranged), F.max(ranged)
+        low, high = (F.min(ranged), F.max(ranged)) if number or exact else (none_text, none_text)
         return F.struct(
             F.lit(field.name).alias("column_name"),
             F.count(F.lit(1)).alias("row_count"),
@@ -56,10 +62,12 @@ def profile_columns(df: DataFrame, distinct: str = "exact") -> DataFrame:
             (F.count_if(F.isnan(value)) if fraction else F.lit(0).cast("long")).alias("nan_count"),
             (low.cast("double") if number else none_number).alias("min_number"),
             (high.cast("double") if number else none_number).alias("max_number"),
-            (none_text if number else low.cast("string")).alias("min_text"),
-            (none_text if number else high.cast("string")).alias("max_text"),
+            (low.cast("string") if exact else none_text).alias("min_text"),
+            (high.cast("string") if exact else none_text).alias("max_text"),
             (
-                F.approx_count_distinct(value) if distinct == "approx" else F.lit(None).cast("long")
+                F.approx_count_distinct(_distinct_text(field))
+                if distinct == "approx"
+                else F.lit(None).cast("long")
             ).alias("distinct_count"),
         )
 

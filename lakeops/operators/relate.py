@@ -70,17 +70,15 @@ def union_users(old: DataFrame, new: DataFrame, dedupe: bool = True) -> DataFram
 
     A user of both sets, or with several rows in one, would multiply the posts joined to them.
     With ``dedupe`` one row per user is left: from the new set if it is there, and within one set
-    the first in the order of all columns.
+    the first in the order of all columns. Rows without id are different users and all stay.
     """
     both = old.withColumn("_rank", F.lit(1)).unionByName(new.withColumn("_rank", F.lit(0)))
     if dedupe:
         others = [c for c in old.columns if c != "user_id"]
         first = Window.partitionBy("user_id").orderBy("_rank", *others)
-        both = (
-            both.withColumn("_place", F.row_number().over(first))
-            .where(F.col("_place") == 1)
-            .drop("_place")
-        )
+        known = both.where(F.col("user_id").isNotNull())
+        known = known.withColumn("_place", F.row_number().over(first)).where(F.col("_place") == 1)
+        both = known.drop("_place").unionByName(both.where(F.col("user_id").isNull()))
     return both.drop("_rank")
 
 

@@ -103,9 +103,10 @@ def load_dimension(
         numbered = assign_ids(rows, id_column, [key])
         top = str(highest_id(numbered, id_column))
         return target.create(numbered, (), committed_at, {**done, HIGHEST: top})
-    highest = int(state.properties[HIGHEST])
+    known = target.read()
+    highest = int(state.properties.get(HIGHEST) or highest_id(known, id_column))
     rows = written(rows, "dimension-rows")
-    pairs, top = dimension_pairs(target.read(), rows, key, id_column, highest)
+    pairs, top = dimension_pairs(known, rows, key, id_column, highest)
     return target.commit(pairs, [key], MERGE, committed_at, {**done, HIGHEST: str(top)}, state)
 
 
@@ -154,7 +155,8 @@ def load_fact(
     facts = written(facts, "fact-rows")
     near = target.near(facts, FACT_KEY, state)
     pairs = merge_pairs(near, facts, FACT_KEY, whole_target=False, check_keys=False)
-    return target.commit(pairs, FACT_KEY, MERGE, committed_at, done, state)
+    # What waits now must be seen even if no reading found its series.
+    return target.commit(pairs, FACT_KEY, MERGE, committed_at, done, state, note=True)
 
 
 def rejects(fact: VersionedTable) -> DataFrame:

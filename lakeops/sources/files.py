@@ -46,22 +46,28 @@ def read_xml(
     root_tag: str,
     row_tag: str = "row",
     schema: StructType | str | None = None,
-    sampling_ratio: float = 0.001,
+    sampling_ratio: float = 1.0,
     row_per_line: bool = True,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
     """Rows of an XML file; attributes become columns named ``_Attribute``.
 
-    Without a schema a sample of the rows is read to find one. Dumps hold one row per line, so a
-    large file is split among tasks; a line which breaks this rule fails the job. Other files need
+    Without a schema all rows are read to find one, or a share of them; then a row with an attribute
+    which that share did not show fails the job. A value which does not fit its type fails it too,
+    unless a column is named which keeps such rows as text. Dumps hold one row per line, so a large
+    file is split among tasks; a line which breaks this rule fails the job. Other files need
     ``row_per_line=False``, which reads each file in one task.
     """
+    inferred = schema is None
     reader = spark.read.format("xml").option("rootTag", root_tag).option("rowTag", row_tag)
     if schema is None:
         reader = reader.option("samplingRatio", sampling_ratio).option("inferSchema", "true")
     else:
         reader = reader.schema(schema)
     if not row_per_line:
-        return reader.load(path)
+        if corrupt_column is None:
+            return reader.option("mode", "FAILFAST").load(path)
+        return reader.option("columnNameOfCorruptRecord", corrupt_column).load(path)
     if schema is None:
         # Lines outside of rows, such as the root tag, are no rows to learn from.
         sample = reader.option("multiLine", "false").option("mode", "DROPMALFORMED")
@@ -75,18 +81,46 @@ def read_xml(
         .when((opened == 0) & other, F.lit(False))
         .otherwise(broken.cast("boolean"))
     )
+    lines = spark.read.text(path).where(is_row)
+    if inferred and sampling_ratio < 1:
+        names = F.transform(
+            F.regexp_extract_all("value", F.lit(r'\s([\w:.-]+)\s*=\s*"[^"]*"')), lambda n: F.concat(F.lit("_"), n)
+        )
+        unseen = F.array_except(names, F.array(*[F.lit(n) for n in schema.names]).cast("array<string>"))
+        error = F.raise_error(F.concat(F.lit("attributes outside the sample: "), F.array_join(unseen, ", ")))
+        lines = lines.where(F.when(F.size(unseen) > 0, error.cast("boolean")).otherwise(F.lit(True)))
     ddl = schema if isinstance(schema, str) else schema.toDDL()
-    row = F.from_xml("value", ddl, {"rowTag": row_tag}).alias("row")
-    return spark.read.text(path).where(is_row).select(row).select("row.*")
+    options = {"rowTag": row_tag, "mode": "FAILFAST"}
+    if corrupt_column is not None:
+        ddl += f", `{corrupt_column}` STRING"
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
+    return lines.select(F.from_xml("value", ddl, options).alias("row")).select("row.*")
 
 
-def read_pages(spark: SparkSession, path: str, item_schema: StructType | str) -> DataFrame:
-    """Landed API responses: ``items`` plus response fields such as ``has_more``."""
+# Fixed value: the response fields which the API documents beside the items.
+PAGE_FIELDS = "has_more boolean, quota_max bigint, quota_remaining bigint"
+
+
+def read_pages(
+    spark: SparkSession,
+    path: str,
+    item_schema: StructType | str,
+    fields: str | None = PAGE_FIELDS,
+    multi_line: bool = False,
+) -> DataFrame:
+    """Landed API responses: ``items`` plus the response fields, by default the documented ones.
+
+    ``fields=None`` takes all fields that any response has. A response that is cut off, or whose
+    values do not fit, fails the job; one that spans lines needs ``multi_line``.
+    """
     item = item_schema if isinstance(item_schema, str) else item_schema.simpleString()
     if not item.startswith("struct<"):
         item = f"struct<{item}>"
-    schema = f"items array<{item}>, has_more boolean, quota_max bigint, quota_remaining bigint"
-    return spark.read.schema(schema).json(path)
+    reader = spark.read.option("mode", "FAILFAST").option("multiLine", multi_line)
+    if fields is None:
+        found = reader.json(path).drop("items").schema
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in found)
+    return reader.schema(", ".join(filter(None, [f"items array<{item}>", fields]))).json(path)
 
 
 def page_items(pages: DataFrame) -> DataFrame:
@@ -114,6 +148,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders whose path fits a pattern."""
+    files, folder = _file_system(spark, pattern)
+    return [entry.getPath().toString() for entry in files.globStatus(folder) or [] if entry.isDirectory()]
+
+
 def table_folders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     """(path, name) of each folder below the root; a folder holds one table."""
     files, folder = _file_system(spark, root)

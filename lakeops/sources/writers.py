@@ -4,16 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
 def spread(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Bring rows of one output folder together before a partitioned write.
 
     Without this each task writes a file into each folder. The rebalance hint lets adaptive
-    execution split a folder that holds far more rows than the others.
+    execution split a folder that holds far more rows than the others. A folder name cannot tell an
+    empty string from NULL, so an empty string in a partition column fails the job.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    if not partition_by:
+        return df
+    kinds = dict(df.dtypes)
+    for column in partition_by:
+        if kinds[column] == "string":
+            error = F.raise_error(F.lit(f"empty string in partition column {column}")).cast("boolean")
+            df = df.where(F.when(F.col(column) == "", error).otherwise(F.lit(True)))
+    return df.hint("rebalance", *partition_by)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

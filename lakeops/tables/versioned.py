@@ -22,10 +22,9 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from lakeops.functions.time import literal
 from lakeops.operators import changes as feed_of
 from lakeops.operators.merge import DELETED, merge_pairs, sync_pairs, unique_keys
-from lakeops.sources.files import path_exists
+from lakeops.sources.files import matching_folders, path_exists, table_folders
 from lakeops.sources.writers import overwrite_counted
 
 # ``detail`` is JSON: schema, partition columns, the commit each partition folder is found in, and
@@ -34,7 +33,8 @@ COMMIT_SCHEMA = (
     "version bigint, committed_at timestamp, operation string, inserted bigint, updated bigint, "
     "deleted bigint, detail string"
 )
-MOST_PARTITIONS = 1000
+# Fixed value: how Spark names the folder of a missing partition value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 CREATE, OVERWRITE, MERGE, SYNC = "create", "overwrite", "merge", "sync"
 # These commits replace all rows. Their feed is derived from the rows, not stored once more.
 _WHOLE = (CREATE, OVERWRITE)
@@ -56,6 +56,8 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
+        # Versions never change once they are there.
+        self._states: dict[int, State] = {}
 
     @classmethod
     def for_name(cls, spark: SparkSession, name: str) -> VersionedTable:
@@ -66,31 +68,36 @@ class VersionedTable:
 
     # --- reading -------------------------------------------------------------------------------
 
-    def _commits(self) -> DataFrame | None:
+    def _versions(self) -> set[int]:
+        """Numbers of the commits, from the names of their folders."""
         path = f"{self.path}/commits"
         if not path_exists(self.spark, path):
-            return None
-        return self.spark.read.schema(COMMIT_SCHEMA).parquet(path)
+            return set()
+        return {int(name.partition("=")[2]) for _, name in table_folders(self.spark, path)}
+
+    def _commits(self) -> DataFrame:
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits")
 
     def find_state(self, version: int | None = None) -> State | None:
         """The table at a version, by default the newest; None if there is no such version."""
-        commits = self._commits()
-        if commits is None:
-            return None
-        if version is not None:
-            commits = commits.where(F.col("version") == version)
-        commit = commits.agg(F.max_by(F.struct("*"), "version").alias("newest")).first()["newest"]
-        if commit is None:
-            return None
-        detail = json.loads(commit["detail"])
-        return State(
-            commit["version"],
-            commit["committed_at"],
-            StructType.fromJson(detail["schema"]),
-            detail["partition_by"],
-            detail["folders"],
-            detail["properties"],
-        )
+        versions = self._versions()
+        for number in sorted(versions, reverse=True) if version is None else versions & {version}:
+            if number not in self._states:
+                folder = f"{self.path}/commits/_version={number}"
+                commit = self.spark.read.schema(COMMIT_SCHEMA).parquet(folder).first()
+                if commit is None:  # not written to its end
+                    continue
+                detail = json.loads(commit["detail"])
+                self._states[number] = State(
+                    number,
+                    commit["committed_at"],
+                    StructType.fromJson(detail["schema"]),
+                    detail["partition_by"],
+                    detail["folders"],
+                    detail["properties"],
+                )
+            return self._states[number]
+        return None
 
     def state(self, version: int | None = None) -> State:
         """As ``find_state``, but a missing version is an error."""
@@ -122,21 +129,25 @@ class VersionedTable:
         """The rows in which partners of the source can be found.
 
         If the partition columns belong to the key, those are the partitions which the source
-        names. Their values come to the driver, one row per partition; beyond ``MOST_PARTITIONS``
-        of them nothing is pruned.
+        names: its folder names are joined with those of the table, and only the hits, of which
+        there are no more than the table has folders, come to the driver.
         """
         state = state or self.state()
-        rows, columns = self._rows(state), state.partition_by
+        columns = state.partition_by
         if not columns or not set(columns) <= set(keys):
-            return rows
-        found = source.select(*columns).distinct().limit(MOST_PARTITIONS + 1).collect()
-        if len(found) > MOST_PARTITIONS:
-            return rows
-        named = [
-            F.struct(*[literal(v, rows.schema[c].dataType).alias(c) for c, v in zip(columns, row)])
-            for row in found
+            return self._rows(state)
+        parts = [
+            F.concat(
+                F.lit(f"{c}="), F.coalesce(F.col(c).cast(state.schema[c].dataType).cast("string"), F.lit(NO_VALUE))
+            )
+            for c in columns
         ]
-        return rows.where(F.struct(*columns).isin(*named)) if named else rows.where(F.lit(False))
+        named = source.select(F.concat_ws("/", *parts).alias("folder")).distinct()
+        # Folder names have some letters of the values escaped.
+        known = [(folder, unquote(folder)) for folder in state.folders]
+        table = self.spark.createDataFrame(known, "escaped string, folder string")
+        hits = table.join(named, "folder", "left_semi").collect()
+        return self._rows(state, only={hit["escaped"] for hit in hits})
 
     def history(self) -> DataFrame:
         """One row per commit."""
@@ -189,12 +200,13 @@ class VersionedTable:
 
     # --- writing -------------------------------------------------------------------------------
 
-    def _folders(self, path: str, schema: StructType) -> set[str]:
-        """Partition folders below a path which hold a file, from the file listing."""
-        files = self.spark.read.schema(schema).parquet(path).inputFiles()
+    def _folders(self, path: str, partition_by: Sequence[str]) -> set[str]:
+        """Partition folders below a path, by one listing."""
+        if not partition_by:
+            return {""}
         root = f"/{path.rsplit('/', 1)[-1]}/"
-        inner = {unquote(file).rsplit(root, 1)[-1] for file in files}
-        return {file.rpartition("/")[0] for file in inner}
+        found = matching_folders(self.spark, path + "/*=*" * len(partition_by))
+        return {folder.rsplit(root, 1)[-1] for folder in found}
 
     def _write_rows(
         self,
@@ -212,16 +224,22 @@ class VersionedTable:
         count = overwrite_counted(rows, target, partition_by, rows=F.count(F.lit(1)))["rows"]
         if operation in _WHOLE:
             counts = {**counts, "inserted": count}
-        written = self._folders(target, rows.schema)
+        written = self._folders(target, partition_by)
+        folders = {**kept, **{folder: version for folder in written}}
+        state = State(version, committed_at, rows.schema, list(partition_by), folders, dict(properties))
+        return self._write_commit(state, operation, counts)
+
+    def _write_commit(self, state: State, operation: str, counts: Mapping[str, int]) -> int:
+        """The row which makes a version visible."""
         detail = {
-            "schema": rows.schema.jsonValue(),
-            "partition_by": list(partition_by),
-            "folders": {**kept, **{folder: version for folder in written}},
-            "properties": dict(properties),
+            "schema": state.schema.jsonValue(),
+            "partition_by": state.partition_by,
+            "folders": state.folders,
+            "properties": state.properties,
         }
         values = [
-            version,
-            committed_at,
+            state.version,
+            state.committed_at,
             operation,
             *[counts.get(name, 0) for name in ("inserted", "updated", "deleted")],
             json.dumps(detail),
@@ -230,8 +248,8 @@ class VersionedTable:
         row = self.spark.range(1).select(
             *[F.lit(value).cast(f.dataType).alias(f.name) for f, value in zip(fields, values)]
         )
-        row.coalesce(1).write.mode("error").parquet(f"{self.path}/commits/_version={version}")
-        return version
+        row.coalesce(1).write.mode("error").parquet(f"{self.path}/commits/_version={state.version}")
+        return state.version
 
     def _commit_time(self, given: datetime | None, last: datetime | None) -> datetime:
         if given is None:
@@ -261,14 +279,19 @@ class VersionedTable:
         partition_by: Sequence[str] | None = None,
         committed_at: datetime | None = None,
     ) -> int:
-        """Replace all rows; the feed shows every old row deleted and every new row inserted."""
+        """Replace all rows; the feed shows every old row deleted and every new row inserted.
+
+        Properties stay, so a load goes on behind what it consumed before.
+        """
         state = self.find_state()
         if state is None:
             return self.create(rows, partition_by or (), committed_at)
         columns = state.partition_by if partition_by is None else partition_by
         when = self._commit_time(committed_at, state.committed_at)
         counts = {"deleted": self._rows(state).count()}
-        return self._write_rows(rows, state.version + 1, columns, OVERWRITE, when, counts, {}, {})
+        return self._write_rows(
+            rows, state.version + 1, columns, OVERWRITE, when, counts, {}, state.properties
+        )
 
     def commit(
         self,
@@ -278,9 +301,12 @@ class VersionedTable:
         committed_at: datetime | None = None,
         properties: Mapping[str, str] | None = None,
         state: State | None = None,
+        note: bool = False,
     ) -> int | None:
         """Store a merge described by pairs; None, and no commit, if it changes nothing.
 
+        With ``note`` properties are committed even if no row changes.
+
         The images are written first. They tell which partitions to rewrite, and they supply the
         new rows, so the merge join runs once.
         """
@@ -301,8 +327,13 @@ class VersionedTable:
             updated=F.count_if(kind == feed_of.AFTER_UPDATE),
             deleted=F.count_if(kind == feed_of.DELETED_ROW),
         )
+        told = {**state.properties, **(properties or {})}
         if not any(counts.values()):
-            return None
+            if not note or told == state.properties:
+                return None
+            return self._write_commit(
+                State(version, when, state.schema, state.partition_by, state.folders, told), operation, counts
+            )
         stored = (
             self.spark.read.schema(images.schema)
             .option("basePath", base)
@@ -311,13 +342,12 @@ class VersionedTable:
         )
         gone = stored.where(kind.isin(feed_of.BEFORE_UPDATE, feed_of.DELETED_ROW))
         came = stored.where(kind.isin(feed_of.INSERTED, feed_of.AFTER_UPDATE))
-        touched = self._folders(target, images.schema)
+        touched = self._folders(target, state.partition_by)
         unchanged = self._rows(state, only=touched).join(
             gone.select(*keys), list(keys), "left_anti"
         )
         rows = unchanged.select(*state.schema.names).unionByName(came.select(*state.schema.names))
         kept = {folder: v for folder, v in state.folders.items() if folder not in touched}
-        told = {**state.properties, **(properties or {})}
         return self._write_rows(
             rows, version, state.partition_by, operation, when, counts, kept, told
         )

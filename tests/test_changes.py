@@ -40,3 +40,10 @@ def test_start_is_included(spark):
                                  "_commit_version long, _commit_timestamp timestamp")
     assert changes.from_version(feed, 2).count() == 2
     assert changes.from_time(feed, datetime(2022, 1, 2)).count() == 2
+
+
+def test_an_insert_wins_over_a_delete_of_the_same_overwrite(spark, rows):
+    feed = [(k, kind, 1) for k in range(50) for kind in ("delete", "insert")] + [(99, "delete", 1)]
+    for order in (feed, feed[::-1]):
+        frame = spark.createDataFrame(order, "k int, _change_type string, _commit_version long").repartition(7)
+        assert {r["k"] for r in changes.replayed(frame, ["k"]).collect()} == set(range(50))

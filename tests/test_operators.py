@@ -159,6 +159,51 @@ def test_xml_with_sampled_schema(spark, path, rows):
     assert rows(spark.read.parquet(f"{path}/out")) == [(1, "x"), (2, "y")]
 
 
+def write_lines(spark, path, lines):
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(path)
+
+
+def test_xml_finds_attributes_of_few_rows(spark, path):
+    lines = ["<posts>", *[f'<row Id="{i}"/>' for i in range(5_000)], '<row Id="7" FavoriteCount="3"/>', "</posts>"]
+    write_lines(spark, path, lines)
+    found = files.read_xml(spark, path, "posts")
+    assert found.columns == ["_FavoriteCount", "_Id"] and found.where("_FavoriteCount = 3").count() == 1
+    with pytest.raises(Exception, match="attributes outside the sample"):
+        files.read_xml(spark, path, "posts", sampling_ratio=0.0005).collect()
+
+
+def test_xml_values_that_do_not_fit(spark, path, rows):
+    write_lines(spark, path, ['<row Id="1" Score="5"/>', '<row Id="2" Score="abc"/>'])
+    with pytest.raises(Exception):
+        files.read_xml(spark, path, "posts", schema="_Id long, _Score long").collect()
+    kept = files.read_xml(spark, path, "posts", schema="_Id long, _Score long", corrupt_column="broken")
+    assert kept.where("broken IS NOT NULL").count() == 1 and kept.where("_Id = 1 AND broken IS NULL").count() == 1
+
+
+def test_pages_that_are_cut_off_fail(spark, path, rows):
+    write_lines(spark, f"{path}/good", ['{"items": [{"id": 1}, {"id": 2}], "has_more": true, "page": 4}'])
+    write_lines(spark, f"{path}/bad", ['{"items": [{"id": 1}, {"i'])
+    assert rows(files.page_items(files.read_pages(spark, f"{path}/good", "id long"))) == [(1,), (2,)]
+    everything = files.page_metadata(files.read_pages(spark, f"{path}/good", "id long", fields=None))
+    assert rows(everything, "has_more", "page") == [(True, 4)]
+    with pytest.raises(Exception):
+        files.read_pages(spark, f"{path}/bad", "id long").collect()
+
+
+def test_users_without_id_stay(spark):
+    users = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (None, "d")], "user_id long, name string")
+    assert relate.union_users(users, users.limit(0)).count() == 3
+
+
+def test_profile_is_exact_and_complete(spark):
+    big = 2**53 + 1
+    frame = spark.createDataFrame([(big, [1, 2], "x" * 100), (1, [1, 2], "x" * 99 + "y")], "n long, a array<int>, t string")
+    found = {r["column_name"]: r for r in profile.profile_columns(frame).collect()}
+    assert (found["n"]["min_text"], found["n"]["max_text"]) == ("1", str(big))
+    assert (found["a"]["distinct_count"], found["a"]["row_count"], found["a"]["max_text"]) == (1, 2, None)
+    assert found["t"]["distinct_count"] == 2
+
+
 def test_append_twice_keeps_both_and_merges_columns(spark, path, rows):
     writers.append_evolving(spark.createDataFrame([(1,)], "a long"), path)
     writers.append_evolving(spark.createDataFrame([(1, "n")], "a long, b string"), path)

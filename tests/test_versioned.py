@@ -117,8 +117,8 @@ def test_merge_opens_only_the_partitions_its_source_names(spark, table, rows, pa
     table.create(frame(spark, (1, "a", 1.0), (2, "b", 2.0), (3, "c", 3.0)), partition_by, T0)
     source = frame(spark, (2, "b", 5.0), (9, "d", 9.0))
     near = table.near(source, ["k", "part"])
-    plan = near._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    opened = near.inputFiles()
+    assert opened and all("/part=b/" in file for file in opened)
     assert rows(near, "k") == [(2,)]
     table.merge(source, ["k", "part"], T1)
     assert rows(table.read(), "k", "v") == [(1, 1.0), (2, 5.0), (3, 3.0), (9, 9.0)]
@@ -130,3 +130,21 @@ def test_partitions_outside_the_key_prune_nothing(spark, table):
     assert table.near(moved, ["k"]).count() == 2
     table.merge(moved, ["k"], T1)
     assert {r["part"] for r in table.read().collect()} == {"z", "b"}
+
+
+def test_overwrite_keeps_properties(spark, table, rows):
+    table.create(frame(spark, (1, "a", 1.0)), (), T0, {"consumed": "3"})
+    table.overwrite(frame(spark, (2, "b", 2.0)), None, T1)
+    assert table.state().properties == {"consumed": "3"} and rows(table.read(), "k") == [(2,)]
+
+
+def test_empty_string_is_no_partition_value(spark, table):
+    with pytest.raises(Exception, match="empty string in partition column part"):
+        table.create(frame(spark, (1, "", 1.0)), ["part"], T0)
+
+
+def test_pruning_has_no_limit_on_partitions(spark, table):
+    spread = [(i, f"p{i}", 1.0) for i in range(1_100)]
+    table.create(frame(spark, *spread).coalesce(1), ["part"], T0)
+    near = table.near(frame(spark, *spread[:1_050]), ["k", "part"])
+    assert near.count() == 1_050
