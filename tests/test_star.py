@@ -120,3 +120,21 @@ def test_wrong_column_is_an_error(spark, path):
     overwrite(spark.range(3).withColumn("v", F.lit(1)), f"{path}/raw/t")
     with pytest.raises(Exception, match="nowhere"):
         load_refined(spark, RefinedTable("t", ["id"], ["id", "nowhere"]), f"{path}/raw", f"{path}/refined")
+
+
+def test_a_load_of_rejects_only_shows_them(spark, path, rows, refined):
+    areas, items, series = [("A", "north")], [("I", "milk")], [("s1", "A", "I")]
+    refined(T[0], areas, items, series, [("s1", 2020, "M01", 1.0)])
+    before = fact(spark, path).read().count()
+    refined(T[1], areas, items, series, [("s1", 2020, "M01", 1.0), ("s9", 2020, "M01", 5.0)])
+    assert fact(spark, path).read().count() == before
+    assert rows(star.rejects(fact(spark, path)), "series_id", "value") == [("s9", 5.0)]
+
+
+def test_a_dimension_that_was_overwritten_goes_on(spark, path, rows, refined):
+    areas, items = [("A", "north")], [("I", "milk")]
+    refined(T[0], areas, items, [("s1", "A", "I")], [("s1", 2020, "M01", 1.0)])
+    dimension = VersionedTable(spark, f"{path}/curated/dim_area")
+    dimension.overwrite(dimension.read(), None, T[1])
+    refined(T[1], [("A", "north"), ("B", "new")], items, [("s1", "A", "I")], [("s1", 2020, "M01", 1.0)])
+    assert rows(dimension.read(), "dim_area_id", "area_code") == [(1, "A"), (2, "B")]
