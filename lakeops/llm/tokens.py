@@ -22,6 +22,11 @@ from lakeops.llm.common import Memo
 SPACES = r"\t-\r\x20\x85\xa0  -     　"
 PIECES = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{SPACES}\p{{L}}\p{{N}}]+")
 ASCII_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r\x20a-z0-9]+")
+# Blocks with letters that versions of Unicode disagree about; the library itself splits such texts.
+ODD = re.compile(
+    "[\U00010000-\U0010ffff\u0530-\u058f\u0860-\u08ff\u0c00-\u0dff\u1700-\u171f\u1b00-\u1b7f\u1c80-\u1cff"
+    "\u2c00-\u2c5f\u3100-\u31bf\u9fe0-\u9fff\ua7b0-\ua7ff]"
+)
 WORD_END = "</w>"
 
 
@@ -54,10 +59,24 @@ def spelled(piece: str) -> str:
     return piece if piece.isascii() and piece.isalpha() else "".join(_LETTERS[b] for b in piece.encode())
 
 
-def pieces_of(text: str) -> list[str]:
+_BYTES = {letter: byte for byte, letter in enumerate(_LETTERS)}
+
+
+@lru_cache(maxsize=2)
+def _library(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(path)
+
+
+def pieces_of(text: str, path: str) -> list[str]:
     """The normalized pieces of a text without special strings."""
     if text.isascii():
         return ASCII_PIECES.findall(text.lower())
+    if ODD.search(text):
+        library = _library(path)
+        found = library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))
+        return [bytes(map(_BYTES.__getitem__, piece)).decode() for piece, _ in found]
     text = unicodedata.normalize("NFC", text)
     # A capital sigma is lowered without regard to its place in the word.
     return PIECES.findall("".join(c.lower() for c in text) if "Σ" in text else text.lower())
@@ -66,10 +85,8 @@ def pieces_of(text: str) -> list[str]:
 class WordTokenizer:
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.model = self.library.model
+        self.path = path
+        self.model = _library(path).model
         self.special = {t["content"]: array("I", [t["id"]]).tobytes() for t in special_tokens(path)}
         self.pieces = Memo(self._piece)
 
@@ -84,7 +101,7 @@ class WordTokenizer:
             for special, number in self.special.items():
                 if special in text:
                     return number.join(map(self.ids, text.split(special)))
-        return b"".join(map(self.pieces.__getitem__, pieces_of(text)))
+        return b"".join(map(self.pieces.__getitem__, pieces_of(text, self.path)))
 
 
 @lru_cache(maxsize=2)

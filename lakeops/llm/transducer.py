@@ -42,6 +42,7 @@ class Transducer:
     """Emitted-token counts of one tokenizer file; states are compiled when first reached."""
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as file:
             content = json.load(file)
         model = content["model"]
@@ -131,7 +132,7 @@ class Transducer:
                     return len(parts) - 1 + sum(map(self.count, parts))
         if len(self.states) > MOST_STATES:
             self._reset()
-        return sum(map(self.pieces.__getitem__, pieces_of(text)))
+        return sum(map(self.pieces.__getitem__, pieces_of(text, self.path)))
 
 
 class ChunkMap(NamedTuple):
