@@ -1,30 +1,65 @@
 """Packing of documents into training sequences with their lexical neighbours (operator 8).
 
-Documents are dealt by a hash over shards of about equal size. Each shard is one task's inverted
-index with BM25 weights: a seed document opens a window, its best-scoring unused neighbours fill it
-in turn, and the document that is cut at the window's end opens the next window with its rest.
+Document frequencies and the mean length are those of the whole table. Documents are placed by what
+they hold: random projections of their BM25 weights fall into the leaves of a k-means tree fitted on
+a bounded sample, and neighbouring leaves make a shard. A leaf that is larger than a shard is dealt
+over several by a hash.
+
+Each shard is one task's inverted index with BM25 weights: a seed document opens a window, its
+best-scoring unused neighbours fill it in turn, and the document that is cut at the window's end
+opens the next window with its rest. Neighbours that the tree puts into other shards are not found;
+the README gives their share.
 """
 
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lakeops.llm.tokens import default_path, word_tokenizer
+from lakeops.llm.ann import Tree
+from lakeops.llm.tokens import default_path, vocabulary_size, word_tokenizer
+from lakeops.session import written
 
 PIECE = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 K1, B = 1.2, 0.75
+DIMENSIONS = 64
+SAMPLE = 20_000
+LEAVES_A_SHARD = 4
+
+
+def inverse_frequency(documents: int, held: np.ndarray) -> np.ndarray:
+    """BM25's weight of terms; those of more than half of the documents have none in this formula."""
+    return np.maximum(np.log((documents - held + 0.5) / (held + 0.5)), 0)
+
+
+class Sketch:
+    """Random projections of BM25 weights, brought to length 1."""
+
+    def __init__(self, idf: np.ndarray, mean_length: float, seed: int = 3):
+        self.idf, self.mean_length = idf, mean_length
+        self.directions = np.random.default_rng(seed).standard_normal((len(idf), DIMENSIONS), np.float32)
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        terms, times = np.unique(ids, return_counts=True)
+        weights = times / (times + K1 * (1 - B + B * len(ids) / self.mean_length)) * self.idf[terms]
+        point = weights.astype(np.float32) @ self.directions[terms]
+        return point / max(float(np.linalg.norm(point)), 1e-9)
 
 
 class Index:
-    """BM25 postings of the documents of a shard, term by term."""
+    """BM25 postings of the documents of a shard, term by term.
+
+    ``idf`` by term and ``mean_length`` are those of the whole table, or else of these documents.
+    """
 
-    def __init__(self, tokens: list[np.ndarray]):
+    def __init__(self, tokens: list[np.ndarray], idf: np.ndarray | None = None, mean_length: float | None = None):
         self.terms = [np.unique(ids, return_counts=True) for ids in tokens]
         lengths = np.array([len(ids) for ids in tokens], float)
         sizes = [len(t) for t, _ in self.terms]
@@ -35,9 +70,8 @@ class Index:
         self.docs = doc[order]
         self.vocabulary, first, held = np.unique(term[order], return_index=True, return_counts=True)
         self.first, self.after = first, first + held
-        # Terms of more than half of the documents have no weight in this formula.
-        idf = np.maximum(np.log((len(tokens) - held + 0.5) / (held + 0.5)), 0)
-        saturation = times / (times + K1 * (1 - B + B * lengths[doc] / lengths.mean()))
+        idf = inverse_frequency(len(tokens), held) if idf is None else idf[self.vocabulary]
+        saturation = times / (times + K1 * (1 - B + B * lengths[doc] / (mean_length or lengths.mean())))
         self.weights = saturation[order] * np.repeat(idf, held)
         self.useful = idf > 0
 
@@ -56,13 +90,15 @@ class Index:
         return left[np.argsort(-scores[left], kind="stable")]
 
 
-def filled(tokens: list[np.ndarray], window: int) -> list[tuple[int, int, int, int, int]]:
+def filled(
+    tokens: list[np.ndarray], window: int, idf: np.ndarray | None = None, mean_length: float | None = None
+) -> list[tuple[int, int, int, int, int]]:
     """Pieces (document, start, length, sequence, offset) of a shard's documents.
 
     Every sequence is full but those of the shard's tail, which are cut to powers of two, so that
     none needs padding.
     """
-    index = Index(tokens)
+    index = Index(tokens, idf, mean_length)
     lengths = np.array([len(ids) for ids in tokens])
     unused = np.ones(len(tokens), bool)
     left, pieces, sequence, room = int(lengths.sum()), [], 0, 0
@@ -99,6 +135,60 @@ def filled(tokens: list[np.ndarray], window: int) -> list[tuple[int, int, int, i
     return pieces
 
 
+def _statistics(stored: DataFrame, kind: str) -> tuple[np.ndarray, float]:
+    """BM25's weight by term and the mean length, over all documents."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.int64)
+        for batch in batches:
+            terms = [np.unique(np.frombuffer(ids, kind)) for ids in batch.column("ids").to_pylist()]
+            if terms:
+                found = np.bincount(np.concatenate(terms))
+                more = np.zeros(max(len(found), len(held)), np.int64)
+                more[: len(held)] += held
+                more[: len(found)] += found
+                held = more
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], names=["term", "held"])
+
+    rows = stored.select("ids").mapInArrow(counted, "term long, held long").groupBy("term").agg(F.sum("held"))
+    found = rows.toPandas().to_numpy(np.int64)  # a row for each term of the tokenizer at most
+    documents, length = stored.agg(F.count("*"), F.avg(F.octet_length("ids"))).first()
+    held = np.zeros(found[:, 0].max(initial=0) + 1, np.int64)
+    held[found[:, 0]] = found[:, 1]
+    return inverse_frequency(documents, held), (length or 0) / np.dtype(kind).itemsize
+
+
+def _places(stored: DataFrame, kind: str, sketch, shards: int, shard_bytes: int) -> tuple[Tree, list[tuple[int, int]]]:
+    """A tree over sketches, and for each leaf its first shard and its number of shards."""
+    documents = stored.count()
+    chance = F.pmod(F.xxhash64("doc_id", "ids"), F.lit(1_000_000)) / 1e6
+    sample = stored.filter(chance < SAMPLE / documents).select("ids", "size")
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            points = [sketch.value.of(np.frombuffer(ids, kind)).tobytes() for ids in batch.column("ids").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(points, pa.binary()), batch.column("size")], names=["point", "size"]
+            )
+
+    rows = sample.mapInArrow(sketched, "point binary, size long").toPandas()
+    points = np.frombuffer(b"".join(rows["point"]), np.float32).reshape(-1, DIMENSIONS).astype(float)
+    tree = Tree(points, LEAVES_A_SHARD * shards, 1 + 1e-6)
+    total = stored.agg(F.sum("size")).first()[0]
+    sizes = np.bincount(tree.leaf_of(points), rows["size"], tree.leaves) * total / max(rows["size"].sum(), 1)
+    places, shard, held = [], 0, 0.0
+    for size in sizes.tolist():
+        if held and held + size > shard_bytes:
+            shard, held = shard + 1, 0.0
+        count = max(1, int(-(-size // shard_bytes)))
+        places.append((shard, count))
+        held += size
+        if count > 1:
+            shard, held = shard + count, 0.0
+    return tree, places
+
+
 def pack(
     docs: DataFrame,
     window: int = 2048,
@@ -118,16 +208,49 @@ def pack(
         F.col("doc_id").isNotNull().alias("__named"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    total = known.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    kind = "<u2" if max(vocabulary_size(file), end_id + 1) <= 1 << 16 else "<u4"
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, end = word_tokenizer(file), np.array([end_id], kind).tobytes()
+        for batch in batches:
+            ids = [
+                np.frombuffer(encoder.ids(text), "<u4").astype(kind).tobytes() + end
+                for text in batch.column("text").to_pylist()
+            ]
+            columns = [batch.column("doc_id"), batch.column("__named"), batch.column("size"), pa.array(ids, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "__named", "size", "ids"])
+
+    sized = known.withColumn("size", F.octet_length("text").cast("long") + 64)
+    stored = written(sized.mapInArrow(encoded, "doc_id long, __named boolean, size long, ids binary"), "packing-ids")
+    total = stored.agg(F.sum("size")).first()[0] or 0
     shards = total // shard_bytes + 1
+    idf, mean_length = _statistics(stored, kind)
+    context = docs.sparkSession.sparkContext
+    weights = context.broadcast(idf)
+    if shards > 1:
+        sketch = context.broadcast(Sketch(idf, mean_length))
+        placing = context.broadcast(_places(stored, kind, sketch, shards, shard_bytes))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tree, places = placing.value
+        for batch in batches:
+            found = batch.column("ids").to_pylist()
+            points = np.array([sketch.value.of(np.frombuffer(ids, kind)) for ids in found], float)
+            leaves = tree.leaf_of(points.reshape(-1, DIMENSIONS)).tolist()
+            shard = [
+                places[leaf][0] + (zlib.crc32(ids, doc_id & 0xFFFFFFFF) % places[leaf][1])
+                for leaf, ids, doc_id in zip(leaves, found, batch.column("doc_id").to_pylist())
+            ]
+            columns = [batch.column(c) for c in ("doc_id", "__named", "ids")] + [pa.array(shard, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "__named", "ids", "__shard"])
 
     def packed(frame: pd.DataFrame) -> pd.DataFrame:
-        encoder, end = word_tokenizer(file), np.array([end_id], "<u4").tobytes()
-        frame = frame.sort_values(["__named", "doc_id", "text"], ignore_index=True)
-        tokens = [np.frombuffer(encoder.ids(text) + end, "<u4") for text in frame["text"]]
+        frame = frame.sort_values(["__named", "doc_id", "ids"], ignore_index=True)
+        tokens = [np.frombuffer(ids, kind).astype("<u4") for ids in frame["ids"]]
         shard = int(frame["__shard"].iloc[0])
         found = pd.DataFrame(
-            filled(tokens, window), columns=["row", "start", "length", "sequence_id", "offset"]
+            filled(tokens, window, weights.value, mean_length),
+            columns=["row", "start", "length", "sequence_id", "offset"],
         )
         found["ids_crc32"] = [
             zlib.crc32(tokens[r][s : s + n]) for r, s, n in zip(found["row"], found["start"], found["length"])
@@ -137,8 +260,11 @@ def pack(
         found["sequence_id"] += shard << 32
         return found[[c.split(" ")[0] for c in PIECE.split(", ")]]
 
-    return (
-        known.withColumn("__shard", F.pmod(F.xxhash64("doc_id", "__named", "text"), F.lit(shards)))
-        .groupBy("__shard")
-        .applyInPandas(packed, PIECE)
+    rows = (
+        stored.select("doc_id", "__named", "ids").mapInArrow(
+            placed, "doc_id long, __named boolean, ids binary, __shard long"
+        )
+        if shards > 1
+        else stored.select("doc_id", "__named", "ids", F.lit(0).cast("long").alias("__shard"))
     )
+    return rows.groupBy("__shard").applyInPandas(packed, PIECE)

@@ -69,6 +69,11 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
+def vocabulary_size(path: str) -> int:
+    """One more than the largest id."""
+    return max(_library(path).get_vocab().values()) + 1
+
+
 def pieces_of(text: str, path: str) -> list[str]:
     """The normalized pieces of a text without special strings."""
     if text.isascii():

@@ -11,6 +11,8 @@ from lakeops.llm import packing, token_files, transducer
 from lakeops.llm.tokens import WordTokenizer, default_path
 from lakeops.session import scratch_path
 
+from .conftest import sentence
+
 LIBRARY = Tokenizer.from_file(default_path())
 WORDS, MACHINE = WordTokenizer(default_path()), transducer.Transducer(default_path())
 
@@ -105,3 +107,26 @@ def test_neighbours_share_words():
     assert packing.Index(tokens).neighbours(0, unused)[0] == 2
     unused[2] = False
     assert 2 not in packing.Index(tokens).neighbours(0, unused)
+
+
+def test_corpus_statistics_weigh_the_terms_of_a_shard():
+    tokens = [np.array(ids, "<u4") for ids in ([1, 2], [1, 3], [2, 4], [5, 6])]
+    unused = np.array([False, True, True, True])
+    idf = packing.inverse_frequency(1_000, np.array([0, 400, 3, 2, 2, 2, 2]))
+    assert packing.Index(tokens, idf, 2.0).neighbours(0, unused)[0] == 2
+    idf = packing.inverse_frequency(1_000, np.array([0, 3, 400, 2, 2, 2, 2]))
+    assert packing.Index(tokens, idf, 2.0).neighbours(0, unused)[0] == 1
+
+
+def test_neighbours_meet_in_a_table_of_many_shards(spark, documents):
+    topics = [[f"{a}{b}" for a in sentence(t, 12).split() for b in ("ing", "er", "ly")] for t in range(30)]
+    chance = np.random.default_rng(4)
+    rows = [(i, " ".join(chance.choice(topics[i % 30], 60))) for i in range(600)]
+    found = packing.pack(documents(rows), window=512, shard_bytes=16_000).collect()
+    check_packing(found, rows, 512)
+    held = {}
+    for r in found:
+        held.setdefault(r.sequence_id, set()).add(r.doc_id)
+    same = [len({i for i in ids if i % 30 == doc % 30}) - 1 for ids in held.values() for doc in ids if len(ids) > 1]
+    others = [len(ids) - 1 for ids in held.values() for _ in ids if len(ids) > 1]
+    assert len({s >> 32 for s in held}) >= 10 and sum(same) >= 0.6 * sum(others)
