@@ -5,6 +5,7 @@ makes all of equal length, so that the largest inner product becomes the least d
 takes nodes from a priority queue, nearest centre first, until it has visited a number of leaves.
 That number is calibrated: exact neighbours of some queries are found in all rows, and leaf visits
 are widened until the wanted recall of them is reached, up to all leaves, which is exact search.
+Leaves without rows are no visits, and a search goes on until the leaves hold k candidates.
 """
 
 from __future__ import annotations
@@ -86,14 +87,19 @@ class Tree:
                 stack += [(child, rows[nearest == k]) for k, child in enumerate(self.children[node])]
         return found
 
-    def visited(self, query: np.ndarray, most: int) -> list[int]:
-        """The first leaves of the search for a query, nearest centre first."""
+    def visited(self, query: np.ndarray, most: int, sizes: np.ndarray, least_rows: int = 0) -> list[int]:
+        """The first leaves with rows of the search for a query, nearest centre first.
+
+        They are ``most``, or more until they hold ``least_rows`` rows by the ``sizes`` of the leaves.
+        """
         point = np.append(query, 0.0)
-        queue, leaves = [(0.0, self.root)], []
-        while queue and len(leaves) < most:
+        queue, leaves, held = [(0.0, self.root)], [], 0
+        while queue and (len(leaves) < most or held < least_rows):
             _, node = heapq.heappop(queue)
             if node < 0:
-                leaves.append(-1 - node)
+                if sizes[-1 - node]:
+                    leaves.append(-1 - node)
+                    held += int(sizes[-1 - node])
                 continue
             distances = ((self.centres[node] - point) ** 2).sum(1)
             for distance, child in zip(distances.tolist(), self.children[node]):
@@ -207,11 +213,18 @@ def search(
             )
 
     indexed = written(usable.mapInArrow(placed, "vec_id long, vector array<double>, leaf long"), "ann-index")
+    # Rows with a query's own id are no candidates of it.
+    repeated = indexed.groupBy("vec_id").agg(F.count("*").alias("own")).filter("own > 1")
     queries = (
-        indexed.filter(is_query).groupBy("vec_id").agg(F.max("vector").alias("vector"))
+        indexed.filter(is_query)
+        .groupBy("vec_id")
+        .agg(F.max("vector").alias("vector"))
+        .join(repeated, "vec_id", "left")
+        .select("vec_id", "vector", F.coalesce("own", F.lit(1)).alias("own"))
     )
-    visits = _calibrated(indexed, queries, tree, width, k, recall)
     sizes = {r["leaf"]: r["count"] for r in indexed.groupBy("leaf").count().collect()}  # MOST_LEAVES at most
+    held = spark.sparkContext.broadcast(np.array([sizes.get(leaf, 0) for leaf in range(tree.value.leaves)]))
+    visits = _calibrated(indexed, queries, tree, held.value, width, k, recall)
     parts = spark.sparkContext.broadcast({leaf: -(-n // BLOCK_ROWS) for leaf, n in sizes.items()})
 
     def in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,8 +251,8 @@ def search(
         for batch in batches:
             matrix, ids = _matrix(batch, width), batch.column("vec_id").to_numpy()
             by_leaf: dict[int, list[int]] = {}
-            for row, query in enumerate(matrix):
-                for leaf in tree.value.visited(query, visits):
+            for row, (query, own) in enumerate(zip(matrix, batch.column("own").to_pylist())):
+                for leaf in tree.value.visited(query, visits, held.value, k + own):
                     by_leaf.setdefault(leaf, []).append(row)
             rows = [(leaf, part, at) for leaf, at in by_leaf.items() for part in range(parts.value.get(leaf, 0))]
             yield pa.RecordBatch.from_arrays(
@@ -279,7 +292,9 @@ def search(
     return _top(pairs.mapInArrow(scored, SCORED), k).select("query_id", "rank", "vec_id", "score")
 
 
-def _calibrated(indexed: DataFrame, queries: DataFrame, tree, width: int, k: int, recall: float) -> int:
+def _calibrated(
+    indexed: DataFrame, queries: DataFrame, tree, sizes: np.ndarray, width: int, k: int, recall: float
+) -> int:
     """How many leaves to visit for the wanted share of the exact neighbours of a few queries."""
     leaves = tree.value.leaves
     chosen = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(CALIBRATION_QUERIES).collect()
@@ -302,7 +317,8 @@ def _calibrated(indexed: DataFrame, queries: DataFrame, tree, width: int, k: int
     truth = _top(indexed.select("vec_id", "vector").mapInArrow(exact, SCORED), k)
     rows = truth.join(indexed.select("vec_id", "leaf"), "vec_id").select("query_id", "leaf").collect()
     places = {
-        i: {leaf: n for n, leaf in enumerate(tree.value.visited(query, leaves))} for i, query in zip(ids.tolist(), matrix)
+        i: {leaf: n for n, leaf in enumerate(tree.value.visited(query, leaves, sizes))}
+        for i, query in zip(ids.tolist(), matrix)
     }
     ranks = np.sort([places[r["query_id"]][r["leaf"]] for r in rows])
     visits = 1

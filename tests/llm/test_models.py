@@ -69,6 +69,31 @@ def test_equal_vectors_are_ordered_by_id(spark):
     assert [r.vec_id for r in found] == list(range(20)) and len({r.score for r in found}) == 1
 
 
+def test_copies_of_one_vector_get_all_their_neighbours(spark):
+    random = np.random.default_rng(2)
+    centres = random.normal(size=(200, 16))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    points = np.repeat(centres, 300, 0) + 0.02 * random.normal(size=(60_000, 16))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    points[:2_000] = np.full(16, 0.25)
+    rows = [(i, v) for i, v in enumerate(points.tolist())]
+    found = ann.search(vectors_table(spark, rows), F.col("vec_id") % 500 == 0, k=20).collect()
+    for query in range(0, 2_000, 500):
+        own = sorted((r.rank, r.vec_id) for r in found if r.query_id == query)
+        assert [i for _, i in own] == [i for i in range(21) if i != query][:20]
+    assert len(found) == 120 * 20
+
+
+def test_search_goes_on_until_leaves_hold_enough_rows():
+    tree = ann.Tree(np.repeat(np.eye(4), 50, 0), 16, 1.0)
+    sizes = np.zeros(tree.leaves, int)
+    full = tree.leaf_of(np.eye(4))
+    sizes[full] = 15
+    first = tree.visited(np.eye(4)[2], 1, sizes)
+    assert first == [full[2]]
+    assert len(tree.visited(np.eye(4)[2], 1, sizes, 16)) == 2 and set(tree.visited(np.eye(4)[2], 99, sizes)) == set(full)
+
+
 def labelled(spark, count=400):
     docs = [(i, sentence(i, 30 + i % 50) if i % 4 else " | ".join([sentence(i, 1)] * 40)) for i in range(count)]
     labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(count)], "doc_id long, quality int, toxic int")
