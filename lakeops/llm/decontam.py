@@ -1,8 +1,10 @@
 """Benchmark passages in documents, by SimHash of item-sized windows (operator 9).
 
-Only DataFrame functions are used. A window whose weighted similarity to an item is not 0 holds one
-of the item's shingles. Windows are therefore laid where a document holds one, so that the shingle
-and the item's own fall together; all other windows have similarity 0 and need no fingerprint.
+Only DataFrame functions are used. Windows are laid so that they end with a shingle that an item of
+their size holds, and at the text's start if such a window would begin before it. The first of the
+best windows of an item is among them: one whose last shingle is not the item's loses nothing if it
+is moved a word towards the start. Windows that hold fewer such shingles than ``least`` times the
+item's number cannot reach that similarity and need no fingerprint.
 
 Each window and item gets a 64-bit SimHash of its shingles, weighted by their number. Fingerprints
 are cut into RADIUS + 1 blocks: two that differ in at most RADIUS bits agree in a block, so a join on
@@ -108,9 +110,9 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return written(found.withColumn("item_print", simhash(F.col("item_shingles"))), "benchmark-items")
 
 
-def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Item-sized windows at shared shingles: ``doc_id``, ``row``, ``size``, ``start``, ``shingles``."""
-    needed = items.select("size", F.posexplode("item_shingles").alias("item_at", "shingle")).distinct()
+def _windows(docs: DataFrame, items: DataFrame, least: float) -> DataFrame:
+    """Item-sized windows that end with a shared shingle: ``doc_id``, ``row``, ``size``, ``start``, ``shingles``."""
+    needed = items.select("size", F.explode("item_shingles").alias("shingle")).distinct()
     held = needed.count()
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
 
@@ -122,12 +124,29 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
     short = [r["size"] for r in items.filter(F.col("size") < WIDTH).select("size").distinct().collect()]
     shingled = reduce(DataFrame.union, map(runs, [WIDTH, *short]))
     shared = shingled.join(F.broadcast(needed) if held <= MOST_BROADCAST else needed, "shingle")
+    # Shingles of the item, and how many of them a window must hold.
+    count = F.greatest(F.col("size") - (WIDTH - 1), F.lit(1))
+    enough = F.greatest(F.ceil(count * F.lit(least) - F.lit(1e-9)).cast("int"), F.lit(1))
+    ends = F.filter(
+        "ats", lambda at, i: F.get(F.col("ats"), i - F.col("enough") + 1) > at - F.col("count")
+    )
     starts = written(
-        shared.groupBy("doc_id", "row").agg(
-            F.collect_set(F.struct("size", F.greatest(F.col("at") - F.col("item_at"), F.lit(0)).alias("start"))).alias(
-                "hits"
-            )
-        ),
+        shared.groupBy("doc_id", "row", "size")
+        .agg(F.sort_array(F.collect_set("at")).alias("ats"))
+        .select("doc_id", "row", "size", "ats", count.alias("count"), enough.alias("enough"))
+        .select(
+            "doc_id",
+            "row",
+            F.transform(
+                ends,
+                lambda at: F.struct(
+                    F.col("size").alias("size"), F.greatest(at - F.col("count") + 1, F.lit(0)).alias("start")
+                ),
+            ).alias("found"),
+        )
+        .filter(F.size("found") > 0)
+        .groupBy("doc_id", "row")
+        .agg(F.array_distinct(F.flatten(F.collect_list("found"))).alias("hits")),
         "benchmark-hits",
     )
     texts = keyed.join(
@@ -156,10 +175,10 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _found(docs: DataFrame, benchmark: DataFrame, least: float) -> DataFrame:
-    """``doc_id``, ``row``, ``item_id``, ``position``, ``similarity``: the best window of each pair."""
+    """``doc_id``, ``row``, ``item_id``, ``position``, ``similarity``: the first of the best windows of each pair."""
     items = _items(benchmark)
     windows = written(
-        _windows(docs, items).withColumn("print", simhash(F.col("shingles"))).withColumn(
+        _windows(docs, items, least).withColumn("print", simhash(F.col("shingles"))).withColumn(
             "window_id", F.xxhash64("doc_id", "row", "size", "start")
         ),
         "benchmark-windows",

@@ -68,6 +68,23 @@ def test_leaks_agree_with_all_windows(spark, documents, odd_rows):
     assert decontam.leaks(documents(rows), item_table(spark, [])).count() == 0
 
 
+def test_leaks_damaged_at_both_ends_and_in_the_middle(spark, documents):
+    items = [(n, sentence(700 + n, 59)) for n in range(3)] + [(9, sentence(709, 120))]
+    rows = []
+    for i, (_, text) in enumerate(items * 6):
+        words = text.split(" ")
+        words[: 1 + i // 8] = ["changed"] * (1 + i // 8)
+        words[-1] = "changed"
+        middle = len(words) // 2
+        words[middle : middle + (i // 4 % 2)] = ["two", "more"]
+        rows.append((i, " ".join([sentence(i, i % 3 * 20), *words, sentence(i + 99, i % 2 * 20)])))
+    rows.append((90, " ".join([*["changed"], *items[0][1].split(" ")[1:29], "two", "more", *items[0][1].split(" ")[29:58], "changed"])))
+    found = decontam.leaks(documents(rows), item_table(spark, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == brute_leaks(rows, items)
+    assert (90, 0) in {(r.doc_id, r.item_id) for r in found}
+    assert [r.position for r in found if r.doc_id == 90] == [1]
+
+
 def test_blocks_find_all_within_the_radius(spark):
     chance = __import__("random").Random(6)
     pairs = []
