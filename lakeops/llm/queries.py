@@ -11,9 +11,12 @@ from lakeops.llm import (
     decontam,
     hmm,
     lines,
+    negatives,
     ngram_join,
     packing,
+    pages,
     paragraphs,
+    periodic,
     quality,
     token_files,
     transducer,
@@ -115,6 +118,23 @@ def op10_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.jaccard_components(documents(spark, folder))
 
 
+@query()
+def op11_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.main_text(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.collapse_runs(documents(spark, folder))
+
+
+@query()
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 @query()
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
