@@ -180,6 +180,9 @@ def block_positives(anchors: Block, rows: Block, k: int) -> dict[str, np.ndarray
     return {"anchor_id": ids, "positive_id": others, "positive_score": scores}
 
 
+PAIR = ("anchor_id", "positive_id", "negative_id", "positive_score", "negative_score")
+
+
 def block_negatives(
     anchors: Block, positives: list[tuple[list[int], list[int]]], rows: Block, k: int, window: tuple[int, int]
 ) -> dict[str, np.ndarray]:
@@ -188,7 +191,7 @@ def block_negatives(
     ``positives`` has the ids and scores of each anchor's positives; ``window`` the percents of a
     positive's score that a negative's may have.
     """
-    columns: dict[str, list] = {c: [] for c in ("anchor_id", "positive_id", "negative_id", "positive_score", "negative_score")}
+    columns: dict[str, list] = {c: [] for c in PAIR}
     low, high = window
     for some in _steps(len(anchors.ids), len(rows.ids)):
         # Blocks that no window of an anchor reaches are not looked at pair by pair.
@@ -220,7 +223,8 @@ def block_negatives(
             known[at] = (theirs[part], scores[part])
         for at, positive, score, may in windows:
             places, values = known[at]
-            fits = may[places] & (low * score <= 100 * values) & (100 * values <= high * score)
+            # Whole numbers of any size: a hundred scores could pass a long.
+            fits = may[places] & (values >= -(-low * score // 100)) & (values <= high * score // 100)
             places, values = places[fits], values[fits]
             kept = first_by_score(np.zeros(len(places), np.int64), values, rows.ids[places], k)
             columns["anchor_id"].append(np.full(len(kept), anchors.ids[some.start + at]))
@@ -248,7 +252,7 @@ def _placed(usable: DataFrame) -> DataFrame:
             widths = np.diff(batch.column("vector").offsets.to_numpy())
             for width in np.unique(widths).tolist():
                 part = batch.filter(pa.array(widths == width))
-                matrix = part.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                matrix = part.column("vector").flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, width)
                 known = references.value.get(width, np.zeros((0, width)))
                 angles = angles_to(known, matrix)
                 nearest = angles.argmin(axis=1) if len(known) else np.zeros(len(matrix), np.int64)
@@ -329,7 +333,9 @@ def hard_negatives(
     fresh = [F.col(c).alias(c) for c in columns]
 
     def positives(left: pa.Table, right: pa.Table) -> pa.Table:
-        width = (left if left.num_rows else right).column("width")[0].as_py()
+        if not left.num_rows or not right.num_rows:
+            return _table({"anchor_id": [], "positive_id": [], "positive_score": []})
+        width = left.column("width")[0].as_py()
         return _table(block_positives(Block(left, width), Block(right, width), n_positives))
 
     found = (
@@ -348,17 +354,16 @@ def hard_negatives(
     )
 
     def negatives(left: pa.Table, right: pa.Table) -> pa.Table:
-        width = (left if left.num_rows else right).column("width")[0].as_py()
+        if not left.num_rows or not right.num_rows:
+            return _table({c: [] for c in PAIR})
+        width = left.column("width")[0].as_py()
         known = list(zip(left.column("positive_ids").to_pylist(), left.column("scores").to_pylist()))
         return _table(block_negatives(Block(left, width), known, Block(right, width), n_negatives, window))
 
     found = (
         asking.groupBy(*KEY)
         .cogroup(blocks.select(*columns).groupBy(*KEY))
-        .applyInArrow(
-            negatives,
-            "anchor_id long, positive_id long, negative_id long, positive_score long, negative_score long",
-        )
+        .applyInArrow(negatives, ", ".join(f"{c} long" for c in PAIR))
     )
     ranked = _first(found, ["anchor_id", "positive_id"], "negative_score", "negative_id", n_negatives)
     return ranked.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
