@@ -231,6 +231,34 @@ def xml_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORDERS_XML_SQL = """SELECT o_orderkey AS _Id, CASE WHEN o_orderkey % 5 != 0 THEN o_totalprice END AS _Price,
+  CASE WHEN o_orderkey % 1000 = 1 THEN o_custkey END AS _Rare,
+  CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE 'it''s "' || o_orderpriority || '" <b=''1''>' END AS _Note,
+  CASE WHEN o_orderkey % 7 != 0 THEN o_orderdate END AS _Placed, o_orderstatus = 'O' AS _IsOpen
+FROM orders"""
+
+
+@query(ORDERS_XML_SQL)
+def xml_inferred(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as an XML dump without a schema: rare, empty and single-quoted attributes."""
+    dump, target = scratch_path(spark, "orders-xml"), scratch_path(spark, "orders")
+    orders, key = table(spark, folder, "orders"), F.col("o_orderkey")
+    note = F.when(key % 3 == 0, "").otherwise(
+        F.concat(F.lit("it's &quot;"), "o_orderpriority", F.lit("&quot; &lt;b='1'&gt;"))
+    )
+    placed = F.when(key % 7 != 0, F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS")).otherwise("")
+    price = F.when(key % 5 != 0, F.col("o_totalprice").cast("string")).otherwise("")
+    line = F.concat(
+        F.format_string("  <row Id=\"%d\" Price='%s' Note=\"%s\" ", key, price, note),
+        F.when(key % 1000 == 1, F.format_string("Rare='%d' ", "o_custkey")).otherwise(""),
+        F.format_string("Placed = \"%s\" IsOpen='%s'/>", placed, (F.col("o_orderstatus") == "O").cast("string")),
+    )
+    frame = spark.createDataFrame([("<?xml version='1.0'?>",), ("<orders>",), ("</orders>",)], "value string")
+    orders.select(line.alias("value")).unionByName(frame).write.text(dump)
+    ingest.ingest_xml(spark, dump, "orders", target)
+    return files.read_table(spark, target)
+
+
 def landed_questions(spark: SparkSession, folder: str) -> str:
     """Events as landed API responses, one question each."""
     path = scratch_path(spark, "questions")

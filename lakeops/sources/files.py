@@ -1,4 +1,4 @@
-"""Files: Parquet, XML, JSON and text."""
+"""Files: Parquet, JSON and text; XML is read by its own module."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from lakeops.sources.xml import read_xml  # noqa: F401
+
 
 def read_table(
     spark: SparkSession, path: str, columns: Sequence[str] | None = None, format: str = "parquet"
@@ -40,63 +42,6 @@ def read_evolved(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
-def read_xml(
-    spark: SparkSession,
-    path: str,
-    root_tag: str,
-    row_tag: str = "row",
-    schema: StructType | str | None = None,
-    sampling_ratio: float = 1.0,
-    row_per_line: bool = True,
-    corrupt_column: str | None = None,
-) -> DataFrame:
-    """Rows of an XML file; attributes become columns named ``_Attribute``.
-
-    Without a schema all rows are read to find one, or a share of them; then a row with an attribute
-    which that share did not show fails the job. A value which does not fit its type fails it too,
-    unless a column is named which keeps such rows as text. Dumps hold one row per line, so a large
-    file is split among tasks; a line which breaks this rule fails the job. Other files need
-    ``row_per_line=False``, which reads each file in one task.
-    """
-    inferred = schema is None
-    reader = spark.read.format("xml").option("rootTag", root_tag).option("rowTag", row_tag)
-    if schema is None:
-        reader = reader.option("samplingRatio", sampling_ratio).option("inferSchema", "true")
-    else:
-        reader = reader.schema(schema)
-    if not row_per_line:
-        if corrupt_column is None:
-            return reader.option("mode", "FAILFAST").load(path)
-        return reader.option("columnNameOfCorruptRecord", corrupt_column).load(path)
-    if schema is None:
-        # Lines outside of rows, such as the root tag, are no rows to learn from.
-        sample = reader.option("multiLine", "false").option("mode", "DROPMALFORMED")
-        schema = sample.load(path).schema
-    opened = F.regexp_count("value", F.lit(f"<{row_tag}[\\s/>]"))
-    whole = F.rlike("value", F.lit(f"^\\s*<{row_tag}[\\s/>].*(/>|</{row_tag}>)\\s*$"))
-    other = F.rlike("value", F.lit(f"^\\s*(<[?!].*|</?{root_tag}(\\s[^>]*)?>)?\\s*$"))
-    broken = F.raise_error(F.concat(F.lit("not one XML row per line: "), F.substring("value", 1, 200)))
-    is_row = (
-        F.when((opened == 1) & whole, F.lit(True))
-        .when((opened == 0) & other, F.lit(False))
-        .otherwise(broken.cast("boolean"))
-    )
-    lines = spark.read.text(path).where(is_row)
-    if inferred and sampling_ratio < 1:
-        names = F.transform(
-            F.regexp_extract_all("value", F.lit(r'\s([\w:.-]+)\s*=\s*"[^"]*"')), lambda n: F.concat(F.lit("_"), n)
-        )
-        unseen = F.array_except(names, F.array(*[F.lit(n) for n in schema.names]).cast("array<string>"))
-        error = F.raise_error(F.concat(F.lit("attributes outside the sample: "), F.array_join(unseen, ", ")))
-        lines = lines.where(F.when(F.size(unseen) > 0, error.cast("boolean")).otherwise(F.lit(True)))
-    ddl = schema if isinstance(schema, str) else schema.toDDL()
-    options = {"rowTag": row_tag, "mode": "FAILFAST"}
-    if corrupt_column is not None:
-        ddl += f", `{corrupt_column}` STRING"
-        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_column}
-    return lines.select(F.from_xml("value", ddl, options).alias("row")).select("row.*")
-
-
 # Fixed value: the response fields which the API documents beside the items.
 PAGE_FIELDS = "has_more boolean, quota_max bigint, quota_remaining bigint"
 

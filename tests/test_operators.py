@@ -172,6 +172,65 @@ def test_xml_finds_attributes_of_few_rows(spark, path):
         files.read_xml(spark, path, "posts", sampling_ratio=0.0005).collect()
 
 
+def test_xml_empty_attributes_are_null_unless_text(spark, path, rows):
+    write_lines(spark, path, ['<row Id="1" S="" T="x" N=""/>', '<row Id="2" S="5" T=""/>', '<row Id="3" D=""/>'])
+    found = files.read_xml(spark, path, "posts")
+    assert dict(found.dtypes) == {"_D": "string", "_Id": "bigint", "_N": "string", "_S": "bigint", "_T": "string"}
+    assert rows(found, "_Id", "_S", "_T") == [(1, None, "x"), (2, 5, ""), (3, None, None)]
+
+
+def test_xml_quotes_of_both_kinds(spark, path, rows):
+    lines = ["""<row Id='1' Body="it's A='no' >"/>""", """<row Id="2" Body='say "B=\\"9\\"" &lt;p&gt;' Rare='x'/>""".replace("\\", "")]
+    write_lines(spark, path, lines)
+    found = files.read_xml(spark, path, "posts")
+    assert found.columns == ["_Body", "_Id", "_Rare"]
+    assert rows(found, "_Id", "_Body", "_Rare") == [(1, "it's A='no' >", None), (2, 'say "B="9"" <p>', "x")]
+
+
+def test_xml_single_quoted_attribute_outside_the_sample(spark, path):
+    write_lines(spark, path, [*[f'<row Id="{i}"/>' for i in range(3_000)], "<row Id='7' Rare='x'/>"])
+    with pytest.raises(Exception, match="attributes outside the sample: Rare"):
+        files.read_xml(spark, path, "posts", sampling_ratio=0.001).collect()
+
+
+def test_xml_lines_are_checked_before_types(spark, path):
+    write_lines(spark, path, ["<posts>", '<row Id="1"', ' Score="2"/>', "</posts>"])
+    with pytest.raises(Exception, match="not one XML row per line"):
+        files.read_xml(spark, path, "posts").collect()
+    write_lines(spark, f"{path}-none", ["<posts>", "</posts>"])
+    none = files.read_xml(spark, f"{path}-none", "posts")
+    assert none.columns == [] and none.count() == 0
+
+
+@pytest.mark.parametrize(
+    "values, kind",
+    [
+        (["1", "-20", ""], "bigint"),
+        (["1", "2.5", "1e3"], "double"),
+        (["12345678901234567890", "1"], "double"),
+        (["true", "FALSE"], "boolean"),
+        (["true", "1"], "string"),
+        (["2020-01-02", "2020-02-30"], "string"),
+        (["2020-01-02", "2020-01-03T04:05:06.789"], "timestamp_ntz"),
+        (["2020-01-03T04:05:06Z", "2020-01-03T04:05:06+01:00"], "timestamp"),
+        (["2020-01-03", "2020-01-03T04:05:06Z"], "string"),
+        (["1", "x"], "string"),
+        (["", ""], "string"),
+        (["-"], "string"),
+    ],
+)
+def test_xml_types_are_widened(spark, path, values, kind):
+    write_lines(spark, path, [f'<row V="{v}"/>' for v in values])
+    found = files.read_xml(spark, path, "posts")
+    assert found.dtypes == [("_V", kind)] and found.count() == len(values)
+    assert found.where("_V IS NOT NULL").count() == (len(values) if kind == "string" else len([v for v in values if v]))
+
+
+def test_xml_rows_with_elements_inside(spark, path, rows):
+    write_lines(spark, path, ['<row Id="1"><Name>a</Name></row>', '<row Id=""><Name>b</Name></row>'])
+    assert rows(files.read_xml(spark, path, "posts"), "_Id", "Name") == [(1, "a"), (None, "b")]
+
+
 def test_xml_values_that_do_not_fit(spark, path, rows):
     write_lines(spark, path, ['<row Id="1" Score="5"/>', '<row Id="2" Score="abc"/>'])
     with pytest.raises(Exception):
