@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.catalogue import query, table
 from lakeops.session import scratch_path
-from lakeops.streaming import posts
+from lakeops.streaming import lifecycle, posts
 
 POST = "_Id long, _OwnerUserId long, _Score double, _Title string"
 
@@ -118,3 +118,51 @@ def batch_enrich(spark: SparkSession, folder: str) -> DataFrame:
     messages = spark.read.schema(posts.ENVELOPE).parquet(event_messages(spark, folder))
     users = posts.all_users(*user_sets(spark, folder))
     return posts.with_users(posts.parse_posts(posts.envelope(messages), POST), users)
+
+
+DEAD_LETTERS_SQL = """SELECT event_id AS _Id, event_type = 'error' AS is_dead,
+  CASE WHEN event_type != 'error' THEN value END AS _Score,
+  CASE WHEN event_type = 'error' THEN 'malformed' END AS reason FROM events"""
+
+
+@query(DEAD_LETTERS_SQL)
+def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
+    """Readable messages in one table, unreadable ones beside it, from the same micro-batches."""
+    messages = posts.envelope(posts.read_messages(spark, {}, "parquet", event_messages(spark, folder)))
+    good, dead, seen = scratch_path(spark, "posts"), scratch_path(spark, "dead-letters"), []
+    posts.append_with_dead_letters(
+        messages, good, dead, scratch_path(spark, "offsets"), POST, "_Id", once=True,
+        counts=lambda batch, counted: seen.append(counted),
+    ).awaitTermination()
+    kept = spark.read.parquet(good).selectExpr("_Id", "false AS is_dead", "_Score", "CAST(NULL AS STRING) AS reason")
+    lost = spark.read.parquet(dead).selectExpr(
+        "CAST(key AS BIGINT) AS _Id", "true AS is_dead", "CAST(NULL AS DOUBLE) AS _Score", "reason"
+    )
+    both = kept.unionByName(lost)
+    total = sum(c["readable"] + c["unreadable"] for c in seen)
+    if total != both.count():
+        raise ValueError(f"{total} messages were counted while writing, but {both.count()} were written")
+    return both
+
+
+@query(
+    """SELECT event_id AS _Id, 1::BIGINT AS times FROM events WHERE event_type != 'error'
+    UNION ALL SELECT NULL, count(*) FROM events WHERE event_type = 'error'"""
+)
+def stream_restart(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages arrive in two parts; the stream is drained, stopped and started again from its checkpoint.
+
+    Each message is stored once.
+    """
+    stored = spark.read.schema(posts.ENVELOPE).parquet(event_messages(spark, folder))
+    arriving, target, offsets = (scratch_path(spark, n) for n in ("arriving", "posts", "offsets"))
+    first = F.pmod(F.xxhash64("offset"), F.lit(3)) > 0
+    with lifecycle.watching(spark) as watch:
+        for part in (first, ~first):
+            stored.where(part).write.mode("append").parquet(arriving)
+            parsed = posts.parse_posts(posts.envelope(posts.read_messages(spark, {}, "parquet", arriving)), POST)
+            run = posts.append_stream(parsed, target, offsets, every="1 second")
+            lifecycle.stop(run)
+            if watch.wait_ended(run, 30).error:
+                raise RuntimeError(watch.progress(run).error)
+    return spark.read.parquet(target).groupBy("_Id").agg(F.count("*").alias("times"))

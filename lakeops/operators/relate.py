@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lakeops.functions.text import joined_texts
 
@@ -41,6 +41,22 @@ def fact_lookup(
     )
 
 
+# The columns that users and their questions both have, and their names behind a join.
+USER_NAMES = {"creation_date": "user_creation_date", "link": "user_link"}
+
+
+def left_join_known(left: DataFrame, right: DataFrame, left_key: Column, right_key: Column) -> DataFrame:
+    """All rows of ``left`` with their partners of ``right``, as a left join gives them.
+
+    Rows without a key have no partner, however many they are. They go past the join: shuffled by
+    their key, all of them would meet in one task. Works for batches and for streams; ``left`` is read
+    once for each of its two parts. ``right_key`` must be no expression that makes a key of a NULL.
+    """
+    known = left.where(left_key.isNotNull()).join(right, left_key == right_key, "left")
+    missing = [F.lit(None).cast(field.dataType).alias(field.name) for field in right.schema.fields]
+    return known.union(left.where(left_key.isNull()).select("*", *missing))
+
+
 def owner_ids(questions: DataFrame) -> DataFrame:
     """The distinct users who asked; they stay a DataFrame, whatever their number."""
     return questions.select(F.col("owner.user_id").alias("user_id")).distinct()
@@ -48,10 +64,8 @@ def owner_ids(questions: DataFrame) -> DataFrame:
 
 def with_owner(questions: DataFrame, users: DataFrame) -> DataFrame:
     """Questions with the columns of their owner; the user's own key is kept once."""
-    users = users.withColumnsRenamed(
-        {"creation_date": "user_creation_date", "link": "user_link"}
-    )
-    return questions.join(users, F.col("owner.user_id") == F.col("user_id"), "left")
+    users = users.withColumnsRenamed(USER_NAMES)
+    return left_join_known(questions, users, F.col("owner.user_id"), F.col("user_id"))
 
 
 def questions_tagged(

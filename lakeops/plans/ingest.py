@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lakeops.functions.text import tag_array
 from lakeops.functions.time import month_start
 from lakeops.operators.numbering import with_page
-from lakeops.operators.relate import with_owner
+from lakeops.operators.relate import USER_NAMES, with_owner
 from lakeops.plans.jobs import run_tables
 from lakeops.sources import jdbc
 from lakeops.sources.files import read_xml, table_folders
@@ -89,10 +89,7 @@ def ingest_answers(
     questions: DataFrame, users: DataFrame, users_path: str, questions_path: str
 ) -> None:
     """Append landed users, and landed questions with their owner."""
-    renamed = users.withColumnsRenamed(
-        {"creation_date": "user_creation_date", "link": "user_link"}
-    )
-    append_evolving(renamed, users_path)
+    append_evolving(users.withColumnsRenamed(USER_NAMES), users_path)
     append_evolving(with_owner(questions, users), questions_path)
 
 

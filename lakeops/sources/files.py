@@ -93,6 +93,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(folder)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller has made, with all in it."""
+    files, folder = _file_system(spark, path)
+    files.delete(folder, True)
+
+
 def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
     """Folders whose path fits a pattern."""
     files, folder = _file_system(spark, pattern)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
 from lakeops.functions.json_text import expand_json
-from lakeops.operators.relate import union_users
+from lakeops.operators.relate import left_join_known, union_users
+from lakeops.sources.files import remove_folder
 
 # The message envelope, and the fields of a post message.
 ENVELOPE = "topic string, partition int, offset long, timestamp timestamp, timestampType int, key binary, value binary"
@@ -28,6 +29,7 @@ TRIGGER = "30 seconds"
 
 def topic_options(servers: str, topic: str, group: str, **login: str) -> dict[str, str]:
     """Options of a message broker; login options are passed on as they are."""
+    # The broker's names of its options.
     return {
         "kafka.bootstrap.servers": servers,
         "kafka.group.id": group,
@@ -60,8 +62,76 @@ def parse_posts(messages: DataFrame, schema: StructType | str = POST_SCHEMA) ->
     return expand_json(messages, "value", schema)
 
 
+def split_messages(
+    messages: DataFrame, schema: StructType | str = POST_SCHEMA, required: str | None = None
+) -> DataFrame:
+    """Messages with their fields in ``parsed`` and, where they cannot be read, the ``reason``.
+
+    A message is unreadable if it is empty, is no JSON object, has a value that does not fit its
+    field, or lacks the ``required`` field. ``parsed`` is NULL then.
+    """
+    broken = "_unreadable"
+    kind = schema if isinstance(schema, str) else schema.toDDL()
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    text = F.col("value").cast("string")
+    read = messages.withColumn("_text", text).withColumn(
+        "parsed", F.from_json("_text", f"{kind}, `{broken}` string", options)
+    )
+    reason = F.when(F.col("_text").isNull() | (F.trim("_text") == ""), "empty").when(
+        F.col("parsed").isNull() | F.col(f"parsed.{broken}").isNotNull(), "malformed"
+    )
+    if required is not None:
+        reason = reason.when(F.col("parsed").getField(required).isNull(), f"no {required}")
+    good = F.col("parsed").dropFields(broken)
+    split = read.withColumn("reason", reason)
+    return split.withColumn("parsed", F.when(F.col("reason").isNull(), good)).drop("_text")
+
+
+def append_with_dead_letters(
+    messages: DataFrame,
+    path: str,
+    dead_path: str,
+    checkpoint: str,
+    schema: StructType | str = POST_SCHEMA,
+    required: str | None = None,
+    once: bool = False,
+    every: str = TRIGGER,
+    counts: Callable[[int, Mapping[str, int]], None] | None = None,
+) -> StreamingQuery:
+    """Append readable messages to one table and the others, as they came, to another.
+
+    Both are written within the same micro-batch: a repeated batch replaces its own folders in both,
+    so each message ends up once in one of them. ``counts`` is told the number of readable and
+    unreadable messages of each batch, as observed while it is written.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation(f"batch-{batch_id}")
+        split = split_messages(batch, schema, required)
+        counted = split.observe(
+            seen, F.count_if(F.col("reason").isNull()).alias("readable"), F.count("reason").alias("unreadable")
+        )
+        # One pass over the batch: the reason is the folder that a message goes to.
+        staged = f"{path}/_staged/batch_id={batch_id}"
+        counted.withColumn("readable", F.col("reason").isNull()).write.mode("overwrite").partitionBy(
+            "readable"
+        ).parquet(staged)
+        kept = batch.sparkSession.read.schema(counted.withColumn("readable", F.lit(True)).schema).parquet(staged)
+        kept.where("readable").select("parsed.*").write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        kept.where("NOT readable").drop("parsed", "readable").write.mode("overwrite").parquet(
+            f"{dead_path}/batch_id={batch_id}"
+        )
+        remove_folder(batch.sparkSession, staged)
+        if counts is not None:
+            counts(batch_id, seen.get)
+
+    writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
+    return _triggered(writer, once, every).start()
+
+
 def all_users(old: DataFrame, new: DataFrame, dedupe: bool = True) -> DataFrame:
     """Users of the dump and of the API, under the API's names."""
+    # The columns of users in the dump and in the API's responses.
     old = old.selectExpr(
         "_Id AS user_id", "_AccountId AS account_id", "_DisplayName AS display_name",
         "_WebsiteUrl AS website_url",
@@ -72,7 +142,11 @@ def all_users(old: DataFrame, new: DataFrame, dedupe: bool = True) -> DataFrame:
 
 def with_users(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Posts with the user who owns them, if known. Works for streams and for batches."""
-    return posts.join(users, posts["_OwnerUserId"] == users["user_id"], "left")
+    return left_join_known(posts, users, posts["_OwnerUserId"], users["user_id"])
+
+
+def _triggered(writer: DataStreamWriter, once: bool, every: str) -> DataStreamWriter:
+    return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
 
 
 def append_stream(
@@ -88,8 +162,7 @@ def append_stream(
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
     )
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
-    return writer.start(path)
+    return _triggered(writer, once, every).start(path)
 
 
 def append_with_fresh_users(
@@ -111,5 +184,4 @@ def append_with_fresh_users(
         with_users(batch, users()).write.mode("overwrite").parquet(target)
 
     writer = posts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
-    writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
-    return writer.start()
+    return _triggered(writer, once, every).start()
