@@ -2,12 +2,13 @@
 
 Two extracts of the orders stand in for the target and the source. The target holds what was
 placed before 2001, with finished low-priority orders already marked deleted. The source is the
-next extract: it lacks the open orders of unspecified priority, urgent orders cost one more, and
-the priority of pending high-priority orders is no longer known.
+next extract: it lacks the target's open orders of unspecified priority, urgent orders cost one more,
+and the priority of pending high-priority orders is no longer known. Each order is in one at least.
 """
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -16,6 +17,9 @@ from lakeops.catalogue import query, table
 from lakeops.functions.change import any_changed, key_condition
 from lakeops.functions.time import after_watermark
 from lakeops.operators import changes, merge, numbering
+from lakeops.session import scratch_path
+from lakeops.tables import catalog
+from lakeops.tables.bucketed import BucketedTable
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
 KEY = ["o_orderkey"]
@@ -34,7 +38,8 @@ source AS (
          CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' THEN NULL
               ELSE o_orderpriority END AS o_orderpriority,
          FALSE AS is_deleted
-  FROM orders WHERE NOT (o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED'))"""
+  FROM orders WHERE NOT (o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED'
+                         AND o_orderdate < TIMESTAMP '2001-01-01 00:00:00'))"""
 BOTH_SQL = f"WITH {TARGET_SQL}, {SOURCE_SQL}"
 DIFFERS = """(t.o_custkey IS DISTINCT FROM s.o_custkey
    OR t.o_orderstatus IS DISTINCT FROM s.o_orderstatus
@@ -56,7 +61,10 @@ def target_orders(spark: SparkSession, folder: str) -> DataFrame:
 
 def source_orders(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders")
-    return orders.where("NOT (o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED')").select(
+    return orders.where(
+        "NOT (o_orderstatus = 'O' AND o_orderpriority = '4-NOT SPECIFIED'"
+        " AND o_orderdate < TIMESTAMP_NTZ'2001-01-01 00:00:00')"
+    ).select(
         "o_orderkey",
         "o_custkey",
         "o_orderstatus",
@@ -86,6 +94,16 @@ def sync_full(spark: SparkSession, folder: str) -> DataFrame:
     return merge.sync(target_orders(spark, folder), source_orders(spark, folder), KEY)
 
 
+@query(f"{BOTH_SQL}, {SYNC_SQL} SELECT * FROM synced")
+def sync_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the target stored in buckets of its key, which the load leaves where they are."""
+    catalog.create_database(spark, "bucketed", scratch_path(spark, "bucketed-db"))
+    orders = BucketedTable(spark, f"bucketed.orders_{uuid.uuid4().hex}", KEY, 8)
+    orders.create(target_orders(spark, folder))
+    orders.sync(source_orders(spark, folder))
+    return orders.read()
+
+
 @query(
     f"""{BOTH_SQL}, {SYNC_SQL},
     second AS (

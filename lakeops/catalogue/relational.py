@@ -196,8 +196,12 @@ def nested_join(spark: SparkSession, folder: str) -> DataFrame:
     """Questions with their owner; owners of one segment are unknown."""
     users = (
         table(spark, folder, "customer")
-        .where("c_mktsegment != 'BUILDING'")
-        .selectExpr("c_custkey AS user_id", "c_name AS link", "c_acctbal AS creation_date")
+        # Users of one segment go by other ids here, so that their questions have no known owner.
+        .selectExpr(
+            "CASE WHEN c_mktsegment = 'BUILDING' THEN -1 - c_custkey ELSE c_custkey END AS user_id",
+            "c_name AS link",
+            "c_acctbal AS creation_date",
+        )
     )
     joined = relate.with_owner(event_questions(spark, folder), users)
     return joined.select("question_id", "score", "user_id", "user_link", "user_creation_date")
@@ -228,7 +232,7 @@ def union_users(spark: SparkSession, folder: str) -> DataFrame:
 def price_series(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Series (orders), areas (customers) and items (priorities), with ids equal to their keys.
 
-    Some areas are missing.
+    The areas of one segment have codes that no series names.
     """
     series = table(spark, folder, "orders").selectExpr(
         "o_orderkey AS dim_series_id",
@@ -236,8 +240,9 @@ def price_series(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
         "o_custkey AS area_code",
         "o_orderpriority AS item_code",
     )
-    area = table(spark, folder, "customer").where("c_mktsegment != 'FURNITURE'").selectExpr(
-        "c_custkey AS dim_area_id", "c_custkey AS area_code"
+    area = table(spark, folder, "customer").selectExpr(
+        "c_custkey AS dim_area_id",
+        "CASE WHEN c_mktsegment = 'FURNITURE' THEN -1 - c_custkey ELSE c_custkey END AS area_code",
     )
     item = table(spark, folder, "orders").selectExpr(
         "CAST(left(o_orderpriority, 1) AS BIGINT) AS dim_item_id", "o_orderpriority AS item_code"

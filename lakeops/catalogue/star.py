@@ -154,7 +154,8 @@ def star_rejects(spark: SparkSession, folder: str) -> DataFrame:
 def item_dimension(spark: SparkSession, folder: str) -> VersionedTable:
     """The item dimension after two loads of a refined table of parts.
 
-    The first extract lacks the small parts; the second lacks one brand and renames another.
+    The first extract lacks the small parts; the second lacks one brand of the first one and renames
+    another. Each part is in one of them.
     """
     root = scratch_path(spark, "item")
     refined, dimension = VersionedTable(spark, f"{root}/item"), VersionedTable(spark, f"{root}/dim_item")
@@ -162,7 +163,7 @@ def item_dimension(spark: SparkSession, folder: str) -> VersionedTable:
         "concat('I', p_partkey) AS item_code", "p_name AS item_name", "p_brand", "p_type"
     )
     first = items.where("p_type != 'SMALL'").select("item_code", "item_name")
-    second = items.where("p_brand != 'Brand#2'").selectExpr(
+    second = items.where("p_brand != 'Brand#2' OR p_type = 'SMALL'").selectExpr(
         "item_code", "CASE WHEN p_brand = 'Brand#4' THEN upper(item_name) ELSE item_name END AS item_name"
     )
     for extract, when in ((first, FIRST), (second, SECOND)):
@@ -178,8 +179,8 @@ def item_dimension(spark: SparkSession, folder: str) -> VersionedTable:
                AS dim_item_id,
              concat('I', p_partkey) AS item_code,
              CASE WHEN p_brand = 'Brand#4' THEN upper(p_name) ELSE p_name END AS item_name,
-             p_brand = 'Brand#2' AS is_deleted
-      FROM part WHERE p_type != 'SMALL' OR p_brand != 'Brand#2')
+             p_brand = 'Brand#2' AND p_type != 'SMALL' AS is_deleted
+      FROM part)
     SELECT * FROM known"""
 )
 def dim_load(spark: SparkSession, folder: str) -> DataFrame:

@@ -315,8 +315,12 @@ def answers_ingest(spark: SparkSession, folder: str) -> DataFrame:
     pages = files.read_pages(spark, landed_questions(spark, folder), QUESTION_ITEM)
     users = (
         table(spark, folder, "customer")
-        .where("c_mktsegment != 'BUILDING'")
-        .selectExpr("c_custkey AS user_id", "c_name AS link", "c_acctbal AS creation_date")
+        # Users of one segment go by other ids here, so that their questions have no known owner.
+        .selectExpr(
+            "CASE WHEN c_mktsegment = 'BUILDING' THEN -1 - c_custkey ELSE c_custkey END AS user_id",
+            "c_name AS link",
+            "c_acctbal AS creation_date",
+        )
     )
     users_path, questions_path = scratch_path(spark, "users"), scratch_path(spark, "answers")
     ingest.ingest_answers(files.page_items(pages), users, users_path, questions_path)

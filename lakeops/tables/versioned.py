@@ -162,17 +162,18 @@ class VersionedTable:
         """The change feed from a version or from a time on, the start included.
 
         The feed is partitioned by commit, so earlier commits are not read. A start after the
-        newest commit gives an empty feed.
+        newest commit gives an empty feed. Columns that an overwrite has taken away are shown, behind
+        the others, in the images of the rows that had them.
         """
-        schema = StructType(list(self.state().schema.fields))
-        schema.add(feed_of.CHANGE_TYPE, "string").add(feed_of.VERSION, "long")
-        schema.add(feed_of.COMMIT_TIME, "timestamp")
         commits = self._commits().select("version", "committed_at", "operation")
         if first_version is not None:
             commits = commits.where(F.col("version") >= first_version)
         if since is not None:
             commits = commits.where(F.col("committed_at") >= F.lit(since))
         wanted = sorted(commits.collect(), key=lambda commit: commit["version"])
+        schema = self._feed_schema([c["version"] for c in wanted if c["operation"] == OVERWRITE and c["version"]])
+        schema.add(feed_of.CHANGE_TYPE, "string").add(feed_of.VERSION, "long")
+        schema.add(feed_of.COMMIT_TIME, "timestamp")
         base = f"{self.path}/changes"
         stored = [
             f"{base}/{feed_of.VERSION}={c['version']}" for c in wanted if c["operation"] not in _WHOLE
@@ -193,11 +194,24 @@ class VersionedTable:
             parts += [feed_of.stamped(i, version, commit["committed_at"]) for i in images]
         if not parts:
             return self.spark.createDataFrame([], schema)
-        feed = parts[0]
-        for part in parts[1:]:
+        # Every part gets all columns, also where no row of the feed has them.
+        feed = self.spark.createDataFrame([], schema)
+        for part in parts:
             feed = feed.unionByName(part, allowMissingColumns=True)
         return feed.select(*schema.names)
 
+    def _feed_schema(self, overwrites: Sequence[int]) -> StructType:
+        """The newest columns, and those that the given overwrites took away."""
+        schema = StructType(list(self.state().schema.fields))
+        for version in overwrites:
+            for state in (self.state(version - 1), self.state(version)):
+                for field in state.schema.fields:
+                    if field.name not in schema.names:
+                        schema.add(field.name, field.dataType, True)
+                    elif schema[field.name].dataType != field.dataType:
+                        raise ValueError(f"column {field.name} had another type in version {state.version}")
+        return schema
+
     # --- writing -------------------------------------------------------------------------------
 
     def _folders(self, path: str, partition_by: Sequence[str]) -> set[str]:

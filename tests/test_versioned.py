@@ -148,3 +148,17 @@ def test_pruning_has_no_limit_on_partitions(spark, table):
     table.create(frame(spark, *spread).coalesce(1), ["part"], T0)
     near = table.near(frame(spark, *spread[:1_050]), ["k", "part"])
     assert near.count() == 1_050
+
+
+def test_feed_shows_columns_that_an_overwrite_took_away(spark, table, rows):
+    table.create(frame(spark, (1, "a", 1.0), (2, "b", 2.0)), (), T0)
+    table.overwrite(spark.createDataFrame([(7, "new")], "k int, w string"), (), T1)
+    feed = table.changes(0)
+    assert feed.columns[:4] == ["k", "w", "part", "v"]
+    assert rows(feed, "k", "w", "part", "v", changes.CHANGE_TYPE, changes.VERSION) == [
+        (1, None, "a", 1.0, "delete", 1), (1, None, "a", 1.0, "insert", 0), (2, None, "b", 2.0, "delete", 1),
+        (2, None, "b", 2.0, "insert", 0), (7, "new", None, None, "insert", 1)]
+    assert table.changes(2).columns[:2] == ["k", "w"] and table.changes(2).count() == 0
+    table.overwrite(spark.createDataFrame([("x",)], "k string"), (), T2)
+    with pytest.raises(ValueError, match="another type"):
+        table.changes(0)
