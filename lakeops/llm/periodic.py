@@ -150,10 +150,19 @@ def _octave(ids: np.ndarray, starts: np.ndarray, chosen: np.ndarray, stride: int
     return found
 
 
+def enough(found: list[dict]) -> list[dict]:
+    """The fragments of periods of which there is as much, in all, as a run needs."""
+    covered: dict[int, int] = {}
+    for f in found:
+        covered[f["period"]] = covered.get(f["period"], f["period"]) + f["end"] - f["start"]
+    return [f for f in found if covered[f["period"]] >= max(LEAST_WORDS, LEAST_PERIODS * f["period"])]
+
+
 def _searched(docs: DataFrame) -> DataFrame:
-    """One row for each document: its words' number and digest, its fragments, and its words if it has any."""
+    """One row for each document: the digest of its words, its fragments, and its words if it has any."""
 
     def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for batch in batches:
             at = 0
             while at < batch.num_rows:
@@ -171,20 +180,23 @@ def _searched(docs: DataFrame) -> DataFrame:
                     ids.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
                     held += len(words)
                     starts.append(held)
-                    taken.append(" ".join(words))
+                    taken.append(" ".join(words).encode("utf-8", "surrogatepass"))
                 by_row: list[list] = [[] for _ in taken]
                 for row, period, start, end in fragments(np.concatenate(ids), np.array(starts)):
                     by_row[row].append({"period": period, "start": start, "end": end})
+                by_row = [enough(found) for found in by_row]
                 part = batch.slice(at, len(taken))
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
                         part.column("row"),
-                        pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in taken]),
-                        pa.array([t if found else None for t, found in zip(taken, by_row)], pa.string()),
+                        pa.array([hashlib.sha256(t).hexdigest() for t in taken], pa.string()),
+                        pa.array([len(t) for t in taken], pa.int64()),
+                        # Periodic texts are stored and shuffled at a fraction of their size.
+                        pa.array([codec.compress(t, asbytes=True) if f else None for t, f in zip(taken, by_row)], pa.binary()),
                         pa.array(by_row, pa.list_(pa.struct([(c, pa.int64()) for c in ("period", "start", "end")]))),
                     ],
-                    names=["doc_id", "row", "digest", "words", "fragments"],
+                    names=["doc_id", "row", "digest", "n_bytes", "words", "fragments"],
                 )
                 at += len(taken)
 
@@ -198,7 +210,7 @@ def _searched(docs: DataFrame) -> DataFrame:
             ),
         ).mapInArrow(
             solved,
-            "doc_id long, row long, digest string, words string, "
+            "doc_id long, row long, digest string, n_bytes long, words binary, "
             "fragments array<struct<period: bigint, start: bigint, end: bigint>>",
         ),
         "periodic-fragments",
@@ -265,17 +277,18 @@ def collapse_runs(docs: DataFrame) -> DataFrame:
     searched_with = searched.filter("words IS NOT NULL").drop("fragments").join(runs, same, "left")
 
     def collapsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = pa.Codec("zstd")
         for batch in batches:
             digests = []
-            for digest, text, runs in zip(*(batch.column(c) for c in ("digest", "words", "runs"))):
+            for digest, size, packed, runs in zip(*(batch.column(c) for c in ("digest", "n_bytes", "words", "runs"))):
                 spans = runs.as_py()
                 if spans:
-                    words = text.as_py().split(" ")
+                    words = codec.decompress(packed.as_py(), size.as_py(), asbytes=True).split(b" ")
                     stays = np.ones(len(words), bool)
                     for span in spans:
                         stays[span["start"] + span["period"] : span["start"] + span["length"]] = False
-                    kept = " ".join([words[i] for i in np.flatnonzero(stays).tolist()])
-                    digests.append(hashlib.sha256(kept.encode("utf-8", "surrogatepass")).hexdigest())
+                    kept = b" ".join([words[i] for i in np.flatnonzero(stays).tolist()])
+                    digests.append(hashlib.sha256(kept).hexdigest())
                 else:
                     digests.append(digest.as_py())
             columns = {c: batch.column(c) for c in ("doc_id", "n_runs", "start", "length", "period", "runs_sha256")}
@@ -284,6 +297,7 @@ def collapse_runs(docs: DataFrame) -> DataFrame:
     found = searched_with.select(
         "doc_id",
         "digest",
+        "n_bytes",
         "words",
         "runs",
         F.coalesce(F.size("runs"), F.lit(0)).cast("long").alias("n_runs"),
