@@ -6,6 +6,8 @@ columns it needs, so extra columns of its input cannot clash with its own names.
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
@@ -21,21 +23,27 @@ _MULTIPLIERS = tuple(
     np.uint64(m)
     for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63)
 )
-MOST_WORDS = 700_000
+#: Bytes that the remembered values of one kind may take in a Python worker, which outlives its tasks.
+MOST_REMEMBERED = 32 << 20
+_SLOT = 104
 
 
 class Memo(dict):
-    """Values of words, computed once and forgotten together when there are too many."""
+    """Values of words, computed once and forgotten together when they take too many bytes."""
 
-    def __init__(self, value, most: int = MOST_WORDS):
+    def __init__(self, value, most: int = MOST_REMEMBERED):
         super().__init__()
         self.value = value
         self.most = most
+        self.held = 0
 
     def __missing__(self, word):
-        if len(self) >= self.most:
+        found = self.value(word)
+        self.held += sys.getsizeof(word) + sys.getsizeof(found) + _SLOT
+        if self.held > self.most:
             self.clear()
-        found = self[word] = self.value(word)
+            self.held = 0
+        self[word] = found
         return found
 
 

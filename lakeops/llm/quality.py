@@ -23,6 +23,7 @@ FEATURES = 256
 WIDTH = 3.0
 RIDGE = 1e-3
 BINS = 2_000
+MOST_LABELLED = 50_000
 _PUNCTUATION = np.array([c in b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" for c in range(256)])
 _GROUPS = [
     np.array([c in group for c in range(256)])
@@ -113,18 +114,21 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return crc_remainder(doc_id, 3) == 1
 
 
-def fit(table: DataFrame, labels: DataFrame) -> Scorer:
-    """Learn from the labelled rows of ``table`` that are not held out.
-
-    A document that is labelled more than once counts with its lowest label; missing labels and ids
-    are left out. Without any label each score is a half; with one label only, all scores are near it.
-    """
-    spark = table.sparkSession
-    known = (
+def known_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id`` and ``label`` of the documents to learn from: the lowest label of each, none held out."""
+    return (
         labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").cast("double").alias("label"))
     )
+
+
+def fit(table: DataFrame, known: DataFrame) -> Scorer:
+    """Learn from the rows of ``table`` whose labels are ``known``.
+
+    Without any label each score is a half; with one label only, all scores are near it.
+    """
+    spark = table.sparkSession
     fold = F.pmod(F.floor(F.crc32(F.col("doc_id").cast("string").cast("binary")) / 3), F.lit(4)) == 0
     rows = written(table.join(known, "doc_id").select("stats", "label", fold.alias("calibrates")), "quality-rows")
     places = [F.get("stats", i) for i in range(N_STATISTICS)]
@@ -211,7 +215,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     ``doc_id`` and ``text`` are read, of ``labels`` only ``doc_id`` and ``quality``.
     """
     table = table_of_statistics(docs)
-    return score(table, fit(table, labels)).select(
+    return score(table, fit(table, known_labels(labels))).select(
         "doc_id",
         held_out().alias("held_out"),
         "score",
@@ -219,9 +223,24 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose text scores ``least`` or more, with all their columns."""
-    scorer = docs.sparkSession.sparkContext.broadcast(fit(table_of_statistics(docs), labels))
+def good_documents(
+    docs: DataFrame, labels: DataFrame, least: float = 0.5, most_labelled: int = MOST_LABELLED
+) -> DataFrame:
+    """The rows of ``docs`` whose text scores ``least`` or more, with all their columns.
+
+    Learns from at most ``most_labelled`` of the labels, chosen by a hash of the id, so that they can be
+    sent to the documents: no text is shuffled, and only texts with such a label are counted twice.
+    Missing and empty texts are scored like others, by statistics of 0; rows without id are scored and
+    have no label; very long texts are read whole; rows that repeat stay or go together. An empty table
+    gives no rows; without labels every score is a half.
+    """
+    known = written(
+        known_labels(labels).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_labelled), "quality-labels"
+    )
+    learned = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        F.broadcast(known.select("doc_id")), "doc_id"
+    )
+    scorer = docs.sparkSession.sparkContext.broadcast(fit(table_of_statistics(learned), known))
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
