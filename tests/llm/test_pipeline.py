@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from collections import Counter
 
 import pytest
@@ -11,7 +12,7 @@ from lakeops.llm import decontam, lines, ngram_join
 from lakeops.llm.queries import QUERIES, SQL
 
 from .conftest import sentence
-from .test_dedup import brute_components, brute_lines, lowered, split_words
+from .test_dedup import brute_components, brute_lines, lowered, split_words, varied
 from .test_tokens import check_packing
 
 FOLDER = "/root/testdata/sf0.001"
@@ -85,6 +86,41 @@ def test_leaks_damaged_at_both_ends_and_in_the_middle(spark, documents):
     assert [r.position for r in found if r.doc_id == 90] == [1]
 
 
+@pytest.mark.parametrize("words", [5_000, 100_000])
+def test_text_that_repeats_an_item_takes_time_in_proportion(spark, documents, words):
+    items = [(1, sentence(800, 100)), (2, "la " * 20), (3, sentence(801, 3))]
+    rows = [(n, " ".join((text.split(" ") * words)[:words])) for n, text in items]
+    began = time.time()
+    found = decontam.leaks(documents(rows), item_table(spark, items)).collect()
+    assert time.time() - began < 90
+    assert {(r.doc_id, r.item_id, r.position) for r in found} == {(1, 1, 0), (2, 2, 0), (3, 3, 0)}
+
+
+def test_repeated_item_agrees_with_all_windows(spark, documents):
+    items = [(1, sentence(800, 30)), (2, "la " * 12), (3, sentence(801, 3))]
+    rows = [(n, (text + " " + sentence(n, n)) * 12) for n, text in items]
+    rows += [(10 + n, " ".join(varied(text, 1 + n % 3, n) for _ in range(6))) for n, text in items * 2]
+    found = decontam.leaks(documents(rows), item_table(spark, items)).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == brute_leaks(rows, items)
+
+
+def test_items_that_share_an_id_or_have_none(spark, documents):
+    one, other = sentence(810, 40), sentence(811, 25)
+    rows = [(1, one), (2, other), (3, f"{other} {one}"), (4, sentence(812, 30))]
+    found = decontam.leaks(documents(rows), item_table(spark, [(5, one), (5, other), (5, one), (None, sentence(812, 30))]))
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(1, 5), (2, 5), (3, 5)]
+
+
+def test_index_joins_few_rows_for_many_items_of_one_size(spark, documents):
+    """Windows are compared with the items that their shingles name, not with all items of their size."""
+    items = [(n, sentence(10_000 + n, 30)) for n in range(2_000)]
+    rows = [(n, f"{sentence(n, 20)} {items[n * 7][1]}") for n in range(200)]
+    found = decontam.leaks(documents(rows), item_table(spark, items))
+    plan = found._jdf.queryExecution().executedPlan()
+    assert sorted((r.doc_id, r.item_id) for r in found.collect()) == [(n, n * 7) for n in range(200)]
+    assert "Cartesian" not in plan.toString() and "NestedLoop" not in plan.toString()
+
+
 def test_blocks_find_all_within_the_radius(spark):
     chance = __import__("random").Random(6)
     pairs = []
@@ -95,7 +131,7 @@ def test_blocks_find_all_within_the_radius(spark):
             other ^= 1 << bit
         pairs.append(tuple(x - (1 << 64) if x >> 63 else x for x in (one, other)))
     frame = spark.createDataFrame(pairs, "a long, b long")
-    shared = F.arrays_overlap(decontam.blocks(F.col("a")), decontam.blocks(F.col("b")))
+    shared = F.arrays_overlap(decontam.blocks(F.col("a")), decontam.near_blocks(F.col("b")))
     assert frame.filter(~shared).count() == 0
     assert frame.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) == decontam.RADIUS).count() == 200
 
@@ -136,7 +172,7 @@ def test_stages_follow_each_other(spark):
 
 def test_all_queries_are_registered():
     assert set(QUERIES) <= set(registry.queries()) and set(SQL) <= set(registry.oracle_sql())
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 14))
     assert [name for name, _ in corpus_pipeline.STAGES][-1] == "packing" and corpus_pipeline.ORACLE_SQL is None
 
 
