@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.catalogue import query, table
@@ -15,6 +17,7 @@ from lakeops.functions import (
 )
 from lakeops.operators import numbering, profile, relate
 from lakeops.plans.ingest import enrich_posts
+from lakeops.session import scratch_path
 from lakeops.sources import files
 
 # --- projections -------------------------------------------------------------------------------
@@ -108,10 +111,22 @@ def json_parse(spark: SparkSession, folder: str) -> DataFrame:
     return expand_json(events, "value", "k long")
 
 
-@query()
+@query(
+    """SELECT event_id::VARCHAR AS key, 6::BIGINT AS field_count, event_id::VARCHAR AS event_id, event_type, value,
+       props FROM events"""
+)
 def message_envelope(spark: SparkSession, folder: str) -> DataFrame:
-    """The two engines spell JSON text differently, so there is no SQL; see message_roundtrip."""
-    return key_value_messages(table(spark, folder, "events"), "event_id")
+    """Rows as messages; the two engines spell JSON numbers differently, so the text is taken apart."""
+    messages = key_value_messages(table(spark, folder, "events"), "event_id")
+    field = lambda name: F.get_json_object("value", f"$.{name}")
+    return messages.select(
+        "key",
+        F.size(F.json_object_keys("value")).cast("long").alias("field_count"),
+        field("event_id").alias("event_id"),
+        field("event_type").alias("event_type"),
+        field("value").cast("double").alias("value"),
+        field("props").alias("props"),
+    )
 
 
 @query("SELECT event_id::VARCHAR AS key, event_id, user_id, event_type, value, props FROM events")
@@ -404,3 +419,66 @@ def key_check_unique(spark: SparkSession, folder: str) -> DataFrame:
 def table_size(spark: SparkSession, folder: str) -> DataFrame:
     """Sizes on disk are not to be had in SQL over the tables' rows."""
     return profile.table_sizes(spark, folder)
+
+
+def _candidates_sql(name: str, columns: list[str], most: int) -> str:
+    """All sets of up to ``most`` columns, the unique ones, and of those the ones that hold no other."""
+    sets = [s for size in range(1, most + 1) for s in itertools.combinations(columns, size)]
+    unique = " UNION ALL ".join(
+        f"""SELECT {list(s)} AS names WHERE (SELECT count(*) FROM {name}) =
+            (SELECT count(*) FROM (SELECT DISTINCT {", ".join(s)} FROM {name}
+             WHERE {" AND ".join(c + " IS NOT NULL" for c in s)}))"""
+        for s in sets
+    )
+    return f"""WITH keys AS ({unique})
+    SELECT array_to_string(names, ',') AS key_columns, len(names)::INTEGER AS column_count FROM keys k
+    WHERE NOT EXISTS (SELECT 1 FROM keys o WHERE o.names != k.names AND list_has_all(k.names, o.names))"""
+
+
+CANDIDATES = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query(_candidates_sql("orders", CANDIDATES, 3))
+def key_candidates(spark: SparkSession, folder: str) -> DataFrame:
+    """The minimal business keys of the orders: the id, and what happens to be unique beside it."""
+    return profile.key_candidates(table(spark, folder, "orders"), CANDIDATES, 3)
+
+
+@query(
+    """WITH parts AS (SELECT *, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS score FROM events)
+    SELECT 'event_id' AS column_name, count(*)::BIGINT AS row_count, 0::BIGINT AS null_count,
+           min(event_id)::DOUBLE AS min_number, max(event_id)::DOUBLE AS max_number, TRUE AS distinct_is_near,
+           TRUE AS median_is_near FROM parts
+    UNION ALL SELECT 'event_type', count(*), 0, NULL, NULL, TRUE, NULL FROM parts
+    UNION ALL SELECT 'score', count(*), count(*) - count(score), min(score), max(score), TRUE, TRUE FROM parts
+    UNION ALL SELECT 'user_id', count(*), 0, min(user_id), max(user_id), TRUE, TRUE FROM parts"""
+)
+def profile_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Events that arrive in three commits, each scanned once; their profile next to that of a full scan."""
+    events = table(spark, folder, "events").selectExpr(
+        "event_id", "event_type", "user_id", "CASE WHEN event_type = 'error' THEN NULL ELSE value END AS score"
+    )
+    growing = profile.GrowingProfile(spark, scratch_path(spark, "profile"))
+    for commit in range(3):
+        growing.add(events.where(F.col("event_id") % 3 == commit), commit)
+    growing.add(events.where(F.col("event_id") % 3 == 1), 1)  # once more, as after a failure
+    full = profile.profile_columns(events).select("column_name", F.col("distinct_count").alias("exact"))
+    numbers = ["event_id", "user_id", "score"]
+    # The ranks of the median: the shares of values below it, and not above it.
+    middle = {r["column_name"]: r["quantiles"] for r in growing.profile().collect()}
+    ranks = events.agg(
+        *(F.avg((F.col(c) < middle[c][0]).cast("double")).alias(f"{c}_below") for c in numbers),
+        *(F.avg((F.col(c) <= middle[c][0]).cast("double")).alias(f"{c}_upto") for c in numbers),
+    ).first()
+    near = {c: ranks[f"{c}_below"] <= 0.52 and ranks[f"{c}_upto"] >= 0.48 for c in numbers}
+    median = F.coalesce(*(F.when(F.col("column_name") == c, F.lit(v)) for c, v in near.items()))
+    close = F.abs(F.col("distinct_count") - F.col("exact")) <= profile.DISTINCT_BOUND * F.col("exact")
+    return growing.profile().join(full, "column_name").select(
+        "column_name",
+        "row_count",
+        "null_count",
+        "min_number",
+        "max_number",
+        close.alias("distinct_is_near"),
+        median.alias("median_is_near"),
+    )

@@ -187,6 +187,71 @@ def dim_load(spark: SparkSession, folder: str) -> DataFrame:
     return item_dimension(spark, folder).read().drop(star.MODIFIED)
 
 
+@query(
+    """SELECT concat('I', p_partkey) AS item_code,
+       row_number() OVER (ORDER BY CASE WHEN p_type != 'SMALL' THEN 0 ELSE 1 END, concat('I', p_partkey))::BIGINT
+         AS dim_item_id,
+       CASE WHEN p_brand = 'Brand#2' AND p_type != 'SMALL' THEN p_name ELSE upper(p_name) END AS item_name,
+       p_brand = 'Brand#2' AND p_type != 'SMALL' AS is_deleted
+    FROM part"""
+)
+def dim_after_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """A dimension loaded behind an overwrite of its source: ids stay, what is gone is marked."""
+    root = scratch_path(spark, "item")
+    source, dimension = VersionedTable(spark, f"{root}/item"), VersionedTable(spark, f"{root}/dim_item")
+    items = table(spark, folder, "part").withColumn(DELETED, F.lit(False))
+    columns = ["concat('I', p_partkey) AS item_code", "p_name AS item_name", DELETED]
+    later = ["concat('I', p_partkey) AS item_code", "upper(p_name) AS item_name", DELETED]
+    source.overwrite(items.where("p_type != 'SMALL'").selectExpr(*columns), committed_at=FIRST)
+    star.load_dimension(source, dimension, "item_code", "dim_item_id", FIRST)
+    source.overwrite(items.where("p_brand != 'Brand#2' OR p_type = 'SMALL'").selectExpr(*later), committed_at=SECOND)
+    star.load_dimension(source, dimension, "item_code", "dim_item_id", SECOND)
+    return dimension.read().drop(star.MODIFIED)
+
+
+# The posts area: raw names with an underscore, refined under their own names.
+POSTS_AREA = (
+    RefinedTable("badges", ["id"], ["_Class AS class", "_Id AS id", "_Name AS name", "_UserId AS userid"]),
+    RefinedTable(
+        "comments", ["id"], ["_Id AS id", "_PostId AS post_id", "_Score AS score", "_Text AS text", "_UserId AS user_id"]
+    ),
+)
+
+
+@query(
+    """SELECT 'badges' AS table_name, e.event_id AS id, e.event_type AS label, e.user_id AS user_id,
+       e.event_type = 'signup' AS is_deleted FROM events e
+    UNION ALL
+    SELECT 'comments', o_orderkey, CASE WHEN o_orderstatus = 'O' THEN upper(o_orderpriority) || '!'
+                                        ELSE o_orderpriority END, o_custkey, o_orderstatus = 'P' FROM orders"""
+)
+def posts_refined(spark: SparkSession, folder: str) -> DataFrame:
+    """The refined load of the posts area, from two extracts; renamed columns, one row per line of either."""
+    root = scratch_path(spark, "posts-area")
+    events, orders = table(spark, folder, "events"), table(spark, folder, "orders")
+    for second, when in ((False, FIRST), (True, SECOND)):
+        badges = events.selectExpr(
+            "event_id AS _Id", "event_type AS _Name", "user_id AS _UserId", "1 AS _Class", "ts AS _Date"
+        )
+        text = "CASE WHEN o_orderstatus = 'O' THEN upper(o_orderpriority) || '!' ELSE o_orderpriority END"
+        comments = orders.selectExpr(
+            "o_orderkey AS _Id", "o_custkey AS _UserId", "o_custkey AS _PostId", "o_totalprice AS _Score",
+            f"{text if second else 'o_orderpriority'} AS _Text", "o_orderstatus",
+        )
+        if second:
+            badges, comments = badges.where("_Name != 'signup'"), comments.where("o_orderstatus != 'P'")
+        raw = f"{root}/raw-{int(second)}"
+        overwrite(badges, f"{raw}/badges")
+        overwrite(comments, f"{raw}/comments")
+        load_all_refined(spark, POSTS_AREA, raw, f"{root}/refined", committed_at=when, workers=3, seconds=1_800)
+    badges, comments = (VersionedTable(spark, f"{root}/refined/{c.name}").read() for c in POSTS_AREA)
+    return badges.select(
+        F.lit("badges").alias("table_name"), "id", F.col("name").alias("label"), F.col("userid").alias("user_id"), DELETED
+    ).unionByName(
+        comments.select(F.lit("comments").alias("table_name"), "id", F.col("text").alias("label"), "user_id", DELETED)
+    )
+
+
 def readings(spark: SparkSession, folder: str, second: bool) -> DataFrame:
     """Orders as monthly readings of customers; the second extract raises the prices of 1999."""
     price = "sum(CAST(round(o_totalprice) AS BIGINT))"
@@ -249,10 +314,13 @@ def fact_load(spark: SparkSession, folder: str) -> DataFrame:
       FROM lineitem WHERE year(l_shipdate) != 1995"""
 )
 def refined_load(spark: SparkSession, folder: str) -> DataFrame:
-    """Four refined tables loaded side by side; the active rows of each."""
+    """Four refined tables loaded side by side from two extracts; the active rows of each."""
     root = scratch_path(spark, "refined")
-    write_raw(spark, folder, shipped(spark, folder), f"{root}/raw", second=True)
-    load_all_refined(spark, REFINED, f"{root}/raw", f"{root}/refined", committed_at=FIRST)
+    shipments = written(shipped(spark, folder), "shipments")
+    for second, when in ((False, FIRST), (True, SECOND)):
+        raw = f"{root}/raw-{int(second)}"
+        write_raw(spark, folder, shipments, raw, second)
+        load_all_refined(spark, REFINED, raw, f"{root}/refined", committed_at=when)
     result = None
     for config in REFINED:
         rows = VersionedTable(spark, f"{root}/refined/{config.name}").read().where(~F.col(DELETED))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from datetime import datetime
 
@@ -23,7 +24,7 @@ from lakeops.catalogue.maintenance import (
 from lakeops.catalogue.relational import event_questions, events_as_posts
 from lakeops.functions import month_start
 from lakeops.operators import changes
-from lakeops.plans import ingest
+from lakeops.plans import ingest, replay
 from lakeops.session import scratch_path
 from lakeops.sources import files
 from lakeops.sources.writers import append_evolving, overwrite, overwrite_table
@@ -296,6 +297,53 @@ def json_landing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    """SELECT event_id AS question_id, user_id, floor(value)::BIGINT AS score,
+       CASE WHEN event_id % 4 = 1 THEN 'bronze' END AS badge,
+       CASE WHEN event_id % 1000 = 7 THEN event_type END AS note,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE event_id END AS quota
+    FROM events WHERE event_id % 50 != 49"""
+)
+def json_variant(spark: SparkSession, folder: str) -> DataFrame:
+    """Responses whose fields differ, one question each, read once without a schema.
+
+    Some owners have a badge, a few questions a note, a third of the responses no quota; one in fifty is
+    an error without items.
+    """
+    path, key = scratch_path(spark, "responses"), F.col("event_id")
+    owner = F.when(
+        key % 4 == 1, F.to_json(F.struct("user_id", F.lit("bronze").alias("badge")))
+    ).otherwise(F.to_json(F.struct("user_id")))
+    question = F.concat(
+        F.format_string('{"question_id": %d, "score": %d, "owner": ', key, F.floor("value")),
+        owner,
+        F.when(key % 1000 == 7, F.format_string(', "note": "%s"', "event_type")).otherwise(""),
+        F.lit("}"),
+    )
+    response = F.when(key % 50 == 49, F.lit('{"error_id": 502, "error_name": "throttle"}')).otherwise(
+        F.concat(
+            F.lit('{"items": ['),
+            question,
+            F.lit("]"),
+            F.when(key % 3 == 0, "").otherwise(F.format_string(', "quota_remaining": %d', key)),
+            F.lit("}"),
+        )
+    )
+    table(spark, folder, "events").select(response.alias("value")).write.text(path)
+    pages = files.read_variant_pages(spark, path)
+    quota = F.try_variant_get("response", "$.quota_remaining", "bigint")
+    items = files.variant_items(pages).select("item")
+    found = files.variant_fields(
+        items,
+        "item",
+        {"question_id": "bigint", "owner.user_id": "bigint", "score": "bigint", "owner.badge": "string", "note": "string"},
+    )
+    quotas = pages.select(
+        F.try_variant_get("response", "$.items[0].question_id", "bigint").alias("question_id"), quota.alias("quota")
+    )
+    return found.join(quotas, "question_id", "left")
+
+
 @query(
     """SELECT floor(value) > 50 AS has_more, 300::BIGINT AS quota_max, event_id AS quota_remaining
     FROM events"""
@@ -373,3 +421,42 @@ def replay_pages(spark: SparkSession, folder: str) -> DataFrame:
     messages = ingest.replay_month(spark.read.parquet(path), "2024-01-01")
     post = F.from_json("value", "_Id long, _OwnerUserId long").alias("post")
     return messages.select("key", "page", post).select("key", "page", "post.*")
+
+
+@query(
+    """WITH pages AS (
+      SELECT event_id, (row_number() OVER (ORDER BY ts, event_id) - 1)
+             // ceil((SELECT count(*) FROM events) / 20.0)::BIGINT AS page FROM events)
+    SELECT event_id::VARCHAR AS key, page, CASE WHEN page = 7 THEN 2 ELSE 1 END AS tries FROM pages"""
+)
+def replay_sent(spark: SparkSession, folder: str) -> DataFrame:
+    """Twenty pages of posts handed to a sink that fails once in the middle; each message arrives once."""
+    path, target = scratch_path(spark, "posts"), scratch_path(spark, "sent")
+    posts = events_as_posts(spark, folder)
+    overwrite(ingest.enrich_posts(posts), path, [ingest.MONTH])
+    messages = ingest.replay_month(spark.read.parquet(path), "2024-01-01", math.ceil(posts.count() / 20))
+    hand_over, store, tries = replay.Replay(spark, scratch_path(spark, "replay")), replay.folder_sink(target), {}
+
+    def sink(rows: DataFrame, page: int) -> None:
+        tries[page] = tries.get(page, 0) + 1
+        store(rows, page)
+        if page == 7 and tries[page] == 1:
+            raise ConnectionError("the answer was lost")
+
+    hand_over.prepare(messages)
+    try:
+        hand_over.send(sink, attempts=1)
+    except ConnectionError:
+        hand_over.send(sink, attempts=1)
+    count = F.create_map(*(F.lit(x) for page, n in tries.items() for x in (page, n)))
+    sent = spark.read.parquet(target).select("key", F.col("page").cast("long").alias("page"))
+    return sent.withColumn("tries", F.try_element_at(count, F.col("page").cast("int")))
+
+
+@query(f"{BOTH_SQL} SELECT * FROM source")
+def replay_after_overwrite(spark: SparkSession, folder: str) -> DataFrame:
+    """A table rebuilt from a feed that goes across an overwrite with rows in another order."""
+    orders = VersionedTable(spark, scratch_path(spark, "orders"))
+    orders.overwrite(target_orders(spark, folder), committed_at=COMMITTED)
+    orders.overwrite(flagged_source(spark, folder).repartition(5, "o_custkey"), committed_at=SECOND_COMMIT)
+    return changes.replayed(orders.changes(0), KEY).select(*ORDER_COLUMNS, FLAG)

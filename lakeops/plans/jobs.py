@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 import time
+import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import nullcontext
 
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 STATUS_SCHEMA = "table_name string, succeeded boolean, seconds double, result string, error string"
@@ -21,24 +24,65 @@ class LoadError(Exception):
         self.status = status
 
 
+class _Limit:
+    """Cancels the Spark jobs that its thread submits once a time has passed, until it is left."""
+
+    EVERY = 0.2
+
+    def __init__(self, context: SparkContext, tag: str, seconds: float):
+        self.context, self.tag, self.seconds = context, tag, seconds
+        self.passed = False
+        self._left = threading.Event()
+
+    def __enter__(self) -> None:
+        self.context.addJobTag(self.tag)
+        self._watcher = threading.Thread(target=self._watch, daemon=True)
+        self._watcher.start()
+
+    def _watch(self) -> None:
+        if self._left.wait(self.seconds):
+            return
+        self.passed = True
+        while not self._left.wait(self.EVERY):
+            self.context.cancelJobsWithTag(self.tag)
+
+    def __exit__(self, kind, *_) -> None:
+        self._left.set()
+        self._watcher.join()
+        self.context.removeJobTag(self.tag)
+        if self.passed and kind is None:
+            # Too late is too late, whether or not a job was there to cancel.
+            raise TimeoutError(f"took more than {self.seconds:g} seconds")
+
+
 def run_tables(
     spark: SparkSession,
     names: Iterable[str],
     load: Callable[[str], object],
     workers: int = 4,
+    seconds: float | None = None,
 ) -> DataFrame:
     """Submit the loads from a few threads; Spark runs their jobs side by side.
 
     Returns one status row per table. A failing table does not stop the others; once all are done
-    the failures are raised together.
+    the failures are raised together. With ``seconds`` a table that takes longer fails with a
+    ``TimeoutError``: its jobs, known by a tag of their own, are cancelled, and so are those that it
+    still submits. Each table has a scheduler pool of its name, so that with
+    ``spark.scheduler.mode=FAIR`` a large table leaves the others their share of the cluster.
     """
     errors: dict[str, Exception] = {}
+    context = spark.sparkContext
 
     def attempt(name: str) -> tuple:
         started = time.monotonic()
+        context.setLocalProperty("spark.scheduler.pool", name)
+        limit = None if seconds is None else _Limit(context, f"lakeops-{name}-{uuid.uuid4().hex}", seconds)
         try:
-            result = load(name)
+            with limit or nullcontext():
+                result = load(name)
         except Exception as error:
+            if limit is not None and limit.passed:
+                error = TimeoutError(f"stopped after {seconds:g} seconds")
             errors[name] = error
             return name, False, time.monotonic() - started, None, str(error)
         text = None if result is None else str(result)

@@ -55,13 +55,15 @@ def load_all_refined(
     raw_root: str,
     refined_root: str,
     workers: int = 4,
+    seconds: float | None = None,
     **options,
 ) -> DataFrame:
-    """Load several tables side by side; one status row per table."""
+    """Load several tables side by side, each within ``seconds`` if given; one status row per table."""
     by_name = {config.name: config for config in configs}
     return run_tables(
         spark,
         by_name,
         lambda name: load_refined(spark, by_name[name], raw_root, refined_root, **options),
         workers,
+        seconds,
     )

@@ -174,10 +174,11 @@ def load_star(
     partition_by: Sequence[str] = (),
     dimensions: Sequence[Dimension] = PRICE_DIMENSIONS,
     workers: int = 3,
+    seconds: float | None = None,
 ) -> DataFrame:
     """Load all dimensions side by side, then the fact table; one status row per table.
 
-    If a dimension fails, the fact table is left as it is.
+    If a dimension fails, or takes more than ``seconds``, the fact table is left as it is.
     """
 
     def table(root: str, name: str) -> VersionedTable:
@@ -191,7 +192,7 @@ def load_star(
             table(refined_root, d.source), table(curated_root, name), d.key, d.id_column, committed_at
         )
 
-    status = run_tables(spark, by_name, load, workers)
+    status = run_tables(spark, by_name, load, workers, seconds)
     current = {d.source: table(curated_root, d.name).read() for d in dimensions}
     fact = run_tables(
         spark,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -68,6 +68,41 @@ def read_pages(
     return reader.schema(", ".join(filter(None, [f"items array<{item}>", fields]))).json(path)
 
 
+def read_variant_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed API responses of unknown shape, one per line: ``response`` holds each as a VARIANT.
+
+    The files are read once: no schema is needed to read them, whatever fields the responses have and
+    however these differ. A line that is no JSON fails the job; blank lines are skipped.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    return lines.select(F.parse_json("value").alias("response"))
+
+
+def variant_items(pages: DataFrame, field: str = "items") -> DataFrame:
+    """One row per item of all responses, as a VARIANT; a response without that list has none."""
+    items = F.try_variant_get("response", f"$.{field}", "array<variant>")
+    return pages.select(F.explode(items).alias("item"))
+
+
+def variant_schema(rows: DataFrame, column: str) -> str:
+    """The widest shape of a VARIANT column, united within tasks and then over them."""
+    return rows.agg(F.schema_of_variant_agg(column)).first()[0].replace("OBJECT<", "STRUCT<")
+
+
+def variant_fields(rows: DataFrame, column: str, fields: Mapping[str, str]) -> DataFrame:
+    """Columns from paths in a VARIANT, such as ``{"owner.user_id": "bigint"}``.
+
+    A column is named after the last part of its path. A value that is missing, or cannot be cast to
+    the type, is NULL.
+    """
+    return rows.select(
+        *(
+            F.try_variant_get(column, f"$.{path}", kind).alias(path.rsplit(".", 1)[-1])
+            for path, kind in fields.items()
+        )
+    )
+
+
 def page_items(pages: DataFrame) -> DataFrame:
     """One row per item of all responses."""
     return pages.select(F.inline("items"))
