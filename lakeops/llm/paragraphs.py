@@ -1,15 +1,25 @@
-"""Removal of repeated paragraphs: MinHash bands, exact verification, components (operator 3).
-
-1. Texts are cut into paragraphs at line ends. Equal paragraphs are one class from here on.
-2. Each class of at least ``least_words`` words gets a MinHash signature over its word shingles, cut
-   into bands. Rows and bands are tuned: at Jaccard 0.8, 20 bands of 5 miss a pair with probability
-   (1 - 0.8**5) ** 20, below 0.04 %.
+"""Removal of repeated passages and paragraphs: MinHash bands, exact verification, components (operator 3).
+
+Two kinds of paragraphs are cut from the words of a text, in one pass whose result is stored.
+
+* Natural ones: lines; if asked for, lines shorter than ``least_words`` are joined up to the next blank or
+  longer line, so that a passage may be wrapped at any width.
+* Content-defined ones, for passages inside other text: the place of the least hash among any ``REACH``
+  neighbouring shingles is an anchor, and the ``UNIT`` words from there are a paragraph. Any run of
+  UNIT + REACH - 1 = 50 words holds one as a whole, found by the run's own words alone, so a run that
+  documents share gives them an equal paragraph, wherever it lies in them.
+
+1. Equal paragraphs are one class from here on. Of content-defined ones, which overlap all along the
+   text, equality is all that counts: any edit leaves the ones beside it.
+2. Each class of natural paragraphs gets a MinHash signature over its word shingles, cut into bands;
+   one of very few words also gets keys that it shares with those of which one word differs. Rows and bands are tuned: at Jaccard 0.8, 16 bands of 4 miss a pair with probability
+   (1 - 0.8**4) ** 16, about 0.02 %.
 3. Classes that collide in a band form candidate components, from one edge per band value and class.
    A component's classes meet in a task, several small ones together; one that is too large is dealt
-   over blocks whose pairs meet. There, links are verified by exact Jaccard, or by edit distance where
-   shingles are too few to tell.
+   over blocks whose pairs meet. There, links are verified by exact Jaccard; very short texts may also
+   differ by one word, where that leaves enough of the longer one.
 4. Components of verified links are groups of copies. A paragraph is a removal unless it is the first
-   of its group, by document and position.
+   of its group, by document and position. Removals that overlap are joined to passages.
 """
 
 from __future__ import annotations
@@ -20,16 +30,23 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeops.llm.common import components, mixed, plain_words, shingle_hashes
+from lakeops.llm.common import components, mixed, plain_words, shingle_hashes, word_hashes
 from lakeops.llm.ngram_join import Groups, linked
 from lakeops.session import written
 
-BANDS, ROWS = 20, 5
+BANDS, ROWS = 16, 4
 SALTS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 TASK_CLASSES = 4_000
 FEW_WORDS = 9
+#: Words of a shared run that is found for certain, of a content-defined paragraph, and places an
+#: anchor is chosen from.
+RUN = 50
+UNIT = 37
+REACH = RUN - UNIT + 1
+_ODD = 0x9E3779B97F4A7C15
+_INVERSE = pow(_ODD, -1, 1 << 64)
 
 
 def signatures(shingles: list[np.ndarray]) -> np.ndarray:
@@ -71,86 +88,180 @@ def edits_allow(one: list[str], other: list[str], percent: int) -> bool:
     return edits_within(one, other, max(len(one), len(other)) * (100 - percent) // 100)
 
 
+def one_word_links(texts: list[list[str]], percent: int) -> list[tuple[int, int]]:
+    """Links, enough to connect all, of texts that differ by one word replaced, added or left out, where
+    that leaves ``percent`` of the longer one."""
+    places: dict[tuple, int] = {}
+    links = []
+    for n, words in enumerate(texts):
+        if len(words) * (100 - percent) < 100:
+            continue
+        for i in range(len(words)):
+            # The same rest around the same place: texts with one word replaced.
+            rest = (i, *words[:i], *words[i + 1 :])
+            if places.setdefault(rest, n) != n:
+                links.append((places[rest], n))
+    whole: dict[tuple, list[int]] = {}
+    for n, words in enumerate(texts):
+        whole.setdefault(tuple(words), []).append(n)
+    for n, words in enumerate(texts):
+        if len(words) * (100 - percent) >= 100:
+            for i in range(len(words)):
+                links += [(other, n) for other in whole.get((*words[:i], *words[i + 1 :]), ())[:1]]
+    return links
+
+
+def short_keys(words: list[str]) -> list[int]:
+    """Keys of a text of few words; two of which one word differs have one in common."""
+    keys = [xxhash.xxh64_intdigest(" ".join(words))]
+    for i in range(len(words)):
+        rest = " ".join(words[:i] + words[i + 1 :])
+        keys += [xxhash.xxh64_intdigest(rest), xxhash.xxh64_intdigest(f"{i} {rest}", seed=1)]
+    return [key - (1 << 64) if key >> 63 else key for key in keys]
+
+
 def verified(texts: list[str], percent: int) -> list[tuple[int, int]]:
     """Verified links among the texts of a candidate component, enough to connect all that link.
 
-    Texts of few words are compared by edit distance if they share a band, all others by the exact
-    Jaccard of their shingles, through a prefix tree that compares no pair already connected.
+    All texts are compared by the exact Jaccard of their shingles, through a prefix tree that compares no
+    pair already connected; those of few words also word by word.
     """
     words = [plain_words(t) for t in texts]
+    links = linked([np.unique(shingle_hashes(w)) for w in words], percent)
     few = [n for n, w in enumerate(words) if len(w) < FEW_WORDS]
-    many = [n for n, w in enumerate(words) if len(w) >= FEW_WORDS]
-    links = [(many[a], many[b]) for a, b in linked([np.unique(shingle_hashes(words[n])) for n in many], percent)]
-    if not few:
-        return links
-    bands, groups = band_values(signatures([shingle_hashes(words[n]) for n in few])), Groups(len(few))
-    for band in range(BANDS):
-        order = np.argsort(bands[:, band], kind="stable")
-        for run in np.split(order, np.flatnonzero(np.diff(bands[order, band])) + 1):
-            for at, one in enumerate(run.tolist()):
-                for other in run[:at].tolist():
-                    if groups.of(one) != groups.of(other) and edits_allow(words[few[one]], words[few[other]], percent):
-                        groups.join(one, other)
-                        links.append((few[one], few[other]))
-    return links
-
+    return links + [(few[a], few[b]) for a, b in one_word_links([words[n] for n in few], percent)]
+
+
+def natural_paragraphs(text: str | None, least_words: int, joined: bool) -> Iterator[tuple[int, int, list[str]]]:
+    """(line, first word, words) of the lines, or joined lines, of at least ``least_words`` words."""
+    start = 0
+    held: list[str] = []
+    held_at = (0, 0)
+    for position, line in enumerate((text or "").split("\n")):
+        words = plain_words(line)
+        long = len(words) >= least_words
+        if joined and (long or not words):
+            if len(held) >= least_words:
+                yield *held_at, held
+            held = []
+        if long:
+            yield position, start, words
+        elif joined and words:
+            if not held:
+                held_at = (position, start)
+            held = held + words if len(held) < least_words else [*held, *words]
+        start += len(words)
+    if len(held) >= least_words:
+        yield *held_at, held
+
+
+class Powers:
+    """Powers of an odd number and of its inverse modulo 2**64, as many as were asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            n = max(n, 2 * len(self.up))
+            with np.errstate(over="ignore"):
+                factors = np.full(n, _ODD, np.uint64), np.full(n, _INVERSE, np.uint64)
+                for f in factors:
+                    f[0] = 1
+                self.up, self.down = (np.multiply.accumulate(f) for f in factors)
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = Powers()
+
+
+def units(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, and two independent hashes, of the content-defined paragraphs of a text's word hashes."""
+    n = len(hashes)
+    if n < max(UNIT, REACH + 4):
+        none = np.empty(0, np.int64)
+        return none, none, none.astype(np.int32)
+    with np.errstate(over="ignore"):
+        shingles = hashes[: n - 4] * np.uint64(_ODD)
+        for i in range(1, 5):
+            shingles = mixed(shingles) + hashes[i : n - 4 + i]
+        windows = np.lib.stride_tricks.sliding_window_view(mixed(shingles), REACH)
+        starts = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
+        starts = starts[starts + UNIT <= n]
+        up, down = _POWERS.upto(n + 1)
 
-def _occurrences(docs: DataFrame, least_words: int) -> DataFrame:
-    """Each paragraph of enough words: document, position, digest of its words, and their number."""
-
-    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for at, text in enumerate(batch.column("text").to_pylist()):
-                for position, line in enumerate((text or "").split("\n")):
-                    words = plain_words(line)
-                    if len(words) >= least_words:
-                        rows.append((at, position, xxhash.xxh3_128_digest(" ".join(words)), len(words)))
-            ids = batch.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    ids,
-                    pa.array([r[1] for r in rows], pa.int64()),
-                    pa.array([r[2] for r in rows], pa.binary()),
-                    pa.array([r[3] for r in rows], pa.int64()),
-                ],
-                names=["doc_id", "position", "digest", "n_words"],
-            )
+        def digest(values: np.ndarray) -> np.ndarray:
+            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[1 : n + 1])))
+            return mixed((sums[starts + UNIT] - sums[starts]) * down[starts])
 
-    schema = "doc_id long, position long, digest binary, n_words long"
-    return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(digested, schema), "paragraphs")
+        return (
+            starts,
+            digest(hashes).view(np.int64),
+            (digest(mixed(hashes + np.uint64(7))) >> np.uint64(33)).astype(np.int32),
+        )
 
 
 def _node(digest: bytes) -> int:
     return int.from_bytes(digest[:8], "little", signed=True)
 
 
-def _candidates(docs: DataFrame, least_words: int) -> DataFrame:
-    """``node`` and ``component`` of the classes that collide with another one in a band."""
+PARAGRAPH = "struct<position: bigint, start: bigint, n_words: bigint, digest: binary, node: bigint, bands: array<bigint>>"
+CUT = f"doc_id long, row long, starts array<int>, classes array<long>, checks array<int>, paragraphs array<{PARAGRAPH}>"
 
-    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = {}
-            for text in batch.column("text").to_pylist():
-                for line in (text or "").split("\n"):
-                    words = plain_words(line)
-                    if len(words) >= least_words:
-                        node = _node(xxhash.xxh3_128_digest(" ".join(words)))
-                        if node not in found:
-                            found[node] = shingle_hashes(words)
-            values = band_values(signatures(list(found.values()))) if found else np.empty((0, BANDS), np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(found), pa.int64()),
-                    pa.FixedSizeListArray.from_arrays(pa.array(values.view(np.int64).ravel()), BANDS).cast(
-                        pa.list_(pa.int64())
-                    ),
-                ],
-                names=["node", "bands"],
-            )
 
-    stored = written(docs.select("text").mapInArrow(banded, "node long, bands array<long>"), "paragraph-bands")
-    postings = stored.select("node", F.explode("bands").alias("band"))
+def _cut(docs: DataFrame, least_words: int, joined: bool, with_units: bool) -> DataFrame:
+    """The paragraphs of each document. Of equal ones in a batch only the first has its bands."""
+    kind = pa.list_(
+        pa.struct(
+            [
+                *((c, pa.int64()) for c in ("position", "start", "n_words")),
+                ("digest", pa.binary()),
+                ("node", pa.int64()),
+                ("bands", pa.list_(pa.int64())),
+            ]
+        )
+    )
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1_000):
+                batch = whole.slice(at, 1_000)
+                found, seen, content = [], {}, []
+                for text in batch.column("text").to_pylist():
+                    rows = []
+                    for position, start, words in natural_paragraphs(text, least_words, joined):
+                        digest = xxhash.xxh3_128_digest(" ".join(words))
+                        row = {"position": position, "start": start, "n_words": len(words), "digest": digest, "node": _node(digest)}
+                        if digest not in seen:
+                            row["bands"] = short_keys(words) if len(words) < FEW_WORDS else []
+                            seen[digest] = (row, shingle_hashes(words))
+                        rows.append(row)
+                    found.append(rows)
+                    if with_units:
+                        content.append(units(word_hashes(plain_words(text))))
+                if seen:
+                    rows, shingles = zip(*seen.values())
+                    for row, bands in zip(rows, band_values(signatures(list(shingles))).view(np.int64).tolist()):
+                        row["bands"] += bands
+                columns = [batch.column("doc_id"), batch.column("row")]
+                for place, item in enumerate((pa.int32(), pa.int64(), pa.int32())):
+                    lists = [c[place] for c in content] or [None] * batch.num_rows
+                    columns.append(pa.array(lists, pa.list_(item)))
+                yield pa.RecordBatch.from_arrays(
+                    [*columns, pa.array(found, kind)],
+                    names=["doc_id", "row", "starts", "classes", "checks", "paragraphs"],
+                )
+
+    return written(_keyed(docs).mapInArrow(cut, CUT), "paragraphs")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
+
+
+def _candidates(occurrences: DataFrame) -> DataFrame:
+    """``node`` and ``component`` of the classes that collide with another one in a band."""
+    postings = occurrences.filter("bands IS NOT NULL").select("node", F.explode("bands").alias("band"))
     leaders = written(
         postings.groupBy("band")
         .agg(F.min("node").alias("leader"), F.max("node").alias("__last"))
@@ -162,7 +273,9 @@ def _candidates(docs: DataFrame, least_words: int) -> DataFrame:
     return components(edges.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "paragraph-candidates")
 
 
-def _links(docs: DataFrame, candidates: DataFrame, least_words: int, percent: int) -> DataFrame:
+def _links(
+    docs: DataFrame, occurrences: DataFrame, candidates: DataFrame, least_words: int, joined: bool, percent: int
+) -> DataFrame:
     """Verified links (a, b) between the digests of paragraph classes."""
     sized = written(
         candidates.join(candidates.groupBy("component").agg(F.count("node").alias("__size")), "component").select(
@@ -175,71 +288,72 @@ def _links(docs: DataFrame, candidates: DataFrame, least_words: int, percent: in
     placed = sized.select(
         "node",
         "component",
-        F.explode(
-            F.when(F.col("blocks") == 1, F.array(F.pmod(F.xxhash64("component"), F.lit(tasks)))).otherwise(
-                F.transform(
-                    F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
-                    lambda other: F.xxhash64("component", F.least(other, block), F.greatest(other, block)),
-                )
+        F.when(F.col("blocks") == 1, F.array(F.pmod(F.xxhash64("component"), F.lit(tasks))))
+        .otherwise(
+            F.transform(
+                F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1),
+                lambda other: F.xxhash64("component", F.least(other, block), F.greatest(other, block)),
             )
-        ).alias("task"),
+        )
+        .alias("tasks"),
     )
-
-    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each paragraph once per batch, with its words."""
-        for batch in batches:
-            seen = {}
-            for text in batch.column("text").to_pylist():
-                for line in (text or "").split("\n"):
-                    words = plain_words(line)
-                    if len(words) >= least_words:
-                        joined = " ".join(words)
-                        seen.setdefault(xxhash.xxh3_128_digest(joined), joined)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_node(d) for d in seen], pa.int64()),
-                    pa.array(list(seen), pa.binary()),
-                    pa.array(list(seen.values()), pa.string()),
-                ],
-                names=["node", "digest", "words"],
-            )
-
-    texts = (
-        docs.select("text")
-        .mapInArrow(found, "node long, digest binary, words string")
+    # Each class is read again from one document that holds it.
+    one_each = (
+        occurrences.join(placed.select("node"), "node", "left_semi")
+        .groupBy("digest", "node")
+        .agg(F.min_by(F.struct("doc_id", "row", "position"), F.struct("row", "position")).alias("r"))
         .join(placed, "node")
-        # Copies from different batches are dropped before they meet in a task.
-        .groupBy("task", "component", "digest")
-        .agg(F.first("words").alias("words"))
     )
+    wanted = one_each.groupBy(F.col("r.doc_id").alias("__id"), F.col("r.row").alias("__row")).agg(
+        F.collect_list(F.struct("r.position", "digest", "component", "tasks")).alias("wanted")
+    )
+    keyed = _keyed(docs)
+    texts = keyed.join(wanted, keyed["doc_id"].eqNullSafe(F.col("__id")) & (keyed["row"] == F.col("__row")))
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The words of the wanted paragraphs, once for each task."""
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1_000):
+                batch, rows = whole.slice(at, 1_000), []
+                for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
+                    places = {w["position"]: w for w in wanted}
+                    for position, _, words in natural_paragraphs(text, least_words, joined):
+                        if position in places:
+                            w = places[position]
+                            rows += [(task, w["component"], w["digest"], " ".join(words)) for task in w["tasks"]]
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.string()]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
+                    names=["task", "component", "digest", "words"],
+                )
 
     def checked(frame: pd.DataFrame) -> pd.DataFrame:
         links = []
         for _, part in frame.groupby("component"):
+            # Rows that repeat bring a class twice.
+            part = part.drop_duplicates("digest")
             digests = list(part["digest"])
             links += [(digests[a], digests[b]) for a, b in verified(list(part["words"]), percent)]
         return pd.DataFrame(links, columns=["a", "b"])
 
-    return written(texts.groupBy("task").applyInPandas(checked, "a binary, b binary"), "paragraph-links")
+    laid = texts.select("text", "wanted").mapInArrow(found, "task long, component long, digest binary, words string")
+    return written(laid.groupBy("task").applyInPandas(checked, "a binary, b binary"), "paragraph-links")
 
 
-def repeated_paragraphs(docs: DataFrame, least_words: int = 10, percent: int = 80) -> DataFrame:
-    """Each paragraph that has copies: ``doc_id``, ``position``, ``n_words``, ``group_doc``,
-    ``group_position``, ``n_copies``, ``removed``.
+def _place() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "position", "start")
 
-    Paragraphs are lines of at least ``least_words`` words, compared without regard to blanks and to
-    the case of A to Z. ``group_doc`` and ``group_position`` name the first paragraph of the group,
-    which is the one that is not removed. Repeats within one document count like others. Missing,
-    empty and short texts give no rows; documents without id sort behind all others; other columns
-    are not read.
-    """
-    occurrences = _occurrences(docs, least_words)
-    labels = components(_links(docs, _candidates(docs, least_words), least_words, percent), "paragraph").select(
-        F.col("node").alias("digest"), "component"
-    )
+
+def _grouped(docs: DataFrame, cut: DataFrame, least_words: int, joined: bool, percent: int) -> DataFrame:
+    """The natural paragraphs that have copies, with the first place of their group."""
+    occurrences = cut.select("doc_id", "row", F.inline("paragraphs"))
+    links = _links(docs, occurrences, _candidates(occurrences), least_words, joined, percent)
+    labels = components(links, "paragraph").select(F.col("node").alias("digest"), "component")
     classes = occurrences.groupBy("digest").agg(
         F.count("*").alias("__copies"),
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "position")).alias("__first"),
+        F.min(_place()).alias("__first"),
+        F.min(F.xxhash64("doc_id", "row")).alias("__one"),
+        F.max(F.xxhash64("doc_id", "row")).alias("__other"),
     )
     grouped = written(
         classes.join(labels, "digest", "left").withColumn("component", F.coalesce("component", "digest")),
@@ -247,21 +361,145 @@ def repeated_paragraphs(docs: DataFrame, least_words: int = 10, percent: int = 8
     )
     groups = (
         grouped.groupBy("component")
-        .agg(F.sum("__copies").alias("n_copies"), F.min("__first").alias("__first"))
+        .agg(
+            F.sum("__copies").alias("n_copies"),
+            F.min("__first").alias("__first"),
+            (F.min("__one") != F.max("__other")).alias("across"),
+        )
         .filter("n_copies > 1")
     )
     members = written(
-        grouped.select("digest", "component").join(groups, "component").select("digest", "n_copies", "__first"),
+        grouped.select("digest", "component").join(groups, "component").select("digest", "n_copies", "across", "__first"),
         "paragraph-members",
     )
-    return occurrences.join(members, "digest").select(
+    kept = occurrences.select("doc_id", "row", "position", "start", "n_words", "digest").join(members, "digest")
+    own = F.struct("doc_id", "row", "start")
+    first = F.struct("__first.doc_id", "__first.row", "__first.start")
+    return kept.withColumn("removed", ~own.eqNullSafe(first))
+
+
+def repeated_paragraphs(docs: DataFrame, least_words: int = 10, percent: int = 80) -> DataFrame:
+    """Each line that has copies: ``doc_id``, ``position``, ``n_words``, ``group_doc``,
+    ``group_position``, ``n_copies``, ``removed``.
+
+    Lines of at least ``least_words`` words are compared without regard to blanks and to the case of A to
+    Z. ``group_doc`` and ``group_position`` name the first line of the group, which is the one that is not
+    removed. Repeats within one document, and of whole rows, count like others. Missing, empty and short
+    texts give no rows; documents without id sort behind all others; very long texts are cut whole, in
+    time in proportion to their words; other columns are not read.
+    """
+    cut = _cut(docs, least_words, joined=False, with_units=False)
+    found = _grouped(docs, cut, least_words, False, percent)
+    # Of rows that repeat one is the first, as the rows cannot be told apart: none of them is removed.
+    return found.select(
         "doc_id",
         "position",
         "n_words",
         F.col("__first.doc_id").alias("group_doc"),
         F.col("__first.position").alias("group_position"),
         "n_copies",
-        (
-            ~(F.col("doc_id").eqNullSafe(F.col("__first.doc_id")) & (F.col("position") == F.col("__first.position")))
-        ).alias("removed"),
+        "removed",
+    )
+
+
+def _shared_units(cut: DataFrame) -> DataFrame:
+    """The content-defined paragraphs that several documents hold, with the first place of each."""
+    laid = cut.select(
+        "doc_id", "row", F.inline(F.arrays_zip(F.col("starts").alias("start"), F.col("classes").alias("class"), F.col("checks").alias("check")))
+    )
+    doc = F.xxhash64("doc_id", "row")
+    # Combined within tasks first, so a class that many documents hold does no harm.
+    shared = written(
+        laid.groupBy("class", "check")
+        .agg(F.min(doc).alias("__one"), F.max(doc).alias("__other"))
+        .filter(F.col("__one") != F.col("__other"))
+        .select("class", "check"),
+        "passage-classes",
+    )
+    held = written(laid.join(shared, ["class", "check"]), "passage-units")
+    first = held.groupBy("class", "check").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "start")).alias("__first"),
+        F.count("*").alias("n_copies"),
+    )
+    return held.join(first, ["class", "check"]).select(
+        "doc_id",
+        "row",
+        F.col("start").cast("long").alias("start"),
+        F.lit(UNIT).cast("long").alias("n_words"),
+        F.col("__first.doc_id").alias("group_doc"),
+        F.col("__first.row").alias("group_row"),
+        F.col("__first.start").cast("long").alias("group_start"),
+        "n_copies",
+    )
+
+
+def repeated_passages(docs: DataFrame, least_words: int = RUN, percent: int = 80) -> DataFrame:
+    """Passages that several documents share: ``doc_id``, ``start``, ``n_words``, ``group_doc``,
+    ``group_start``, ``n_copies``, ``removed``.
+
+    ``start`` counts the words of the text from 0, over its line ends; words stand between blanks, their
+    letters A to Z lowered. Any run of 50 words that two documents share is covered in both, in part at
+    least (37 words), and so are natural paragraphs of ``least_words`` words or more that are near copies
+    of one in another document. Overlapping finds of a document are one passage. ``group_doc`` and
+    ``group_start`` name the first place of a passage's first find: that one is kept, the others are
+    removed; what a document keeps and what it loses are passages of their own. A removed passage names
+    a place before its own, by document and start, so of each passage the first place stays.
+    ``n_copies`` is the largest number of places of a find.
+
+    What only one document repeats is no passage. Rows with equal id and text are one document; documents
+    without id are told apart by their text and come behind all others. Missing, empty and short texts
+    give no rows; very long texts are cut whole, in time in proportion to their words. An empty table
+    gives no rows; other columns are not read.
+    """
+    cut = _cut(docs, least_words, joined=True, with_units=True)
+    cut = cut.dropDuplicates(["doc_id", "row"])
+    near = (
+        _grouped(docs, cut, least_words, True, percent)
+        .filter("across")
+        .select(
+            "doc_id",
+            "row",
+            "start",
+            "n_words",
+            F.col("__first.doc_id").alias("group_doc"),
+            F.col("__first.row").alias("group_row"),
+            F.col("__first.start").alias("group_start"),
+            "n_copies",
+        )
+    )
+    own, first = F.struct("doc_id", "row", "start"), F.struct("group_doc", "group_row", "group_start")
+    found = near.unionByName(_shared_units(cut)).withColumn("removed", ~own.eqNullSafe(first))
+    # Overlapping finds of a document, kept and removed ones apart.
+    apart = ["doc_id", "row", "removed"]
+    ahead = Window.partitionBy(*apart).orderBy("start", "n_words").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = Window.partitionBy(*apart).orderBy("start", "n_words")
+    reached = F.max(F.col("start") + F.col("n_words")).over(ahead)
+    begins = F.coalesce(F.col("start") >= reached, F.lit(True)).cast("long")
+    islands = found.withColumn("__begins", begins).withColumn("__island", F.sum("__begins").over(ordered))
+    place = F.struct("group_doc", "group_start")
+    spans = (
+        islands.groupBy(*apart, "__island")
+        .agg(
+            F.min("start").alias("__start"),
+            (F.max(F.col("start") + F.col("n_words")) - F.min("start")).alias("__words"),
+            F.min_by(place, F.struct("start", "n_words", F.col("group_doc").isNull(), "group_doc", "group_start")).alias("__place"),
+            F.max("n_copies").alias("n_copies"),
+        )
+    )
+    # What is the first of near copies may itself be a copy of a place before it.
+    end = F.col("__start") + F.col("__words")
+    upto = Window.partitionBy("doc_id", "row").orderBy("__start").rangeBetween(Window.unboundedPreceding, 0)
+    covered = F.coalesce(F.max(F.when(F.col("removed"), end)).over(upto) >= end, F.lit(False))
+    return (
+        spans.withColumn("__covered", covered & ~F.col("removed"))
+        .filter(~F.col("__covered"))
+        .select(
+            "doc_id",
+            F.col("__start").alias("start"),
+            F.col("__words").alias("n_words"),
+            "__place.group_doc",
+            "__place.group_start",
+            "n_copies",
+            "removed",
+        )
     )

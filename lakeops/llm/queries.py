@@ -100,7 +100,7 @@ def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 @query()
 def op3_paragraph_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return paragraphs.repeated_paragraphs(documents(spark, folder))
+    return paragraphs.repeated_passages(documents(spark, folder))
 
 
 @query()

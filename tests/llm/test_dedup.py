@@ -166,6 +166,85 @@ def test_paragraphs_agree_with_all_pairs(spark, documents, odd_rows):
     assert paragraphs.repeated_paragraphs(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("least", [5, 10])
+def test_short_paragraphs_are_compared_across_lengths(spark, documents, least):
+    """Eight words inside nine have a Jaccard of exactly 0.8; of shorter ones one word may differ."""
+    nine = sentence(71, 9)
+    rows = [(1, nine), (2, " ".join(nine.split(" ")[:8])), (3, sentence(72, 12)), (4, varied(sentence(73, 6), 1, 1)), (5, sentence(73, 6))]
+    groups = {}
+    for r in paragraphs.repeated_paragraphs(documents(rows), least).collect():
+        groups.setdefault(r.group_doc, set()).add(r.doc_id)
+    assert groups == ({1: {1, 2}, 4: {4, 5}} if least == 5 else {})
+
+
+def shared_runs(rows, length):
+    """For each document the words that lie in a run of ``length`` words which another document holds."""
+    grams, words = {}, {}
+    for i, text in rows:
+        words[i] = split_words(lowered(text))
+        for at in range(len(words[i]) - length + 1):
+            grams.setdefault(tuple(words[i][at : at + length]), set()).add(i)
+    return {
+        i: [at for at in range(len(w) - length + 1) if len(grams[tuple(w[at : at + length])]) > 1] for i, w in words.items()
+    }
+
+
+def embedded():
+    """Passages in the middle of different long lines, wrapped at different widths, at the ends, nested."""
+    chance, rows = random.Random(4), []
+    passages = [sentence(2_000 + n, 50 + 7 * n) for n in range(8)]
+    for i in range(48):
+        words = passages[i % 8].split(" ")
+        width = chance.choice([6, 11, 40, 500])
+        wrapped = "\n".join(" ".join(words[at : at + width]) for at in range(0, len(words), width))
+        before, after = sentence(3_000 + i, chance.choice([0, 30, 90])), sentence(4_000 + i, chance.choice([0, 25, 140]))
+        rows.append((i, f"{before} {wrapped.upper() if i % 5 == 0 else wrapped} {after}"))
+    rows += [(100 + i, sentence(5_000 + i, 120)) for i in range(30)]  # clean
+    rows += [(200 + i, f"{sentence(6_000 + i, 60)}\n{sentence(99, 30)}\n{sentence(6_100 + i, 60)}") for i in range(6)]  # short share
+    rows += [(300, " ".join([sentence(7_000, 60)] * 4))]  # repeats itself only
+    return rows, passages
+
+
+def test_passages_hold_every_shared_run(spark, documents):
+    rows, _ = embedded()
+    found = {}
+    for r in paragraphs.repeated_passages(documents(rows)).collect():
+        found.setdefault(r.doc_id, []).append((r.start, r.start + r.n_words))
+    sure, possible = shared_runs(rows, 50), shared_runs(rows, 37)
+    assert set(found) == {i for i, starts in sure.items() if starts}
+    for i, starts in sure.items():
+        for at in starts:
+            # A whole paragraph of 37 words within the run of 50.
+            assert any(min(at + 50, end) - max(at, start) >= 37 for start, end in found[i])
+    for i, spans in found.items():
+        covered = {at + n for at in possible[i] for n in range(37)}
+        assert all(set(range(*span)) <= covered for span in spans)
+
+
+def test_passages_keep_one_place_of_each_group(spark, documents):
+    rows, passages = embedded()
+    kept, removed = {}, {}
+    for r in paragraphs.repeated_passages(documents(rows)).collect():
+        (removed if r.removed else kept).setdefault(r.doc_id, []).append((r.start, r.n_words, r.group_doc))
+    # The first eight documents hold the first places.
+    assert set(range(8)) <= set(kept) and set(removed) == set(range(8, 48))
+    # A removal names a place before it that holds the passage.
+    assert all(group < i and group % 8 == i % 8 for i, spans in removed.items() for _, _, group in spans)
+
+
+def test_passages_find_near_copies_of_paragraphs(spark, documents, odd_rows):
+    base = sentence(8_000, 150)
+    rows = odd_rows + [(500 + i, f"{sentence(8_100 + i, 20)}\n\n{varied(base, i, i)}\n\n{sentence(8_200 + i, 20)}") for i in range(4)]
+    rows += [(None, base), (None, base), (600, sentence(8_300, 70)), (601, sentence(8_300, 70)), (601, sentence(8_300, 70))]
+    found = {}
+    for r in paragraphs.repeated_passages(documents(rows)).collect():
+        found.setdefault(r.doc_id, []).append(r)
+    assert {500, 501, 502, 503, None, 600, 601} <= set(found)
+    assert all(r.n_words >= 140 for i in (501, 502, 503) for r in found[i])
+    assert [(r.removed, r.n_copies) for r in found[600] + found[601]] == [(False, 2), (True, 2)]
+    assert paragraphs.repeated_passages(documents([])).count() == 0
+
+
 def test_edit_distance_of_short_paragraphs():
     assert paragraphs.edits_allow("a b c d e".split(), "a b x d e".split(), 80)
     assert not paragraphs.edits_allow("a b c d e".split(), "a x y d e".split(), 80)
