@@ -23,6 +23,11 @@ def with_row_number(
     the row count of each partition comes to the driver. The order has to be unique for a
     repeatable result.
     """
+    return _numbered(df, order, name, start)[0]
+
+
+def _numbered(df: DataFrame, order: Sequence[str], name: str, start: int) -> tuple[DataFrame, int]:
+    """The numbered rows, and the number behind the last one."""
     columns = df.columns
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     placed = written(ranged.withColumn("_place", F.monotonically_increasing_id()), "numbered")
@@ -36,15 +41,22 @@ def with_row_number(
     # One number per partition, as a constant: small whatever the table's size.
     first = F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>")
     within = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
-    return placed.select(*columns, (F.get(first, part) + within).alias(name))
+    return placed.select(*columns, (F.get(first, part) + within).alias(name)), total
 
 
 def assign_ids(
     new_rows: DataFrame, id_column: str, order: Sequence[str], highest: int = 0
 ) -> DataFrame:
     """Give new rows the numbers after the highest one in use."""
-    numbered = with_row_number(new_rows.drop(id_column), order, id_column, highest + 1)
-    return numbered.select(id_column, *[c for c in new_rows.columns if c != id_column])
+    return assign_ids_upto(new_rows, id_column, order, highest)[0]
+
+
+def assign_ids_upto(
+    new_rows: DataFrame, id_column: str, order: Sequence[str], highest: int = 0
+) -> tuple[DataFrame, int]:
+    """The same, and the highest number in use then, which needs no look at the rows."""
+    numbered, behind = _numbered(new_rows.drop(id_column), order, id_column, highest + 1)
+    return numbered.select(id_column, *[c for c in new_rows.columns if c != id_column]), behind - 1
 
 
 def highest_id(table: DataFrame, id_column: str) -> int:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakeops.operators import changes as feed_of
 from lakeops.operators.merge import DELETED, INSERT, merge_pairs
-from lakeops.operators.numbering import assign_ids, highest_id
+from lakeops.operators.numbering import assign_ids_upto, highest_id
 from lakeops.operators.relate import fact_lookup
 from lakeops.plans.jobs import run_tables
 from lakeops.session import written
@@ -75,13 +75,12 @@ def dimension_pairs(
     )
     pairs = written(pairs, "dimension-pairs")
     is_new = F.col("action") == INSERT
-    numbered = assign_ids(pairs.where(is_new).select("after.*"), id_column, [key], highest)
+    numbered, top = assign_ids_upto(pairs.where(is_new).select("after.*"), id_column, [key], highest)
     inserted = numbered.select(
         F.lit(None).cast(pairs.schema["t"].dataType).alias("t"),
         F.lit(INSERT).alias("action"),
         F.struct(*dimension.columns).alias("after"),
     )
-    top = max(highest, highest_id(numbered, id_column))
     return pairs.where(~is_new).unionByName(inserted), top
 
 
@@ -100,9 +99,8 @@ def load_dimension(
     rows = latest_rows(feed, [key])
     done = {CONSUMED: str(newest)}
     if state is None:
-        numbered = assign_ids(rows, id_column, [key])
-        top = str(highest_id(numbered, id_column))
-        return target.create(numbered, (), committed_at, {**done, HIGHEST: top})
+        numbered, top = assign_ids_upto(rows, id_column, [key])
+        return target.create(numbered, (), committed_at, {**done, HIGHEST: str(top)})
     known = target.read()
     highest = int(state.properties.get(HIGHEST) or highest_id(known, id_column))
     rows = written(rows, "dimension-rows")

@@ -140,6 +140,15 @@ def matching_folders(spark: SparkSession, pattern: str) -> list[str]:
     return [entry.getPath().toString() for entry in files.globStatus(folder) or [] if entry.isDirectory()]
 
 
+def folder_times(spark: SparkSession, root: str) -> dict[str, int]:
+    """The folders below a root, each with the time at which it was last written to."""
+    files, folder = _file_system(spark, root)
+    if not files.exists(folder):
+        return {}
+    entries = [entry for entry in files.listStatus(folder) if entry.isDirectory()]
+    return {entry.getPath().getName(): entry.getModificationTime() for entry in entries}
+
+
 def table_folders(spark: SparkSession, root: str) -> list[tuple[str, str]]:
     """(path, name) of each folder below the root; a folder holds one table."""
     files, folder = _file_system(spark, root)

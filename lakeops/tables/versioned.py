@@ -14,6 +14,7 @@ commit without its row in ``commits`` does not exist for readers. One writer at
 from __future__ import annotations
 
 import json
+from collections import OrderedDict
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
@@ -24,7 +25,7 @@ from pyspark.sql.types import StructType
 
 from lakeops.operators import changes as feed_of
 from lakeops.operators.merge import DELETED, merge_pairs, sync_pairs, unique_keys
-from lakeops.sources.files import matching_folders, path_exists, table_folders
+from lakeops.sources.files import folder_times, matching_folders
 from lakeops.sources.writers import overwrite_counted
 
 # ``detail`` is JSON: schema, partition columns, the commit each partition folder is found in, and
@@ -50,14 +51,25 @@ class State:
     partition_by: list[str]
     folders: dict[str, int]
     properties: dict[str, str] = field(default_factory=dict)
+    operation: str = ""
+
+
+# Versions never change once they are there, so their states are kept, by path, version and the time of
+# the commit's folder, which tells a table that was dropped and made again at the same place.
+_KNOWN: OrderedDict[tuple[str, int, int], State] = OrderedDict()
+_MOST_KNOWN = 1_000
+
+
+def _remember(key: tuple[str, int, int], state: State) -> None:
+    _KNOWN[key] = state
+    while len(_KNOWN) > _MOST_KNOWN:
+        _KNOWN.popitem(last=False)
 
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-        # Versions never change once they are there.
-        self._states: dict[int, State] = {}
 
     @classmethod
     def for_name(cls, spark: SparkSession, name: str) -> VersionedTable:
@@ -68,35 +80,45 @@ class VersionedTable:
 
     # --- reading -------------------------------------------------------------------------------
 
-    def _versions(self) -> set[int]:
-        """Numbers of the commits, from the names of their folders."""
-        path = f"{self.path}/commits"
-        if not path_exists(self.spark, path):
-            return set()
-        return {int(name.partition("=")[2]) for _, name in table_folders(self.spark, path)}
+    def _versions(self) -> dict[int, int]:
+        """Numbers of the commits, from the names of their folders, and the times of these."""
+        found = folder_times(self.spark, f"{self.path}/commits")
+        return {int(name.partition("=")[2]): time for name, time in found.items()}
 
     def _commits(self) -> DataFrame:
         return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits")
 
-    def find_state(self, version: int | None = None) -> State | None:
-        """The table at a version, by default the newest; None if there is no such version."""
-        versions = self._versions()
-        for number in sorted(versions, reverse=True) if version is None else versions & {version}:
-            if number not in self._states:
-                folder = f"{self.path}/commits/_version={number}"
-                commit = self.spark.read.schema(COMMIT_SCHEMA).parquet(folder).first()
-                if commit is None:  # not written to its end
-                    continue
-                detail = json.loads(commit["detail"])
-                self._states[number] = State(
-                    number,
-                    commit["committed_at"],
+    def _states(self, versions: Mapping[int, int]) -> dict[int, State]:
+        """The states of some versions; one job for all that are not known yet.
+
+        A commit that was not written to its end has none.
+        """
+        keys = {number: (self.path, number, time) for number, time in versions.items()}
+        missing = [number for number, key in keys.items() if key not in _KNOWN]
+        if missing:
+            paths = [f"{self.path}/commits/_version={number}" for number in missing]
+            rows = self.spark.read.schema(COMMIT_SCHEMA).parquet(*paths).collect()
+            for row in rows:
+                detail = json.loads(row["detail"])
+                state = State(
+                    row["version"],
+                    row["committed_at"],
                     StructType.fromJson(detail["schema"]),
                     detail["partition_by"],
                     detail["folders"],
                     detail["properties"],
+                    row["operation"],
                 )
-            return self._states[number]
+                _remember(keys[state.version], state)
+        return {number: _KNOWN[key] for number, key in keys.items() if key in _KNOWN}
+
+    def find_state(self, version: int | None = None) -> State | None:
+        """The table at a version, by default the newest; None if there is no such version."""
+        versions = self._versions()
+        for number in sorted(versions, reverse=True) if version is None else versions.keys() & {version}:
+            state = self._states({number: versions[number]}).get(number)
+            if state is not None:
+                return state
         return None
 
     def state(self, version: int | None = None) -> State:
@@ -165,33 +187,30 @@ class VersionedTable:
         newest commit gives an empty feed. Columns that an overwrite has taken away are shown, behind
         the others, in the images of the rows that had them.
         """
-        commits = self._commits().select("version", "committed_at", "operation")
-        if first_version is not None:
-            commits = commits.where(F.col("version") >= first_version)
-        if since is not None:
-            commits = commits.where(F.col("committed_at") >= F.lit(since))
-        wanted = sorted(commits.collect(), key=lambda commit: commit["version"])
-        schema = self._feed_schema([c["version"] for c in wanted if c["operation"] == OVERWRITE and c["version"]])
+        versions = {n: t for n, t in self._versions().items() if first_version is None or n >= first_version}
+        states = sorted(self._states(versions).values(), key=lambda state: state.version)
+        wanted = [state for state in states if since is None or state.committed_at >= since]
+        schema = self._feed_schema([c.version for c in wanted if c.operation == OVERWRITE and c.version])
         schema.add(feed_of.CHANGE_TYPE, "string").add(feed_of.VERSION, "long")
         schema.add(feed_of.COMMIT_TIME, "timestamp")
         base = f"{self.path}/changes"
         stored = [
-            f"{base}/{feed_of.VERSION}={c['version']}" for c in wanted if c["operation"] not in _WHOLE
+            f"{base}/{feed_of.VERSION}={c.version}" for c in wanted if c.operation not in _WHOLE
         ]
         parts = []
         if stored:
             reader = self.spark.read.schema(schema).option("basePath", base)
             parts.append(reader.parquet(*stored).select(*schema.names))
         for commit in wanted:
-            if commit["operation"] not in _WHOLE:
+            if commit.operation not in _WHOLE:
                 continue
-            version = commit["version"]
-            new = self._rows(self.state(version))
+            version = commit.version
+            new = self._rows(commit)
             images = [new.withColumn(feed_of.CHANGE_TYPE, F.lit(feed_of.INSERTED))]
             if version > 0:
                 old = self._rows(self.state(version - 1))
                 images.append(old.withColumn(feed_of.CHANGE_TYPE, F.lit(feed_of.DELETED_ROW)))
-            parts += [feed_of.stamped(i, version, commit["committed_at"]) for i in images]
+            parts += [feed_of.stamped(i, version, commit.committed_at) for i in images]
         if not parts:
             return self.spark.createDataFrame([], schema)
         # Every part gets all columns, also where no row of the feed has them.
@@ -263,6 +282,8 @@ class VersionedTable:
             *[F.lit(value).cast(f.dataType).alias(f.name) for f, value in zip(fields, values)]
         )
         row.coalesce(1).write.mode("error").parquet(f"{self.path}/commits/_version={state.version}")
+        state.operation = operation
+        _remember((self.path, state.version, self._versions()[state.version]), state)
         return state.version
 
     def _commit_time(self, given: datetime | None, last: datetime | None) -> datetime:
