@@ -22,12 +22,12 @@ from lakeops.catalogue.maintenance import (
     target_orders,
 )
 from lakeops.catalogue.relational import event_questions, events_as_posts
-from lakeops.functions import month_start
+from lakeops.functions import key_value_messages, month_start
 from lakeops.operators import changes
 from lakeops.plans import ingest, replay
 from lakeops.session import scratch_path
 from lakeops.sources import files
-from lakeops.sources.writers import append_evolving, overwrite, overwrite_table
+from lakeops.sources.writers import append_evolving, overwrite, overwrite_table, send_messages
 from lakeops.tables import catalog
 from lakeops.tables.versioned import VersionedTable
 
@@ -453,6 +453,17 @@ def replay_sent(spark: SparkSession, folder: str) -> DataFrame:
     return sent.withColumn("tries", F.try_element_at(count, F.col("page").cast("int")))
 
 
+@query("SELECT event_id::VARCHAR AS key, event_id, user_id, value FROM events")
+def message_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """Events handed to a batch sink as key and value, in two batches, and read back."""
+    path, events = scratch_path(spark, "topic"), table(spark, folder, "events")
+    messages = key_value_messages(events.select("event_id", "user_id", "value"), "event_id")
+    for part in (F.col("key").cast("long") % 2 == 0, F.col("key").cast("long") % 2 != 0):
+        send_messages(messages.where(part), {"path": path}, "parquet")
+    fields = F.from_json("value", "event_id long, user_id long, value double").alias("fields")
+    return spark.read.parquet(path).select("key", fields).select("key", "fields.*")
+
+
 @query(f"{BOTH_SQL} SELECT * FROM source")
 def replay_after_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     """A table rebuilt from a feed that goes across an overwrite with rows in another order."""

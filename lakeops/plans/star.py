@@ -17,7 +17,7 @@ from lakeops.operators.merge import DELETED, INSERT, merge_pairs
 from lakeops.operators.numbering import assign_ids_upto, highest_id
 from lakeops.operators.relate import fact_lookup
 from lakeops.plans.jobs import run_tables
-from lakeops.session import written
+from lakeops.session import scratch, written
 from lakeops.tables.versioned import MERGE, State, VersionedTable
 
 MODIFIED = "last_modified"
@@ -28,12 +28,17 @@ REJECTS = "rejects"
 
 @dataclass(frozen=True)
 class Dimension:
-    """A refined table, the dimension made of it, its business key and its id column."""
+    """A refined table, the dimension made of it, its business key and its id column.
+
+    A large dimension can be partitioned by columns that do not change for a key: a load then rewrites
+    the partitions of changed rows only.
+    """
 
     source: str
     name: str
     key: str
     id_column: str
+    partition_by: Sequence[str] = ()
 
 
 # The dimensions of the price star, and the key of its fact table.
@@ -90,8 +95,17 @@ def load_dimension(
     key: str,
     id_column: str,
     committed_at: datetime | None = None,
+    partition_by: Sequence[str] = (),
 ) -> int | None:
-    """Merge new changes into a dimension; None if there are none."""
+    """Merge new changes into a dimension; None if there are none.
+
+    ``partition_by`` holds for the first load, which creates the table.
+    """
+    with scratch(target.spark):
+        return _load_dimension(source, target, key, id_column, committed_at, partition_by)
+
+
+def _load_dimension(source, target, key, id_column, committed_at, partition_by) -> int | None:
     state = target.find_state()
     feed, newest = new_changes(source, state)
     if feed is None:
@@ -100,7 +114,7 @@ def load_dimension(
     done = {CONSUMED: str(newest)}
     if state is None:
         numbered, top = assign_ids_upto(rows, id_column, [key])
-        return target.create(numbered, (), committed_at, {**done, HIGHEST: str(top)})
+        return target.create(numbered, partition_by, committed_at, {**done, HIGHEST: str(top)})
     known = target.read()
     highest = int(state.properties.get(HIGHEST) or highest_id(known, id_column))
     rows = written(rows, "dimension-rows")
@@ -124,6 +138,11 @@ def load_fact(
     A reading whose series is unknown has no fact key. It is put aside and tried again by the next
     load; ``rejects`` shows what is waiting.
     """
+    with scratch(target.spark):
+        return _load_fact(source, dimensions, target, committed_at, partition_by)
+
+
+def _load_fact(source, dimensions, target, committed_at, partition_by) -> int | None:
     state = target.find_state()
     feed, newest = new_changes(source, state)
     if feed is None:
@@ -187,7 +206,7 @@ def load_star(
     def load(name: str) -> int | None:
         d = by_name[name]
         return load_dimension(
-            table(refined_root, d.source), table(curated_root, name), d.key, d.id_column, committed_at
+            table(refined_root, d.source), table(curated_root, name), d.key, d.id_column, committed_at, d.partition_by
         )
 
     status = run_tables(spark, by_name, load, workers, seconds)

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RELEASED: ContextVar[list[str] | None] = ContextVar("released", default=None)
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -48,6 +52,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What ``written`` stores within the block, in this thread, is deleted at its end.
+
+    For loads whose results are stored by then: nothing that is returned may read it.
+    """
+    paths: list[str] = []
+    token = _RELEASED.set(paths)
+    try:
+        yield
+    finally:
+        _RELEASED.reset(token)
+        for path in paths:
+            folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written once as Parquet to the shared folder and read from there.
 
@@ -55,5 +76,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
     along, and readers get its true size and only the columns they need.
     """
     path = scratch_path(df.sparkSession, name)
+    paths = _RELEASED.get()
+    if paths is not None:
+        paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

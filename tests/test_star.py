@@ -138,3 +138,22 @@ def test_a_dimension_that_was_overwritten_goes_on(spark, path, rows, refined):
     dimension.overwrite(dimension.read(), None, T[1])
     refined(T[1], [("A", "north"), ("B", "new")], items, [("s1", "A", "I")], [("s1", 2020, "M01", 1.0)])
     assert rows(dimension.read(), "dim_area_id", "area_code") == [(1, "A"), (2, "B")]
+
+
+def test_partitioned_dimension_rewrites_what_changes_and_leaves_no_scratch(spark, path, rows):
+    import os
+
+    source, target = VersionedTable(spark, f"{path}/item"), VersionedTable(spark, f"{path}/dim_item")
+    frame = lambda *r: spark.createDataFrame(list(r), "code string, kind string, name string")
+    source.sync(frame(("a", "x", "one"), ("b", "y", "two"), ("c", "y", "three")), ["code"])
+    root = os.path.dirname(path).removeprefix("file:")
+    before = set(os.listdir(root))
+    assert star.load_dimension(source, target, "code", "id", partition_by=["kind"]) == 0
+    source.sync(frame(("a", "x", "one"), ("b", "y", "TWO"), ("d", "x", "four")), ["code"])
+    assert star.load_dimension(source, target, "code", "id") == 1
+    assert rows(target.read(), "id", "code", "kind", "name", "is_deleted") == [
+        (1, "a", "x", "one", False), (2, "b", "y", "TWO", False), (3, "c", "y", "three", True), (4, "d", "x", "four", False)]
+    source.sync(frame(("a", "x", "one"), ("b", "y", "2"), ("d", "x", "four")), ["code"])
+    star.load_dimension(source, target, "code", "id")
+    assert target.state().folders == {"kind=x": 1, "kind=y": 2}
+    assert set(os.listdir(root)) == before
