@@ -211,3 +211,62 @@ def test_training_raises_the_likelihood():
         hmm.expected_counts(model, sequences, *sums)
         model = hmm.Model.estimated(*sums, unigram)
     assert hmm.forward_log10(model, sequences).sum() > -40 * 50 * 0.85
+
+
+def pooled(values, labels, weights):
+    """Isotonic regression by pooling neighbours that violate the order."""
+    blocks = []
+    for v, label, w in sorted(zip(values, labels, weights)):
+        blocks.append([label * w, w, [v]])
+        while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
+            total, weight, held = blocks.pop()
+            blocks[-1] = [blocks[-1][0] + total, blocks[-1][1] + weight, blocks[-1][2] + held]
+    return [v for b in blocks for v in b[2]], [b[0] / b[1] for b in blocks for _ in b[2]]
+
+
+def test_quality_agrees_with_least_squares_and_pooling(spark, documents):
+    """The whole operator again on one machine: least squares instead of normal equations."""
+    rows = [(i, sentence(i, 5 + i % 90) + ("\n###!!" * (i % 7) if i % 3 == 0 else ".")) for i in range(400)]
+    quality_of = {i: int(i % 3 > 0 or i % 11 == 0) for i, _ in rows[:330]}
+    labels = spark.createDataFrame([(i, q, 0) for i, q in quality_of.items()], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.score for r in quality.score_documents(documents(rows), labels).collect()}
+
+    crc = lambda i: zlib.crc32(str(i).encode())
+    stats = {i: quality.statistics(t) for i, t in rows}
+    known = [i for i in quality_of if crc(i) % 3 != 1]
+    calibrating = [i for i in known if crc(i) // 3 % 4 == 0]
+    fitting = [i for i in known if i not in set(calibrating)]
+    every = np.array([stats[i] for i in known])
+    model = quality.Scorer(every.mean(0), np.maximum(every.std(0), 1e-3), None, None, None)
+    features = model.features(np.array([stats[i] for i in fitting]))
+    penalty = np.sqrt(quality.RIDGE * len(fitting)) * np.eye(features.shape[1])
+    penalty[-1, -1] = np.sqrt(1e-9)
+    wanted = np.concatenate(([quality_of[i] for i in fitting], np.zeros(len(penalty))))
+    model.weights = np.linalg.lstsq(np.vstack((features, penalty)), wanted, rcond=None)[0]
+    raw = np.clip(model.raw(np.array([stats[i] for i in calibrating])), -1, 2)
+    bins = {}
+    for place, i in zip(np.round((raw + 1) / 3 * quality.BINS) / quality.BINS * 3 - 1, calibrating):
+        bins.setdefault(float(place), []).append(quality_of[i])
+    share = sum(quality_of[i] for i in known) / len(known)
+    places = [-1.0, 2.0, *bins]
+    averages = [share, share, *(sum(b) / len(b) for b in bins.values())]
+    model.edges, model.levels = map(np.array, pooled(places, averages, [1, 1, *map(len, bins.values())]))
+    expected = model.scores(np.array([stats[i] for i, _ in rows]))
+    assert [got[i] for i, _ in rows] == pytest.approx(expected.tolist(), abs=1e-6)
+
+
+def test_fourier_features_approximate_the_gaussian_kernel():
+    random = np.random.default_rng(9)
+    rows = random.normal(0, 1, (60, quality.N_STATISTICS))
+    flat = np.zeros(quality.N_STATISTICS)
+    features = quality.Scorer(flat, flat + 1, None, None, None).features(rows)[:, :-1]
+    kernel = np.exp(-((rows[:, None] - rows[None]) ** 2).sum(2) / (2 * quality.WIDTH**2))
+    assert np.abs(features @ features.T - kernel).mean() < 2 / np.sqrt(quality.FEATURES)
+
+
+def test_good_documents_learn_from_a_bounded_sample(spark, documents):
+    rows = [(i, sentence(i, 40) if i % 4 else "### " * 30) for i in range(300)] + [(None, None), (7, ""), (7, "")]
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(300)], "doc_id long, quality int, toxic int")
+    kept = quality.good_documents(documents(rows), labels, most_labelled=120)
+    assert kept.columns == ["doc_id", "text", "block", "key"]
+    assert {r.doc_id for r in kept.collect() if r.text and len(r.text) > 5} == {i for i in range(300) if i % 4}
