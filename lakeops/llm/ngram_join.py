@@ -141,8 +141,8 @@ class Groups:
         self.parent[self.of(one)] = self.of(other)
 
 
-def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links between the sets, enough of them to connect all that are connected."""
+def linked(sets: list[np.ndarray], percent: int, every: bool = False) -> list[tuple[int, int]]:
+    """Links between the sets: enough of them to connect all that are connected, or every one."""
     if len(sets) < 2:
         return []
     vocabulary, local = np.unique(np.concatenate(sets), return_inverse=True)
@@ -152,7 +152,7 @@ def linked(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     for number in sorted(range(len(parts)), key=lambda n: len(parts[n])):
         members = parts[number]
         held[members] = True
-        for other in tree.matches(members, held, lambda n: groups.of(n) == groups.of(number)):
+        for other in tree.matches(members, held, lambda n: not every and groups.of(n) == groups.of(number)):
             groups.join(other, number)
             links.append((number, other))
         held[members] = False
@@ -314,8 +314,10 @@ def _candidate_components(docs: DataFrame, size: int, percent: int, places: np.n
     return components(edges.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "ngram-candidates")
 
 
-def _links(docs: DataFrame, classes: DataFrame, candidates: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links (a, b) between the digests of classes."""
+def _links(
+    docs: DataFrame, classes: DataFrame, candidates: DataFrame, size: int, percent: int, every: bool = False
+) -> DataFrame:
+    """Links (a, b) between the digests of classes; some may come twice."""
     sized = written(
         candidates.join(candidates.groupBy("component").agg(F.count("node").alias("__size")), "component").select(
             "node", "component", F.ceil(F.col("__size") / TASK_DOCS).alias("blocks")
@@ -358,7 +360,7 @@ def _links(docs: DataFrame, classes: DataFrame, candidates: DataFrame, size: int
             part = part.drop_duplicates("digest")
             sets = [shingle_set(text, size) for text in part["text"]]
             digests = list(part["digest"])
-            found += [(digests[one], digests[other]) for one, other in linked(sets, percent)]
+            found += [(digests[one], digests[other]) for one, other in linked(sets, percent, every)]
         return pd.DataFrame(found, columns=["a", "b"])
 
     return written(texts.groupBy("task").applyInPandas(joined, "a binary, b binary"), "ngram-links")
@@ -405,6 +407,36 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     return _labelled(docs, size, percent).drop("text_hash")
 
 
+def jaccard_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """The join itself: members ``doc_id``, ``n_shingles``, ``class``, ``n_links``; pairs ``a``, ``b``.
+
+    A class holds the rows with one set of n-grams; ``class``, ``a`` and ``b`` are its digest. Every pair
+    of different classes that link comes once, the smaller digest first, so no link between different
+    texts is lost and copies are not expanded. ``n_links`` counts the links of a class. Rows without
+    n-grams have a class that links with nothing. Odd rows are as for ``jaccard_components``, whose
+    groups are the components of these pairs.
+    """
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
+        "text_hash", F.xxhash64("text")
+    )
+    table = _class_table(narrow, size)
+    classes = table.filter("n IS NOT NULL").select("doc_id", "text_hash", "n", "node", "digest")
+    candidates = _candidate_components(narrow, size, percent, _shared_places(table))
+    found = _links(narrow, classes, candidates, size, percent, every=True)
+    pairs = written(
+        found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-pairs"
+    )
+    ends = pairs.select("a").union(pairs.select("b"))
+    counts = ends.groupBy(F.col("a").alias("digest")).agg(F.count("*").alias("n_links"))
+    members = classes.join(counts, "digest", "left").select(
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.col("digest").alias("class"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+    )
+    return members, pairs
+
+
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose id names their component: one document of each stays.
 

@@ -129,6 +129,28 @@ def test_lines_agree_with_brute_force(spark, documents, odd_rows):
     assert lines.deduplicate_lines(documents([])).count() == 0
 
 
+@pytest.mark.parametrize("task_docs", [1_500, 7])
+def test_links_are_all_pairs_of_different_sets(spark, documents, odd_rows, monkeypatch, task_docs):
+    monkeypatch.setattr(ngram_join, "TASK_DOCS", task_docs)
+    rows = odd_rows + near_copies()
+    members, pairs = ngram_join.jaccard_links(documents(rows))
+    sets = [frozenset(shingles(t)) for _, t in rows]
+    classes = {s for s in sets if s}
+    expected = {
+        frozenset((a, b)) for a in classes for b in classes if a != b and 100 * len(a & b) >= 80 * len(a | b)
+    }
+    got = members.collect()
+    assert len(got) == len(rows)
+    by_doc = {i: s for (i, _), s in zip(rows, sets) if i is not None}
+    of_class = {bytes(r["class"]): by_doc[r.doc_id] for r in got if r.doc_id is not None}
+    found = [frozenset((of_class[bytes(p.a)], of_class[bytes(p.b)])) for p in pairs.collect()]
+    named = {p for p in expected if all(any(s == c for c in of_class.values()) for s in p)}
+    assert len(found) == len(set(found)) and set(found) == named
+    for r in got:
+        if r.doc_id is not None:
+            assert r.n_links == sum(by_doc[r.doc_id] in p for p in expected)
+
+
 def brute_paragraphs(rows):
     found = [
         (i, p, split_words(lowered(line)))
