@@ -32,7 +32,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lakeops.llm.common import components, mixed, plain_words, shingle_hashes, word_hashes
+from lakeops.llm.common import components, hashed_words, mixed, plain_words, run_hashes, shingle_hashes, shingles_of
 from lakeops.llm.ngram_join import Groups, linked
 from lakeops.session import written
 
@@ -45,8 +45,6 @@ FEW_WORDS = 9
 RUN = 50
 UNIT = 37
 REACH = RUN - UNIT + 1
-_ODD = 0x9E3779B97F4A7C15
-_INVERSE = pow(_ODD, -1, 1 << 64)
 
 
 def signatures(shingles: list[np.ndarray]) -> np.ndarray:
@@ -111,12 +109,12 @@ def one_word_links(texts: list[list[str]], percent: int) -> list[tuple[int, int]
     return links
 
 
-def short_keys(words: list[str]) -> list[int]:
-    """Keys of a text of few words; two of which one word differs have one in common."""
-    keys = [xxhash.xxh64_intdigest(" ".join(words))]
+def short_keys(words: np.ndarray) -> list[int]:
+    """Keys of a text of few word hashes; two of which one word differs have one in common."""
+    keys = [xxhash.xxh64_intdigest(words.tobytes())]
     for i in range(len(words)):
-        rest = " ".join(words[:i] + words[i + 1 :])
-        keys += [xxhash.xxh64_intdigest(rest), xxhash.xxh64_intdigest(f"{i} {rest}", seed=1)]
+        rest = np.delete(words, i).tobytes()
+        keys += [xxhash.xxh64_intdigest(rest), xxhash.xxh64_intdigest(rest, seed=i + 1)]
     return [key - (1 << 64) if key >> 63 else key for key in keys]
 
 
@@ -132,72 +130,40 @@ def verified(texts: list[str], percent: int) -> list[tuple[int, int]]:
     return links + [(few[a], few[b]) for a, b in one_word_links([words[n] for n in few], percent)]
 
 
-def natural_paragraphs(text: str | None, least_words: int, joined: bool) -> Iterator[tuple[int, int, list[str]]]:
-    """(line, first word, words) of the lines, or joined lines, of at least ``least_words`` words."""
-    start = 0
-    held: list[str] = []
-    held_at = (0, 0)
-    for position, line in enumerate((text or "").split("\n")):
-        words = plain_words(line)
-        long = len(words) >= least_words
-        if joined and (long or not words):
-            if len(held) >= least_words:
-                yield *held_at, held
-            held = []
-        if long:
-            yield position, start, words
-        elif joined and words:
-            if not held:
-                held_at = (position, start)
-            held = held + words if len(held) < least_words else [*held, *words]
-        start += len(words)
-    if len(held) >= least_words:
-        yield *held_at, held
-
-
-class Powers:
-    """Powers of an odd number and of its inverse modulo 2**64, as many as were asked for."""
-
-    def __init__(self):
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) < n:
-            n = max(n, 2 * len(self.up))
-            with np.errstate(over="ignore"):
-                factors = np.full(n, _ODD, np.uint64), np.full(n, _INVERSE, np.uint64)
-                for f in factors:
-                    f[0] = 1
-                self.up, self.down = (np.multiply.accumulate(f) for f in factors)
-        return self.up[:n], self.down[:n]
-
-
-_POWERS = Powers()
-
-
-def units(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, and two independent hashes, of the content-defined paragraphs of a text's word hashes."""
+def natural_paragraphs(lines: np.ndarray, least_words: int, joined: bool) -> list[tuple[int, int, int]]:
+    """(line, first word, words) of the lines, or joined lines, of at least ``least_words`` words, from
+    the line of each word. Lines that are joined follow each other, without a blank or long one between."""
+    if not len(lines):
+        return []
+    firsts = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
+    sizes = np.diff(np.concatenate((firsts, [len(lines)])))
+    if joined:
+        numbers, long = lines[firsts], sizes >= least_words
+        # A run of lines ends before a long one, behind one, and where a blank line follows.
+        begins = np.concatenate(([True], long[1:] | long[:-1] | (np.diff(numbers) > 1)))
+        heads = np.flatnonzero(begins)
+        sizes = np.add.reduceat(sizes, heads)
+        firsts = firsts[heads]
+    kept = sizes >= least_words
+    return list(zip(lines[firsts[kept]].tolist(), firsts[kept].tolist(), sizes[kept].tolist()))
+
+
+def units(hashes: np.ndarray, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, and two independent hashes, of the content-defined paragraphs of a text's word hashes
+    and their shingles."""
     n = len(hashes)
     if n < max(UNIT, REACH + 4):
         none = np.empty(0, np.int64)
         return none, none, none.astype(np.int32)
     with np.errstate(over="ignore"):
-        shingles = hashes[: n - 4] * np.uint64(_ODD)
-        for i in range(1, 5):
-            shingles = mixed(shingles) + hashes[i : n - 4 + i]
-        windows = np.lib.stride_tricks.sliding_window_view(mixed(shingles), REACH)
+        windows = np.lib.stride_tricks.sliding_window_view(shingles, REACH)
         starts = np.unique(windows.argmin(axis=1) + np.arange(len(windows)))
         starts = starts[starts + UNIT <= n]
-        up, down = _POWERS.upto(n + 1)
-
-        def digest(values: np.ndarray) -> np.ndarray:
-            sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * up[1 : n + 1])))
-            return mixed((sums[starts + UNIT] - sums[starts]) * down[starts])
-
+        other = mixed(hashes + np.uint64(7))
         return (
             starts,
-            digest(hashes).view(np.int64),
-            (digest(mixed(hashes + np.uint64(7))) >> np.uint64(33)).astype(np.int32),
+            run_hashes(hashes, starts, starts + UNIT).view(np.int64),
+            (run_hashes(other, starts, starts + UNIT) >> np.uint64(33)).astype(np.int32),
         )
 
 
@@ -229,16 +195,21 @@ def _cut(docs: DataFrame, least_words: int, joined: bool, with_units: bool) -> D
                 found, seen, content = [], {}, []
                 for text in batch.column("text").to_pylist():
                     rows = []
-                    for position, start, words in natural_paragraphs(text, least_words, joined):
-                        digest = xxhash.xxh3_128_digest(" ".join(words))
-                        row = {"position": position, "start": start, "n_words": len(words), "digest": digest, "node": _node(digest)}
+                    hashes, lines = hashed_words(text)
+                    shingles = shingles_of(hashes)
+                    for position, start, count in natural_paragraphs(lines, least_words, joined):
+                        words = hashes[start : start + count]
+                        digest = xxhash.xxh3_128_digest(words.tobytes())
+                        row = {"position": position, "start": start, "n_words": count, "digest": digest, "node": _node(digest)}
                         if digest not in seen:
-                            row["bands"] = short_keys(words) if len(words) < FEW_WORDS else []
-                            seen[digest] = (row, shingle_hashes(words))
+                            row["bands"] = short_keys(words) if count < FEW_WORDS else []
+                            # The shingles of the text that lie within the paragraph.
+                            within = shingles[start : start + count - 4] if count >= 5 else shingles_of(words)
+                            seen[digest] = (row, within)
                         rows.append(row)
                     found.append(rows)
                     if with_units:
-                        content.append(units(word_hashes(plain_words(text))))
+                        content.append(units(hashes, shingles))
                 if seen:
                     rows, shingles = zip(*seen.values())
                     for row, bands in zip(rows, band_values(signatures(list(shingles))).view(np.int64).tolist()):
@@ -273,9 +244,7 @@ def _candidates(occurrences: DataFrame) -> DataFrame:
     return components(edges.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "paragraph-candidates")
 
 
-def _links(
-    docs: DataFrame, occurrences: DataFrame, candidates: DataFrame, least_words: int, joined: bool, percent: int
-) -> DataFrame:
+def _links(docs: DataFrame, occurrences: DataFrame, candidates: DataFrame, percent: int) -> DataFrame:
     """Verified links (a, b) between the digests of paragraph classes."""
     sized = written(
         candidates.join(candidates.groupBy("component").agg(F.count("node").alias("__size")), "component").select(
@@ -301,11 +270,11 @@ def _links(
     one_each = (
         occurrences.join(placed.select("node"), "node", "left_semi")
         .groupBy("digest", "node")
-        .agg(F.min_by(F.struct("doc_id", "row", "position"), F.struct("row", "position")).alias("r"))
+        .agg(F.min_by(F.struct("doc_id", "row", "start", "n_words"), F.struct("row", "start")).alias("r"))
         .join(placed, "node")
     )
     wanted = one_each.groupBy(F.col("r.doc_id").alias("__id"), F.col("r.row").alias("__row")).agg(
-        F.collect_list(F.struct("r.position", "digest", "component", "tasks")).alias("wanted")
+        F.collect_list(F.struct("r.start", "r.n_words", "digest", "component", "tasks")).alias("wanted")
     )
     keyed = _keyed(docs)
     texts = keyed.join(wanted, keyed["doc_id"].eqNullSafe(F.col("__id")) & (keyed["row"] == F.col("__row")))
@@ -316,11 +285,10 @@ def _links(
             for at in range(0, whole.num_rows, 1_000):
                 batch, rows = whole.slice(at, 1_000), []
                 for text, wanted in zip(batch.column("text").to_pylist(), batch.column("wanted").to_pylist()):
-                    places = {w["position"]: w for w in wanted}
-                    for position, _, words in natural_paragraphs(text, least_words, joined):
-                        if position in places:
-                            w = places[position]
-                            rows += [(task, w["component"], w["digest"], " ".join(words)) for task in w["tasks"]]
+                    words = plain_words(text)
+                    for w in wanted:
+                        part = " ".join(words[w["start"] : w["start"] + w["n_words"]])
+                        rows += [(task, w["component"], w["digest"], part) for task in w["tasks"]]
                 kinds = [pa.int64(), pa.int64(), pa.binary(), pa.string()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
@@ -344,10 +312,10 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "position", "start")
 
 
-def _grouped(docs: DataFrame, cut: DataFrame, least_words: int, joined: bool, percent: int) -> DataFrame:
+def _grouped(docs: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
     """The natural paragraphs that have copies, with the first place of their group."""
     occurrences = cut.select("doc_id", "row", F.inline("paragraphs"))
-    links = _links(docs, occurrences, _candidates(occurrences), least_words, joined, percent)
+    links = _links(docs, occurrences, _candidates(occurrences), percent)
     labels = components(links, "paragraph").select(F.col("node").alias("digest"), "component")
     classes = occurrences.groupBy("digest").agg(
         F.count("*").alias("__copies"),
@@ -389,7 +357,7 @@ def repeated_paragraphs(docs: DataFrame, least_words: int = 10, percent: int = 8
     time in proportion to their words; other columns are not read.
     """
     cut = _cut(docs, least_words, joined=False, with_units=False)
-    found = _grouped(docs, cut, least_words, False, percent)
+    found = _grouped(docs, cut, percent)
     # Of rows that repeat one is the first, as the rows cannot be told apart: none of them is removed.
     return found.select(
         "doc_id",
@@ -454,7 +422,7 @@ def repeated_passages(docs: DataFrame, least_words: int = RUN, percent: int = 80
     cut = _cut(docs, least_words, joined=True, with_units=True)
     cut = cut.dropDuplicates(["doc_id", "row"])
     near = (
-        _grouped(docs, cut, least_words, True, percent)
+        _grouped(docs, cut, percent)
         .filter("across")
         .select(
             "doc_id",

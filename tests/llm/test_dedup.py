@@ -48,6 +48,30 @@ def varied(base: str, edits: int, seed: int) -> str:
     return " ".join(words)
 
 
+def test_hashed_words_are_those_of_the_text(monkeypatch):
+    texts = [sentence(1, 50), "A a\x0bB\tb  C\n\nc d", " ", "", None, "é É ö日 日ö", "x" * 3_000 + " y " + "x" * 3_000, "ab a b ab\x00 ab"]
+    for most in (1 << 20, 16):
+        monkeypatch.setattr(common, "_AT_ONCE", most)
+        seen = {}
+        for text in texts:
+            hashes, lines = common.hashed_words(text)
+            words = common.plain_words(text)
+            assert len(hashes) == len(lines) == len(words)
+            assert lines.tolist() == [n for n, line in enumerate((text or "").split("\n")) for _ in common.plain_words(line)]
+            for word, found in zip(words, hashes.tolist()):
+                assert seen.setdefault(word, found) == found
+        assert len(set(seen.values())) == len(seen)
+
+
+def test_memo_stays_within_its_bytes():
+    asked = []
+    memo = common.Memo(lambda w: asked.append(w) or w * 2, most=20_000)
+    for n in range(5_000):
+        assert memo[f"w{n % 700}"] == f"w{n % 700}" * 2 and memo["often"] == "oftenoften"
+        assert len(memo) + len(memo.aside) < 200
+    assert asked.count("often") < 5
+
+
 def near_copies():
     rows = [(100 + i, varied(sentence(50 + i % 4, 60), i % 5, i)) for i in range(60)]
     passage = sentence(7, 30)
