@@ -226,6 +226,22 @@ def _cut(docs: DataFrame, least_words: int, joined: bool, with_units: bool) -> D
     return written(_keyed(docs).mapInArrow(cut, CUT), "paragraphs")
 
 
+def _one_each(cut: DataFrame) -> DataFrame:
+    """Rows with equal id and text once. Only their keys are shuffled, and the rows that do repeat."""
+    repeated = written(
+        cut.groupBy(F.col("doc_id").alias("__id"), F.col("row").alias("__row"))
+        .agg(F.count("*").alias("__rows"))
+        .filter("__rows > 1")
+        .select("__id", "__row"),
+        "paragraph-rows",
+    )
+    if repeated.isEmpty():
+        return cut
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("row") == F.col("__row"))
+    again = cut.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "row"])
+    return written(cut.join(repeated, same, "left_anti").unionByName(again), "paragraphs")
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("row"), "text")
 
@@ -419,8 +435,7 @@ def repeated_passages(docs: DataFrame, least_words: int = RUN, percent: int = 80
     give no rows; very long texts are cut whole, in time in proportion to their words. An empty table
     gives no rows; other columns are not read.
     """
-    cut = _cut(docs, least_words, joined=True, with_units=True)
-    cut = cut.dropDuplicates(["doc_id", "row"])
+    cut = _one_each(_cut(docs, least_words, joined=True, with_units=True))
     near = (
         _grouped(docs, cut, percent)
         .filter("across")
