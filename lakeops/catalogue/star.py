@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lakeops.catalogue import query, table
 from lakeops.operators.merge import DELETED
@@ -68,7 +68,11 @@ facts AS (
 
 
 def shipped(spark: SparkSession, folder: str) -> DataFrame:
-    """Quantity per series and month, and whether any of its lines was finished."""
+    """Quantity per series and month, whether the series is in the first extract, and one row of each marked.
+
+    Lines are dealt by series once, for the sums and for what is told of a series. Names are made by
+    those who read the rows.
+    """
     lines = table(spark, folder, "lineitem").selectExpr(
         "l_partkey",
         "l_suppkey",
@@ -77,17 +81,28 @@ def shipped(spark: SparkSession, folder: str) -> DataFrame:
         "l_quantity",
         "l_returnflag != 'N' AS finished",
     )
-    monthly = lines.groupBy("l_partkey", "l_suppkey", "year", "month").agg(
+    monthly = lines.repartition("l_partkey", "l_suppkey").groupBy("l_partkey", "l_suppkey", "year", "month").agg(
         F.sum("l_quantity").alias("value"), F.bool_or("finished").alias("finished")
     )
-    return monthly.selectExpr(
+    series = Window.partitionBy("l_partkey", "l_suppkey").orderBy("year", "month")
+    whole = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    early = F.col("finished") & (F.col("year") <= LAST_FIRST_YEAR)
+    return monthly.withColumn("early", F.bool_or(early).over(whole)).withColumn(
+        "first", F.row_number().over(series) == 1
+    ).drop("finished")
+
+
+def named(shipments: DataFrame) -> DataFrame:
+    """Shipments with the names of series, area, item and period."""
+    return shipments.selectExpr(
         "concat('S', l_partkey, '-', l_suppkey) AS series_id",
         "concat('A', l_suppkey) AS area_code",
         "concat('I', l_partkey) AS item_code",
         "year",
         "concat('M', lpad(CAST(month AS STRING), 2, '0')) AS period",
         "value",
-        "finished",
+        "early",
+        "first",
     )
 
 
@@ -104,15 +119,16 @@ def write_raw(
         "CAST(p_size AS BIGINT) AS display_level", "p_partkey AS sort_sequence",
         "'T' AS selectable",
     )
+    shipments = named(shipments)
+    series = shipments.where("first")
     if second:
-        series = shipments
         raised = F.when(F.col("year") == LAST_FIRST_YEAR, 1).otherwise(0)
         values = shipments.where("year != 1995").withColumn("value", F.col("value") + raised)
     else:
         values = shipments.where(F.col("year") <= LAST_FIRST_YEAR)
-        series = values.where("finished")
+        series = series.where("early")
     values = values.select("series_id", "year", "period", "value", F.lit(float("nan")).alias("footnote_codes"))
-    series = series.select("series_id", "area_code", "item_code").distinct()
+    series = series.select("series_id", "area_code", "item_code")
     raw = {"area": areas, "item": items, "series": series, "current": values}
     run_tables(spark, raw, lambda name: overwrite(raw[name], f"{root}/{name}"))
 

@@ -13,6 +13,8 @@ Both the merged rows and the change images come from the same pairs, that is, fr
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,13 +25,15 @@ KEEP, INSERT, UPDATE, SOFT_DELETE = "keep", "insert", "update", "soft_delete"
 Setting = Mapping[str, "str | Column"]
 
 
-def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def unique_keys(df: DataFrame, keys: Sequence[str], dealt_by: Sequence[str] = ()) -> DataFrame:
     """The same rows; the job fails when a key is NULL or occurs twice.
 
+    ``dealt_by`` are columns that follow from the key and by which the rows are dealt already.
+
     The window needs the partitioning and the order which the merge join on the same keys needs
     anyway, so the check adds no shuffle and no sort to it.
     """
-    copies = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*dealt_by, *[k for k in keys if k not in dealt_by]))
     missing = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
     named = ", ".join(keys)
     named_key = F.when(missing, F.raise_error(F.lit(f"NULL in merge key ({named})")).cast("boolean")).otherwise(
@@ -43,6 +47,21 @@ def unique_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(named_key).withColumn("_copies", copies).where(fine).drop("_copies")
 
 
+# Tasks of a shuffle that write into the same folder, at most, when rows are dealt by folder and key.
+FILES_A_FOLDER = 16
+
+
+def unique_in_folders(df: DataFrame, keys: Sequence[str], folders: Sequence[str]) -> DataFrame:
+    """``unique_keys`` of rows which will be written to folders by some of their key columns.
+
+    Rows are dealt once, by folder and a share of the keys: equal keys meet, and a folder's rows lie in a
+    few tasks, so that neither the check nor the write needs a shuffle of its own.
+    """
+    share = F.pmod(F.xxhash64(*keys), F.lit(FILES_A_FOLDER)).alias("_share")
+    dealt = df.select("*", share).repartition(*folders, "_share")
+    return unique_keys(dealt, keys, [*folders, "_share"]).drop("_share")
+
+
 def active(df: DataFrame, flag: str = DELETED) -> DataFrame:
     """Rows not marked deleted; an unknown mark counts as not active."""
     return df.where(~F.col(flag))
@@ -68,15 +87,26 @@ def soft_deletes(
 def _joined(
     target: DataFrame, source: DataFrame, keys: Sequence[str], whole_target: bool, check_keys: bool
 ) -> DataFrame:
-    t = target.select(*keys, F.struct(*target.columns).alias("t"))
-    checked = unique_keys(source, keys) if check_keys else source
-    s = checked.select(*keys, F.struct(*source.columns).alias("s"))
+    """``t`` and ``s`` as structs, made behind the join: each column travels once, keys included."""
+    t, s = _side(target, "t"), _side(unique_keys(source, keys) if check_keys else source, "s")
+    same = reduce(and_, [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in keys])
     if whole_target:
-        return t.join(s, list(keys), "full_outer")
-    # Only target rows with a partner matter. The semi join lets a small source be broadcast (or
-    # sent as a runtime filter), so that the large target is scanned but not shuffled.
-    partners = t.join(source.select(*keys), list(keys), "left_semi")
-    return s.join(partners, list(keys), "left_outer")
+        joined = t.join(s, same, "full_outer")
+    else:
+        # Only target rows with a partner matter. The semi join lets a small source be broadcast (or
+        # sent as a runtime filter), so that the large target is scanned but not shuffled.
+        wanted = source.select(*[F.col(k).alias(f"_s_{k}") for k in keys])
+        joined = s.join(t.join(wanted, same, "left_semi"), same, "left_outer")
+    rows = [
+        F.when(F.col(f"_{name}"), F.struct(*[F.col(f"`_{name}_{c}`").alias(c) for c in df.columns])).alias(name)
+        for name, df in (("t", target), ("s", source))
+    ]
+    return joined.select(*rows)
+
+
+def _side(df: DataFrame, name: str) -> DataFrame:
+    """The rows of one side of a join under names of their own, and a mark that they are there."""
+    return df.select(*[F.col(f"`{c}`").alias(f"_{name}_{c}") for c in df.columns], F.lit(True).alias(f"_{name}"))
 
 
 def _row(target: DataFrame, values: Setting | None, default: str | None) -> Column:

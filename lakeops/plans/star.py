@@ -18,6 +18,7 @@ from lakeops.operators.numbering import assign_ids_upto, highest_id
 from lakeops.operators.relate import fact_lookup
 from lakeops.plans.jobs import run_tables
 from lakeops.session import scratch, written
+from lakeops.sources.writers import few_folders, overwrite
 from lakeops.tables.versioned import MERGE, State, VersionedTable
 
 MODIFIED = "last_modified"
@@ -51,19 +52,29 @@ READING_KEY = ["series_id", "year", "period"]
 FACT_KEY = ["dim_series_id", "year", "period"]
 
 
-def latest_rows(feed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The newest row of each key; a removed row comes back marked deleted."""
-    latest = feed_of.latest_changes(feed, keys)
+def as_rows(latest: DataFrame) -> DataFrame:
+    """Newest images as rows; a removed row comes back marked deleted."""
     gone = F.col(feed_of.CHANGE_TYPE) == feed_of.DELETED_ROW
     marked = latest.withColumn(DELETED, F.col(DELETED) | gone)
     return feed_of.as_rows(marked, MODIFIED)
 
 
-def new_changes(source: VersionedTable, state: State | None) -> tuple[DataFrame | None, int]:
-    """The feed behind what a table consumed, and the version it reaches; None if there is none."""
+def new_images(
+    source: VersionedTable, state: State | None, keys: Sequence[str]
+) -> tuple[DataFrame | None, int, bool]:
+    """The newest image of each key behind what a table consumed, None if there is none; the version
+    that it reaches; and whether the images are a plain read.
+
+    One commit of a table that loads keep unique by the keys has them as they are: none is searched.
+    """
     first = 0 if state is None else int(state.properties.get(CONSUMED, "-1")) + 1
     newest = source.state().version
-    return (source.changes(first) if first <= newest else None), newest
+    if first > newest:
+        return None, newest, True
+    feed = source.changes(first)
+    if source.one_image_a_key(first, keys):
+        return feed.where(F.col(feed_of.CHANGE_TYPE) != feed_of.BEFORE_UPDATE), newest, True
+    return feed_of.latest_changes(feed, keys), newest, False
 
 
 def dimension_pairs(
@@ -107,17 +118,17 @@ def load_dimension(
 
 def _load_dimension(source, target, key, id_column, committed_at, partition_by) -> int | None:
     state = target.find_state()
-    feed, newest = new_changes(source, state)
-    if feed is None:
+    images, newest, plain = new_images(source, state, [key])
+    if images is None:
         return None
-    rows = latest_rows(feed, [key])
+    rows = as_rows(images)
     done = {CONSUMED: str(newest)}
     if state is None:
         numbered, top = assign_ids_upto(rows, id_column, [key])
         return target.create(numbered, partition_by, committed_at, {**done, HIGHEST: str(top)})
     known = target.read()
     highest = int(state.properties.get(HIGHEST) or highest_id(known, id_column))
-    rows = written(rows, "dimension-rows")
+    rows = rows if plain else written(rows, "dimension-rows")
     pairs, top = dimension_pairs(known, rows, key, id_column, highest)
     return target.commit(pairs, [key], MERGE, committed_at, {**done, HIGHEST: str(top)}, state)
 
@@ -144,32 +155,32 @@ def load_fact(
 
 def _load_fact(source, dimensions, target, committed_at, partition_by) -> int | None:
     state = target.find_state()
-    feed, newest = new_changes(source, state)
-    if feed is None:
+    images, newest, _ = new_images(source, state, READING_KEY)
+    if images is None:
         return None
     spark = target.spark
-    if state is not None and state.properties.get(REJECTS):
-        waiting = spark.read.schema(feed.schema).parquet(
+    waits = state is not None and state.properties.get(REJECTS)
+    if waits:
+        waiting = spark.read.schema(images.schema).parquet(
             _rejects_path(target, state.properties[REJECTS])
         )
-        feed = feed.unionByName(waiting)
-    feed = feed.where(F.col(feed_of.CHANGE_TYPE) != feed_of.BEFORE_UPDATE)
+        images = images.unionByName(waiting)
+    found = fact_lookup(images, dimensions["series"], dimensions["area"], dimensions["item"])
+    if waits:
+        # A join by series leaves the images of a reading together: this needs no shuffle behind it.
+        found = feed_of.latest_changes(found, READING_KEY)
+    # One join, stored for facts and rejects. Only a reading whose series is unknown keeps its name.
+    unknown = F.col("dim_series_id").isNull()
+    found = written(found.withColumn("series_id", F.when(unknown, F.col("series_id"))), "fact-rows")
     load = str(0 if state is None else state.version + 1)
-    known = dimensions["series"].select("series_id")
-    aside = feed.join(known, "series_id", "left_anti").select(*feed.columns)
-    aside.write.mode("overwrite").parquet(_rejects_path(target, load))
+    overwrite(found.where(unknown).select(*images.columns), _rejects_path(target, load))
     done = {CONSUMED: str(newest), REJECTS: load}
 
-    readings = latest_rows(feed, READING_KEY)
-    facts = (
-        fact_lookup(readings, dimensions["series"], dimensions["area"], dimensions["item"])
-        .where(F.col("dim_series_id").isNotNull())
-        .drop("series_id")
-    )
+    facts = as_rows(found.where(~unknown).drop("series_id"))
     if state is None:
-        return target.create(facts, partition_by, committed_at, done)
+        few = bool(partition_by) and few_folders(facts, partition_by)
+        return target.create(facts, partition_by, committed_at, done, gathered=few)
     # One row per reading key and one series per series id, so the fact key is unique.
-    facts = written(facts, "fact-rows")
     near = target.near(facts, FACT_KEY, state)
     pairs = merge_pairs(near, facts, FACT_KEY, whole_target=False, check_keys=False)
     # What waits now must be seen even if no reading found its series.

@@ -79,5 +79,5 @@ def written(df: DataFrame, name: str) -> DataFrame:
     paths = _RELEASED.get()
     if paths is not None:
         paths.append(path)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

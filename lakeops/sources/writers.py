@@ -7,6 +7,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 
+# Tasks read or receive some 64 MB each. With so few folders their files are still megabytes.
+FEW_FOLDERS = 16
+CODEC = "zstd"
+
+
 def spread(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     """Bring rows of one output folder together before a partitioned write.
 
@@ -14,32 +19,42 @@ def spread(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     execution split a folder that holds far more rows than the others. A folder name cannot tell an
     empty string from NULL, so an empty string in a partition column fails the job.
     """
-    if not partition_by:
-        return df
+    return told_apart(df, partition_by).hint("rebalance", *partition_by) if partition_by else df
+
+
+def told_apart(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """The same rows; the job fails when a partition column holds an empty string."""
     kinds = dict(df.dtypes)
     for column in partition_by:
         if kinds[column] == "string":
             error = F.raise_error(F.lit(f"empty string in partition column {column}")).cast("boolean")
             df = df.where(F.when(F.col(column) == "", error).otherwise(F.lit(True)))
-    return df.hint("rebalance", *partition_by)
+    return df
+
+
+def few_folders(df: DataFrame, partition_by: Sequence[str]) -> bool:
+    """Whether a stored table makes so few folders that each task may write into all of them."""
+    return df.select(*partition_by).distinct().limit(FEW_FOLDERS + 1).count() <= FEW_FOLDERS
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = spread(df, partition_by).write.mode("overwrite")
+    writer = spread(df, partition_by).write.mode("overwrite").option("compression", CODEC)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def overwrite_counted(
-    df: DataFrame, path: str, partition_by: Sequence[str], **counts: Column
+    df: DataFrame, path: str, partition_by: Sequence[str], gathered: bool = False, **counts: Column
 ) -> dict[str, int]:
     """Overwrite a path, and return aggregates over the rows, taken while they are written.
 
+    ``gathered`` rows lie in tasks as they shall be written: they are not shuffled by folder.
     They are observed behind the last shuffle, in the tasks which write: of those Spark counts each
     partition once, even if a task is repeated.
     """
     seen = Observation()
-    observed = spread(df, partition_by).observe(seen, *[c.alias(name) for name, c in counts.items()])
-    writer = observed.write.mode("overwrite")
+    dealt = told_apart(df, partition_by) if gathered else spread(df, partition_by)
+    observed = dealt.observe(seen, *[c.alias(name) for name, c in counts.items()])
+    writer = observed.write.mode("overwrite").option("compression", CODEC)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return seen.get
 

@@ -6,8 +6,9 @@ Layout below the table's path::
     changes/_commit_version=<n>/<partition ...>/ change images of commit n
     commits/_version=<n>/                        one row about commit n, written last
 
-The current rows are, per partition folder, those of the newest commit that rewrote it. A commit
-therefore writes only the partitions it touches, and nothing a reader may be using is changed. A
+The current rows are, per partition folder, those of the newest commit that rewrote it, and of the
+commits that have only added rows to it since. A commit therefore writes only the partitions it
+touches, nothing but its new rows where none goes, and nothing a reader may be using is changed. A
 commit without its row in ``commits`` does not exist for readers. One writer at a time.
 """
 
@@ -15,7 +16,7 @@ from __future__ import annotations
 
 import json
 from collections import OrderedDict
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 from urllib.parse import unquote
@@ -24,12 +25,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.operators import changes as feed_of
-from lakeops.operators.merge import DELETED, merge_pairs, sync_pairs, unique_keys
+from lakeops.operators.merge import DELETED, merge_pairs, sync_pairs, unique_in_folders, unique_keys
 from lakeops.sources.files import folder_times, matching_folders
-from lakeops.sources.writers import overwrite_counted
+from lakeops.sources.writers import FEW_FOLDERS, overwrite_counted
 
-# ``detail`` is JSON: schema, partition columns, the commit each partition folder is found in, and
-# properties. It describes the whole table, so a reader needs the newest commit row only.
+# ``detail`` is JSON: schema, partition columns, the newest commit of each partition folder, the earlier
+# ones whose rows are still part of it, the keys by which loads have kept rows unique, and properties. It describes the whole table, so a reader needs the newest commit row only.
 COMMIT_SCHEMA = (
     "version bigint, committed_at timestamp, operation string, inserted bigint, updated bigint, "
     "deleted bigint, detail string"
@@ -39,6 +40,8 @@ NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 CREATE, OVERWRITE, MERGE, SYNC = "create", "overwrite", "merge", "sync"
 # These commits replace all rows. Their feed is derived from the rows, not stored once more.
 _WHOLE = (CREATE, OVERWRITE)
+# A folder that rows were added to so many times is rewritten by the next commit that touches it.
+MOST_ADDED = 8
 
 
 @dataclass
@@ -52,6 +55,8 @@ class State:
     folders: dict[str, int]
     properties: dict[str, str] = field(default_factory=dict)
     operation: str = ""
+    older: dict[str, list[int]] = field(default_factory=dict)
+    keys: list[str] = field(default_factory=list)
 
 
 # Versions never change once they are there, so their states are kept, by path, version and the time of
@@ -108,6 +113,8 @@ class VersionedTable:
                     detail["folders"],
                     detail["properties"],
                     row["operation"],
+                    detail.get("older", {}),
+                    detail.get("keys", []),
                 )
                 _remember(keys[state.version], state)
         return {number: _KNOWN[key] for number, key in keys.items() if key in _KNOWN}
@@ -135,8 +142,9 @@ class VersionedTable:
         base = f"{self.path}/rows"
         paths = [
             f"{base}/_version={version}/{folder}".rstrip("/")
-            for folder, version in sorted(state.folders.items())
+            for folder, newest in sorted(state.folders.items())
             if only is None or folder in only
+            for version in (*state.older.get(folder, ()), newest)
         ]
         if not paths:
             return self.spark.createDataFrame([], state.schema)
@@ -158,18 +166,30 @@ class VersionedTable:
         columns = state.partition_by
         if not columns or not set(columns) <= set(keys):
             return self._rows(state)
+        return self._rows(state, only=self._named(source, state, state.folders))
+
+    def _named(self, rows: DataFrame, state: State, folders: Iterable[str]) -> set[str]:
+        """Those of some folders which the partition columns of the rows name."""
         parts = [
             F.concat(
                 F.lit(f"{c}="), F.coalesce(F.col(c).cast(state.schema[c].dataType).cast("string"), F.lit(NO_VALUE))
             )
-            for c in columns
+            for c in state.partition_by
         ]
-        named = source.select(F.concat_ws("/", *parts).alias("folder")).distinct()
+        named = rows.select(F.concat_ws("/", *parts).alias("folder")).distinct()
         # Folder names have some letters of the values escaped.
-        known = [(folder, unquote(folder)) for folder in state.folders]
+        known = [(folder, unquote(folder)) for folder in folders]
         table = self.spark.createDataFrame(known, "escaped string, folder string")
-        hits = table.join(named, "folder", "left_semi").collect()
-        return self._rows(state, only={hit["escaped"] for hit in hits})
+        return {hit["escaped"] for hit in table.join(named, "folder", "left_semi").collect()}
+
+    def one_image_a_key(self, first_version: int, keys: Sequence[str]) -> bool:
+        """Whether the feed from a version on is one commit of a table which loads keep unique by the keys.
+
+        Besides images from before an update such a feed holds each key once.
+        """
+        versions = {n: t for n, t in self._versions().items() if n >= first_version}
+        states = list(self._states(versions).values())
+        return len(states) == 1 and set(states[0].keys) == set(keys)
 
     def history(self) -> DataFrame:
         """One row per commit."""
@@ -251,15 +271,19 @@ class VersionedTable:
         counts: Mapping[str, int],
         kept: Mapping[str, int],
         properties: Mapping[str, str],
+        keys: Sequence[str] = (),
+        older: Mapping[str, list[int]] | None = None,
+        gathered: bool = False,
     ) -> int:
         """Write rows and the commit; ``kept`` are the folders which stay as they are."""
         target = f"{self.path}/rows/_version={version}"
-        count = overwrite_counted(rows, target, partition_by, rows=F.count(F.lit(1)))["rows"]
+        count = overwrite_counted(rows, target, partition_by, gathered, rows=F.count(F.lit(1)))["rows"]
         if operation in _WHOLE:
             counts = {**counts, "inserted": count}
         written = self._folders(target, partition_by)
         folders = {**kept, **{folder: version for folder in written}}
         state = State(version, committed_at, rows.schema, list(partition_by), folders, dict(properties))
+        state.older, state.keys = dict(older or {}), list(keys)
         return self._write_commit(state, operation, counts)
 
     def _write_commit(self, state: State, operation: str, counts: Mapping[str, int]) -> int:
@@ -268,6 +292,8 @@ class VersionedTable:
             "schema": state.schema.jsonValue(),
             "partition_by": state.partition_by,
             "folders": state.folders,
+            "older": state.older,
+            "keys": state.keys,
             "properties": state.properties,
         }
         values = [
@@ -301,12 +327,18 @@ class VersionedTable:
         partition_by: Sequence[str] = (),
         committed_at: datetime | None = None,
         properties: Mapping[str, str] | None = None,
+        gathered: bool = False,
     ) -> int:
-        """Version 0."""
+        """Version 0; ``gathered`` rows are not shuffled by partition before they are written."""
+        return self._create(rows, partition_by, committed_at, properties, gathered=gathered)
+
+    def _create(self, rows, partition_by, committed_at, properties=None, keys=(), gathered=False) -> int:
         if self.find_state() is not None:
             raise ValueError(f"table {self.path} exists already")
         when = self._commit_time(committed_at, None)
-        return self._write_rows(rows, 0, partition_by, CREATE, when, {}, {}, properties or {})
+        return self._write_rows(
+            rows, 0, partition_by, CREATE, when, {}, {}, properties or {}, keys, gathered=gathered
+        )
 
     def overwrite(
         self,
@@ -343,11 +375,15 @@ class VersionedTable:
         With ``note`` properties are committed even if no row changes.
 
         The images are written first. They tell which partitions to rewrite, and they supply the
-        new rows, so the merge join runs once.
+        new rows, so the merge join runs once. Partitions from which no row goes are added to. A table
+        of few partitions is written by the tasks that have the rows, without a shuffle by partition.
         """
         state = state or self.state()
         version = state.version + 1
         when = self._commit_time(committed_at, state.committed_at)
+        gathered = len(state.folders) <= FEW_FOLDERS
+        # A merge may set key columns; a load keeps them.
+        unique = state.keys if operation == SYNC and set(state.keys) == set(keys) else []
         base = f"{self.path}/changes"
         target = f"{base}/{feed_of.VERSION}={version}"
         images = feed_of.change_images(pairs).withColumn(
@@ -358,6 +394,7 @@ class VersionedTable:
             images,
             target,
             state.partition_by,
+            gathered,
             inserted=F.count_if(kind == feed_of.INSERTED),
             updated=F.count_if(kind == feed_of.AFTER_UPDATE),
             deleted=F.count_if(kind == feed_of.DELETED_ROW),
@@ -366,9 +403,9 @@ class VersionedTable:
         if not any(counts.values()):
             if not note or told == state.properties:
                 return None
-            return self._write_commit(
-                State(version, when, state.schema, state.partition_by, state.folders, told), operation, counts
-            )
+            noted = State(version, when, state.schema, state.partition_by, state.folders, told)
+            noted.older, noted.keys = state.older, unique
+            return self._write_commit(noted, operation, counts)
         stored = (
             self.spark.read.schema(images.schema)
             .option("basePath", base)
@@ -378,13 +415,20 @@ class VersionedTable:
         gone = stored.where(kind.isin(feed_of.BEFORE_UPDATE, feed_of.DELETED_ROW))
         came = stored.where(kind.isin(feed_of.INSERTED, feed_of.AFTER_UPDATE))
         touched = self._folders(target, state.partition_by)
-        unchanged = self._rows(state, only=touched).join(
-            gone.select(*keys), list(keys), "left_anti"
-        )
-        rows = unchanged.select(*state.schema.names).unionByName(came.select(*state.schema.names))
-        kept = {folder: v for folder, v in state.folders.items() if folder not in touched}
+        present = touched & state.folders.keys()
+        losing = {folder for folder in present if len(state.older.get(folder, ())) >= MOST_ADDED - 1}
+        if counts["updated"] or counts["deleted"]:
+            losing |= self._named(gone, state, present) if state.partition_by else present
+        rows = came.select(*state.schema.names)
+        if losing:
+            unchanged = self._rows(state, only=losing).join(gone.select(*keys), list(keys), "left_anti")
+            rows = unchanged.select(*state.schema.names).unionByName(rows)
+        kept = {folder: v for folder, v in state.folders.items() if folder not in losing}
+        older = {folder: versions for folder, versions in state.older.items() if folder not in losing}
+        for folder in present - losing:
+            older[folder] = [*older.get(folder, ()), state.folders[folder]]
         return self._write_rows(
-            rows, version, state.partition_by, operation, when, counts, kept, told
+            rows, version, state.partition_by, operation, when, counts, kept, told, unique, older, gathered
         )
 
     def merge(
@@ -413,8 +457,10 @@ class VersionedTable:
         """Bring the table in line with a full extract; the first load creates it."""
         state = self.find_state()
         if state is None:
-            rows = unique_keys(source, keys).withColumn(options.get("flag", DELETED), F.lit(False))
-            return self.create(rows, partition_by, committed_at)
+            dealt = bool(partition_by) and set(partition_by) <= set(keys)
+            checked = unique_in_folders(source, keys, partition_by) if dealt else unique_keys(source, keys)
+            rows = checked.withColumn(options.get("flag", DELETED), F.lit(False))
+            return self._create(rows, partition_by, committed_at, keys=keys, gathered=dealt)
         pairs = sync_pairs(self._rows(state), source, keys, **options)
         return self.commit(pairs, keys, SYNC, committed_at, state=state)
 

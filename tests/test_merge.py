@@ -136,3 +136,11 @@ def test_feed_rebuilds_the_state(spark, before, after):
     feed = change_rows(empty, frames[0], ["k"], 0, when).unionByName(
         change_rows(frames[0], frames[1], ["k"], 1, when))
     assert {r[0]: tuple(r)[1:] for r in replayed(feed, ["k"]).collect()} == after
+
+
+def test_keys_travel_once(spark):
+    df = spark.createDataFrame([("a", 1.0)], "k string, v double")
+    pairs = merge.sync_pairs(df.withColumn("is_deleted", F.lit(False)), df, ["k"])
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    # Structs, which hold the keys once more, are made behind the join.
+    assert "struct(" in plan and "struct(" not in plan[plan.index("Join") :]

@@ -157,3 +157,22 @@ def test_partitioned_dimension_rewrites_what_changes_and_leaves_no_scratch(spark
     star.load_dimension(source, target, "code", "id")
     assert target.state().folders == {"kind=x": 1, "kind=y": 2}
     assert set(os.listdir(root)) == before
+
+
+def test_only_the_newest_image_of_a_reading_waits(spark, path, rows, refined):
+    areas, items, series = [("A", "north")], [("I", "milk")], [("s1", "A", "I")]
+    refined(T[0], areas, items, series, [("s9", 2020, "M01", 5.0), ("s9", 2020, "M02", 2.0)])
+    refined(T[1], areas, items, series, [("s9", 2020, "M01", 6.0), ("s9", 2020, "M02", 2.0)])
+    assert rows(star.rejects(fact(spark, path)), "series_id", "period", "value") == [
+        ("s9", "M01", 6.0), ("s9", "M02", 2.0)]
+    refined(T[2], areas, items, [*series, ("s9", "A", "I")], [("s9", 2020, "M01", 6.0), ("s9", 2020, "M02", 3.0)])
+    assert rows(fact(spark, path).read(), "period", "value") == [("M01", 6.0), ("M02", 3.0)]
+    assert star.rejects(fact(spark, path)).count() == 0
+
+
+def test_images_of_one_load_are_read_without_a_search(spark, path, rows):
+    source = VersionedTable(spark, f"{path}/item")
+    source.sync(spark.createDataFrame([("a", "1")], "code string, name string"), ["code"], T[0])
+    images, newest, plain = star.new_images(source, None, ["code"])
+    assert plain and newest == 0 and "Window" not in images._jdf.queryExecution().executedPlan().toString()
+    assert rows(images, "code", "name") == [("a", "1")]

@@ -162,3 +162,50 @@ def test_feed_shows_columns_that_an_overwrite_took_away(spark, table, rows):
     table.overwrite(spark.createDataFrame([("x",)], "k string"), (), T2)
     with pytest.raises(ValueError, match="another type"):
         table.changes(0)
+
+
+def test_partitions_that_lose_no_row_are_added_to(spark, table, path, rows):
+    part = lambda version: spark.read.parquet(f"{path}/rows/_version={version}")
+    table.sync(frame(spark, (1, "a", 1.0), (2, "b", 2.0)), ["k"], T0, partition_by=["part"])
+    table.sync(frame(spark, (1, "a", 1.0), (2, "b", 5.0), (3, "a", 3.0), (4, "b", 4.0)), ["k"], T1)
+    assert rows(part(1), "k", "part") == [(2, "b"), (3, "a"), (4, "b")]
+    assert table.state().folders == {"part=a": 1, "part=b": 1} and table.state().older == {"part=a": [0]}
+    everything = [(1, "a", 1.0, False), (2, "b", 5.0, False), (3, "a", 3.0, False), (4, "b", 4.0, False)]
+    assert rows(table.read(), "k", "part", "v", "is_deleted") == everything
+    assert rows(VersionedTable(spark, path).read(0), "k") == [(1,), (2,)]
+    # A lost row rewrites all that the folder consists of.
+    table.sync(frame(spark, (2, "b", 5.0), (3, "a", 3.0), (4, "b", 4.0)), ["k"], T2)
+    assert rows(part(2), "k", "is_deleted") == [(1, True), (3, False)] and table.state().older == {}
+
+
+def test_folders_are_rewritten_after_many_additions(spark, table, rows):
+    from lakeops.tables.versioned import MOST_ADDED
+
+    table.create(frame(spark, (0, "a", 0.0)), (), T0)
+    for k in range(1, MOST_ADDED + 2):
+        table.merge(frame(spark, (k, "a", 1.0)), ["k"], T1)
+        assert len(table.state().older.get("", ())) < MOST_ADDED
+    assert rows(table.read(), "k") == [(k,) for k in range(MOST_ADDED + 2)]
+
+
+def test_first_load_into_folders_of_the_key_is_shuffled_once(spark, table):
+    from lakeops.operators.merge import unique_in_folders
+
+    source = frame(spark, (1, "a", 1.0), (1, "b", 2.0))
+    plan = unique_in_folders(source, ["k", "part"], ["part"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    table.sync(source, ["k", "part"], T0, partition_by=["part"])
+    assert table.state().keys == ["k", "part"] and table.read().count() == 2
+    for wrong in [(1, "a", 7.0), (None, "a", 7.0)]:
+        with pytest.raises(Exception, match="merge key"):
+            VersionedTable(spark, f"{table.path}-x").sync(
+                source.union(frame(spark, wrong)), ["k", "part"], T0, partition_by=["part"])
+
+
+def test_each_key_of_one_load_is_known_to_have_one_image(spark, table):
+    table.sync(frame(spark, (1, "a", 1.0)), ["k"], T0)
+    assert table.one_image_a_key(0, ["k"]) and not table.one_image_a_key(0, ["part"])
+    table.sync(frame(spark, (1, "a", 2.0)), ["k"], T1)
+    assert table.one_image_a_key(1, ["k"]) and not table.one_image_a_key(0, ["k"])
+    table.merge(frame(spark, (1, "a", 3.0)), ["k"], T2)
+    assert not table.one_image_a_key(2, ["k"])
