@@ -214,8 +214,8 @@ def pack(
         encoder, end = word_tokenizer(file), np.array([end_id], kind).tobytes()
         for batch in batches:
             ids = [
-                np.frombuffer(encoder.ids(text), "<u4").astype(kind).tobytes() + end
-                for text in batch.column("text").to_pylist()
+                np.frombuffer(found, "<u4").astype(kind).tobytes() + end
+                for found in encoder.ids_of(batch.column("text").to_pylist())
             ]
             columns = [batch.column("doc_id"), batch.column("__named"), batch.column("size"), pa.array(ids, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "__named", "size", "ids"])

@@ -38,7 +38,7 @@ def write_token_files(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = word_tokenizer(file), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            parts = [encoder.ids(text) + end for text in batch.column("text").to_pylist()]
+            parts = [ids + end for ids in encoder.ids_of(batch.column("text").to_pylist())]
             lengths = np.fromiter((len(p) // 4 for p in parts), np.int64, len(parts))
             offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
             values = pa.array(np.frombuffer(b"".join(parts), "<i4"))

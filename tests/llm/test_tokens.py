@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from lakeops.llm import packing, token_files, transducer
+from lakeops.llm import packing, token_files, tokens, transducer
 from lakeops.llm.tokens import WordTokenizer, default_path
 from lakeops.session import scratch_path
 
@@ -15,6 +16,7 @@ from .conftest import sentence
 
 LIBRARY = Tokenizer.from_file(default_path())
 WORDS, MACHINE = WordTokenizer(default_path()), transducer.Transducer(default_path())
+SMALL = WordTokenizer(default_path(), most=2_000)
 
 
 def library_ids(text):
@@ -31,6 +33,41 @@ def test_ids_and_counts_are_the_library_s(text, chunk):
         assert transducer.count_tokens(MACHINE, text, chunk) == len(expected)
 
 
+PARTS = [*"thea'sdlrv \n\x00!1é漢", "'re", "'ll", "!'s", "''t", "ſ", "Σ", "e\u0301", "\u2003", "𝒳", "x" * 15, "y" * 16, "éé" * 5]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(PARTS + ["<|endoftext|>"]), max_size=30).map("".join) | st.none(), max_size=8))
+def test_ids_of_many_texts_are_the_library_s(texts):
+    for encoder in (WORDS, SMALL, SMALL):
+        found = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.ids_of(texts)]
+        assert found == [library_ids(t) for t in texts]
+
+
+def test_a_long_text_is_cut_at_blanks_only(monkeypatch):
+    monkeypatch.setattr(tokens, "AT_ONCE", 7)
+    text = "it's a long-winded text\u2003of wörds, undividedpieces and\tblanks " * 5 + "x" * 40
+    for some in ([text], [text, "", None, "a", text.upper()]):
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in WORDS.ids_of(some)] == [library_ids(t) for t in some]
+
+
+def test_as_many_pieces_as_a_worker_meets_are_encoded_once():
+    encoder, calls = WordTokenizer(default_path()), []
+
+    class Counted:
+        def tokenize(self, piece, model=encoder.model):
+            calls.append(piece)
+            return model.tokenize(piece)
+
+    encoder.model = Counted()
+    letters = "abcdefghijklmnopqrst"
+    words = ["".join(w) for w in itertools.islice(itertools.product(letters, repeat=5), 400_000)]
+    for _ in range(2):
+        for first in range(0, len(words), 10_000):
+            encoder.ids(" ".join(words[first : first + 10_000]))
+    assert len(calls) == len(words)
+
+
 def test_special_strings_survive_chunks():
     text = "word <|endoftext|> x<|startoftext|>y " * 9
     assert all(transducer.count_tokens(MACHINE, text, c) == len(library_ids(text)) for c in range(1, 60))
