@@ -32,6 +32,12 @@ K1, B = 1.2, 0.75
 DIMENSIONS = 64
 SAMPLE = 20_000
 LEAVES_A_SHARD = 4
+#: Tokens whose documents are sorted at once.
+AT_ONCE = 1 << 19
+#: The share of a shard's documents from which on a term has a weight for each of them.
+OFTEN = 0.1
+#: Neighbours that are sorted before the others; a window seldom takes more.
+FIRST_TAKEN = 32
 
 
 def inverse_frequency(documents: int, held: np.ndarray) -> np.ndarray:
@@ -39,6 +45,26 @@ def inverse_frequency(documents: int, held: np.ndarray) -> np.ndarray:
     return np.maximum(np.log((documents - held + 0.5) / (held + 0.5)), 0)
 
 
+def distinct(documents: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The different terms of each document, in order, and how often it holds each; some documents at a time.
+
+    A tuple has the terms and times of its documents one after the other, and where each document begins
+    and the last one ends.
+    """
+    first, lengths = 0, np.array([len(ids) for ids in documents], np.int64)
+    ends = np.cumsum(lengths)
+    while first < len(documents):
+        after = max(first + 1, int(np.searchsorted(ends, ends[first] - lengths[first] + AT_ONCE, "right")))
+        rows = np.repeat(np.arange(after - first, dtype=np.uint64), lengths[first:after])
+        keys = (rows << np.uint64(32)) | np.concatenate(documents[first:after])
+        keys.sort()
+        new = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
+        times, keys = np.diff(new, append=len(keys)), keys[new]
+        bounds = np.searchsorted(keys, np.arange(after - first + 1, dtype=np.uint64) << np.uint64(32))
+        yield (keys & np.uint64(0xFFFFFFFF)).astype(np.int64), times, bounds
+        first = after
+
+
 class Sketch:
     """Random projections of BM25 weights, brought to length 1."""
 
@@ -46,26 +72,32 @@ class Sketch:
         self.idf, self.mean_length = idf, mean_length
         self.directions = np.random.default_rng(seed).standard_normal((len(idf), DIMENSIONS), np.float32)
 
-    def of(self, ids: np.ndarray) -> np.ndarray:
-        terms, times = np.unique(ids, return_counts=True)
-        weights = times / (times + K1 * (1 - B + B * len(ids) / self.mean_length)) * self.idf[terms]
-        point = weights.astype(np.float32) @ self.directions[terms]
-        return point / max(float(np.linalg.norm(point)), 1e-9)
+    def of(self, documents: list[np.ndarray]) -> np.ndarray:
+        points = [np.zeros((0, DIMENSIONS), np.float32)]
+        for terms, times, bounds in distinct(documents):
+            held = np.add.reduceat(times, bounds[:-1])
+            saturation = times / (times + K1 * (1 - B + B * np.repeat(held, np.diff(bounds)) / self.mean_length))
+            weights = (saturation * self.idf[terms]).astype(np.float32)
+            spans = zip(bounds[:-1].tolist(), bounds[1:].tolist())
+            found = np.array([weights[a:b] @ self.directions[terms[a:b]] for a, b in spans])
+            points.append(found / np.maximum(np.linalg.norm(found, axis=1, keepdims=True), 1e-9))
+        return np.concatenate(points)
 
 
 class Index:
     """BM25 postings of the documents of a shard, term by term.
 
-    ``idf`` by term and ``mean_length`` are those of the whole table, or else of these documents.
+    ``idf`` by term and ``mean_length`` are those of the whole table, or else of these documents. Terms
+    that many of the documents hold have a row of single-precision weights instead, one for each document.
     """
 
     def __init__(self, tokens: list[np.ndarray], idf: np.ndarray | None = None, mean_length: float | None = None):
-        self.terms = [np.unique(ids, return_counts=True) for ids in tokens]
+        found = list(distinct(tokens))
+        self.terms = [terms[a:b] for terms, _, bounds in found for a, b in zip(bounds[:-1], bounds[1:])]
         lengths = np.array([len(ids) for ids in tokens], float)
-        sizes = [len(t) for t, _ in self.terms]
-        term = np.concatenate([t for t, _ in self.terms])
-        doc = np.repeat(np.arange(len(tokens)), sizes)
-        times = np.concatenate([c for _, c in self.terms]).astype(float)
+        term = np.concatenate([terms for terms, _, _ in found])
+        doc = np.repeat(np.arange(len(tokens)), [len(t) for t in self.terms])
+        times = np.concatenate([times for _, times, _ in found]).astype(float)
         order = np.argsort(term, kind="stable")
         self.docs = doc[order]
         self.vocabulary, first, held = np.unique(term[order], return_index=True, return_counts=True)
@@ -74,20 +106,56 @@ class Index:
         saturation = times / (times + K1 * (1 - B + B * lengths[doc] / (mean_length or lengths.mean())))
         self.weights = saturation[order] * np.repeat(idf, held)
         self.useful = idf > 0
+        self.row_of = np.zeros(int(self.vocabulary.max(initial=0)) + 1, np.int64)
+        self.row_of[self.vocabulary] = np.arange(len(self.vocabulary))
+        often = np.flatnonzero(self.useful & (held >= OFTEN * len(tokens)))
+        self.columns = np.arange(len(tokens))
+        self.dense = np.zeros((len(often), len(tokens)), np.float32)
+        self.dense_row = np.full(len(self.vocabulary), -1)
+        self.dense_row[often] = np.arange(len(often))
+        row = np.repeat(self.dense_row, held)
+        self.dense[row[row >= 0], self.docs[row >= 0]] = self.weights[row >= 0]
+        self._keep(row < 0)
+
+    def _keep(self, kept: np.ndarray) -> None:
+        before = np.concatenate(([0], np.cumsum(kept)))
+        self.first, self.after = before[self.first], before[self.after]
+        self.docs, self.weights = self.docs[kept], self.weights[kept]
+
+    def without(self, unused: np.ndarray) -> None:
+        """Leave out the postings of used documents, which are no longer asked for."""
+        self._keep(unused[self.docs])
+        left = unused[self.columns]
+        self.columns, self.dense = self.columns[left], self.dense[:, left]
+
+    def scores(self, seed: int, documents: int) -> np.ndarray:
+        """BM25 scores of the documents for the terms of the seed."""
+        rows = self.row_of[self.terms[seed]]
+        found = self._sparse_scores(rows[self.useful[rows] & (self.after[rows] > self.first[rows])], documents)
+        rows = self.dense_row[rows]
+        found[self.columns] += self.dense[rows[rows >= 0]].sum(0)
+        return found
+
+    def _sparse_scores(self, rows: np.ndarray, documents: int) -> np.ndarray:
+        spans = [slice(a, b) for a, b in zip(self.first[rows].tolist(), self.after[rows].tolist())]
+        if not spans:
+            return np.zeros(documents)
+        docs = np.concatenate([self.docs[s] for s in spans])
+        return np.bincount(docs, np.concatenate([self.weights[s] for s in spans]), documents)
 
     def neighbours(self, seed: int, unused: np.ndarray) -> np.ndarray:
         """Unused documents, the best BM25 score for the terms of the seed first."""
-        rows = np.searchsorted(self.vocabulary, self.terms[seed][0])
-        rows = rows[self.useful[rows]]
-        spans = [slice(a, b) for a, b in zip(self.first[rows], self.after[rows])]
-        if spans:
-            docs = np.concatenate([self.docs[s] for s in spans])
-            weights = np.concatenate([self.weights[s] for s in spans])
-            scores = np.bincount(docs, weights, len(unused))
-        else:
-            scores = np.zeros(len(unused))
+        return np.fromiter(self.best_first(seed, unused), np.int64)
+
+    def best_first(self, seed: int, unused: np.ndarray) -> Iterator[int]:
+        """The same, sorted as far as they are taken."""
         left = np.flatnonzero(unused)
-        return left[np.argsort(-scores[left], kind="stable")]
+        scores = -self.scores(seed, len(unused))[left]
+        if len(left) > 2 * FIRST_TAKEN:
+            best = scores <= np.partition(scores, FIRST_TAKEN)[FIRST_TAKEN]
+            yield from left[best][np.argsort(scores[best], kind="stable")].tolist()
+            left, scores = left[~best], scores[~best]
+        yield from left[np.argsort(scores, kind="stable")].tolist()
 
 
 def filled(
@@ -100,7 +168,7 @@ def filled(
     """
     index = Index(tokens, idf, mean_length)
     lengths = np.array([len(ids) for ids in tokens])
-    unused = np.ones(len(tokens), bool)
+    unused, indexed = np.ones(len(tokens), bool), len(tokens)
     left, pieces, sequence, room = int(lengths.sum()), [], 0, 0
     offset, waiting, seed = 0, iter(()), 0
 
@@ -127,7 +195,11 @@ def filled(
         pieces.append((doc, start, length, sequence, offset))
         offset, room, left, start = offset + length, room - length, left - length, start + length
         if room and fresh:
-            waiting, fresh = iter(index.neighbours(doc, unused)), False
+            rest = np.count_nonzero(unused)
+            if rest < 0.8 * indexed:
+                index.without(unused)
+                indexed = rest
+            waiting, fresh = index.best_first(doc, unused), False
         if start == lengths[doc]:
             doc = None
         if room == 0:
@@ -141,9 +213,8 @@ def _statistics(stored: DataFrame, kind: str) -> tuple[np.ndarray, float]:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.zeros(0, np.int64)
         for batch in batches:
-            terms = [np.unique(np.frombuffer(ids, kind)) for ids in batch.column("ids").to_pylist()]
-            if terms:
-                found = np.bincount(np.concatenate(terms))
+            for terms, _, _ in distinct([np.frombuffer(ids, kind) for ids in batch.column("ids").to_pylist()]):
+                found = np.bincount(terms)
                 more = np.zeros(max(len(found), len(held)), np.int64)
                 more[: len(held)] += held
                 more[: len(found)] += found
@@ -167,9 +238,9 @@ def _places(stored: DataFrame, kind: str, sketch, shards: int, shard_bytes: int)
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = [sketch.value.of(np.frombuffer(ids, kind)).tobytes() for ids in batch.column("ids").to_pylist()]
+            points = sketch.value.of([np.frombuffer(ids, kind) for ids in batch.column("ids").to_pylist()])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(points, pa.binary()), batch.column("size")], names=["point", "size"]
+                [pa.array([p.tobytes() for p in points], pa.binary()), batch.column("size")], names=["point", "size"]
             )
 
     rows = sample.mapInArrow(sketched, "point binary, size long").toPandas()
@@ -235,8 +306,8 @@ def pack(
         tree, places = placing.value
         for batch in batches:
             found = batch.column("ids").to_pylist()
-            points = np.array([sketch.value.of(np.frombuffer(ids, kind)) for ids in found], float)
-            leaves = tree.leaf_of(points.reshape(-1, DIMENSIONS)).tolist()
+            points = sketch.value.of([np.frombuffer(ids, kind) for ids in found]).astype(float)
+            leaves = tree.leaf_of(points).tolist()
             shard = [
                 places[leaf][0] + (zlib.crc32(ids, doc_id & 0xFFFFFFFF) % places[leaf][1])
                 for leaf, ids, doc_id in zip(leaves, found, batch.column("doc_id").to_pylist())

@@ -58,6 +58,7 @@ def byte_letters() -> list[str]:
 
 
 _LETTERS = byte_letters()
+_SPELLING = dict(enumerate(_LETTERS))
 
 
 def spelled(piece: str) -> str:
@@ -203,16 +204,14 @@ class PieceTable:
         return found
 
     def entries(self, low: np.ndarray, high: np.ndarray, spelled_out) -> np.ndarray:
-        """The entry of each key; ``spelled_out`` gives the piece of a place, for those that are new."""
+        """The entry of each key; ``spelled_out`` gives the pieces of some places, for those that are new."""
         if self.size > self.most_pieces or self.held > self.most_ids:
             self._make_room()
         found = self.find(low, high)
-        self.asked[found[found >= 0]] = True
         missing = np.flatnonzero(found < 0)
+        self.asked[found if not len(missing) else found[found >= 0]] = True
         if len(missing):
-            new = {}
-            for place in missing.tolist():
-                new.setdefault(spelled_out(place), place)
+            new = dict(zip(spelled_out(missing), missing.tolist()))
             parts = self.encode(new)
             places = np.fromiter(new.values(), np.int64, len(new))
             counts = np.fromiter(map(len, parts), np.int64, len(parts))
@@ -277,7 +276,8 @@ class WordTokenizer:
 
     def _encoded(self, pieces: Iterable[bytes]) -> list[list[int]]:
         tokenize = self.model.tokenize
-        return [[t.id for t in tokenize(spelled(piece.decode()))] for piece in pieces]
+        spelling = (p.decode() if p.isalpha() else p.decode("latin-1").translate(_SPELLING) for p in pieces)
+        return [[t.id for t in tokenize(piece)] for piece in spelling]
 
     def ids(self, text: str | None) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit numbers."""
@@ -335,16 +335,17 @@ class WordTokenizer:
         long = np.flatnonzero(lengths > MOST_BYTES)
         # Any short piece stands in for a long one, whose ids are put into its place.
         low[long], high[long] = words[0] & _MASKS[1], np.uint64(1 << 56)
-        spell = dict.fromkeys(long.tolist(), b" ")
-        bounds = starts.tolist(), ends.tolist()
 
-        def spelled_out(place: int) -> bytes:
-            return spell.get(place) or raw[bounds[0][place] : bounds[1][place]]
+        def cut(some: np.ndarray) -> list[bytes]:
+            return [raw[begin:end] for begin, end in zip(starts[some].tolist(), ends[some].tolist())]
+
+        def spelled_out(some: np.ndarray) -> list[bytes]:
+            return [b" " if len(piece) > MOST_BYTES else piece for piece in cut(some)]
 
         entries = self.table.entries(low, high, spelled_out)
         counts = self.table.counts[entries].astype(np.int64)
         first = self.table.first[entries].astype(np.int64)
-        given = [self.pieces[raw[bounds[0][place] : bounds[1][place]].decode()] for place in long.tolist()]
+        given = [self.pieces[piece.decode()] for piece in cut(long)]
         counts[long] = [len(ids) // 4 for ids in given]
         first[long] = 0
         at = np.concatenate(([0], np.cumsum(counts)))

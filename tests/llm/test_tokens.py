@@ -146,6 +146,42 @@ def test_neighbours_share_words():
     assert 2 not in packing.Index(tokens).neighbours(0, unused)
 
 
+def test_scores_are_bm25_whatever_documents_are_left():
+    random = np.random.default_rng(7)
+    documents = [np.minimum(random.zipf(1.3, random.integers(1, 60)), 400).astype("<u4") for _ in range(90)]
+    index, terms = packing.Index(documents), [dict(zip(*np.unique(d, return_counts=True))) for d in documents]
+    held = {t: sum(t in d for d in terms) for t in range(1, 401)}
+    mean = np.mean([len(d) for d in documents])
+
+    def score(seed, doc):
+        norm = packing.K1 * (1 - packing.B + packing.B * len(documents[doc]) / mean)
+        found = [(terms[doc][t], held[t]) for t in terms[seed] if t in terms[doc]]
+        return sum(n / (n + norm) * max(np.log((90 - h + 0.5) / (h + 0.5)), 0) for n, h in found)
+
+    unused = np.ones(90, bool)
+    assert len(index.dense) and len(index.docs)
+    for gone in (0, 30, 70):
+        unused[:gone] = False
+        index.without(unused)
+        assert set(index.docs) <= set(range(gone, 90)) and index.dense.shape[1] == 90 - gone
+        for seed in (0, gone, 89):
+            left = np.flatnonzero(unused)
+            assert index.scores(seed, 90)[left] == pytest.approx([score(seed, d) for d in left], rel=1e-5, abs=1e-6)
+            assert sorted(index.neighbours(seed, unused)) == left.tolist()
+
+
+def test_distinct_terms_of_many_documents(monkeypatch):
+    monkeypatch.setattr(packing, "AT_ONCE", 50)
+    random = np.random.default_rng(8)
+    documents = [random.integers(0, 30, random.integers(1, 80)).astype("<u2") for _ in range(40)]
+    found = [
+        (terms[a:b].tolist(), times[a:b].tolist())
+        for terms, times, bounds in packing.distinct(documents)
+        for a, b in zip(bounds[:-1], bounds[1:])
+    ]
+    assert found == [tuple(x.tolist() for x in np.unique(d, return_counts=True)) for d in documents]
+
+
 def test_corpus_statistics_weigh_the_terms_of_a_shard():
     tokens = [np.array(ids, "<u4") for ids in ([1, 2], [1, 3], [2, 4], [5, 6])]
     unused = np.array([False, True, True, True])
