@@ -70,26 +70,24 @@ facts AS (
 def shipped(spark: SparkSession, folder: str) -> DataFrame:
     """Quantity per series and month, whether the series is in the first extract, and one row of each marked.
 
-    Lines are dealt by series once, for the sums and for what is told of a series. Names are made by
-    those who read the rows.
+    Lines are dealt by series once, for the sums and for what is told of a series; the month, counted from
+    year 0, is one number. Names are made by those who read the rows.
     """
     lines = table(spark, folder, "lineitem").selectExpr(
         "l_partkey",
         "l_suppkey",
-        "CAST(year(l_shipdate) AS BIGINT) AS year",
-        "month(l_shipdate) AS month",
+        "year(l_shipdate) * 12 + month(l_shipdate) - 1 AS month",
         "l_quantity",
-        "l_returnflag != 'N' AS finished",
+        f"l_returnflag != 'N' AND year(l_shipdate) <= {LAST_FIRST_YEAR} AS early",
     )
-    monthly = lines.repartition("l_partkey", "l_suppkey").groupBy("l_partkey", "l_suppkey", "year", "month").agg(
-        F.sum("l_quantity").alias("value"), F.bool_or("finished").alias("finished")
+    monthly = lines.repartition("l_partkey", "l_suppkey").groupBy("l_partkey", "l_suppkey", "month").agg(
+        F.sum("l_quantity").alias("value"), F.bool_or("early").alias("early")
     )
-    series = Window.partitionBy("l_partkey", "l_suppkey").orderBy("year", "month")
+    series = Window.partitionBy("l_partkey", "l_suppkey").orderBy("month")
     whole = series.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    early = F.col("finished") & (F.col("year") <= LAST_FIRST_YEAR)
-    return monthly.withColumn("early", F.bool_or(early).over(whole)).withColumn(
+    return monthly.withColumn("early", F.bool_or("early").over(whole)).withColumn(
         "first", F.row_number().over(series) == 1
-    ).drop("finished")
+    )
 
 
 def named(shipments: DataFrame) -> DataFrame:
@@ -98,8 +96,8 @@ def named(shipments: DataFrame) -> DataFrame:
         "concat('S', l_partkey, '-', l_suppkey) AS series_id",
         "concat('A', l_suppkey) AS area_code",
         "concat('I', l_partkey) AS item_code",
-        "year",
-        "concat('M', lpad(CAST(month AS STRING), 2, '0')) AS period",
+        "CAST(month DIV 12 AS BIGINT) AS year",
+        "concat('M', lpad(CAST(month % 12 + 1 AS STRING), 2, '0')) AS period",
         "value",
         "early",
         "first",

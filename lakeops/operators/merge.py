@@ -55,10 +55,11 @@ def unique_in_folders(df: DataFrame, keys: Sequence[str], folders: Sequence[str]
     """``unique_keys`` of rows which will be written to folders by some of their key columns.
 
     Rows are dealt once, by folder and a share of the keys: equal keys meet, and a folder's rows lie in a
-    few tasks, so that neither the check nor the write needs a shuffle of its own.
+    few tasks, so that neither the check nor the write needs a shuffle of its own. The share is told again
+    behind the shuffle, not carried through it.
     """
-    share = F.pmod(F.xxhash64(*keys), F.lit(FILES_A_FOLDER)).alias("_share")
-    dealt = df.select("*", share).repartition(*folders, "_share")
+    share = F.pmod(F.xxhash64(*keys), F.lit(FILES_A_FOLDER))
+    dealt = df.repartition(*folders, share).withColumn("_share", share)
     return unique_keys(dealt, keys, [*folders, "_share"]).drop("_share")
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 # Tasks read or receive some 64 MB each. With so few folders their files are still megabytes.
 FEW_FOLDERS = 16
-CODEC = "zstd"
+# Strings of the second Parquet version are stored by what differs from the one before.
+STORED = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
 
 
 def spread(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
@@ -38,7 +39,7 @@ def few_folders(df: DataFrame, partition_by: Sequence[str]) -> bool:
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = spread(df, partition_by).write.mode("overwrite").option("compression", CODEC)
+    writer = spread(df, partition_by).write.mode("overwrite").options(**STORED)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
@@ -54,7 +55,7 @@ def overwrite_counted(
     seen = Observation()
     dealt = told_apart(df, partition_by) if gathered else spread(df, partition_by)
     observed = dealt.observe(seen, *[c.alias(name) for name, c in counts.items()])
-    writer = observed.write.mode("overwrite").option("compression", CODEC)
+    writer = observed.write.mode("overwrite").options(**STORED)
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return seen.get
 

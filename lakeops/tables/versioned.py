@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.operators import changes as feed_of
@@ -170,17 +170,35 @@ class VersionedTable:
 
     def _named(self, rows: DataFrame, state: State, folders: Iterable[str]) -> set[str]:
         """Those of some folders which the partition columns of the rows name."""
+        named = rows.select(self._folder_of(state).alias("folder")).distinct()
+        # Folder names have some letters of the values escaped.
+        known = [(folder, unquote(folder)) for folder in folders]
+        table = self.spark.createDataFrame(known, "escaped string, folder string")
+        return {hit["escaped"] for hit in table.join(named, "folder", "left_semi").collect()}
+
+    def _folder_of(self, state: State) -> Column:
+        """The partition folder of a row, without escaped letters; empty if there are no partition columns."""
         parts = [
             F.concat(
                 F.lit(f"{c}="), F.coalesce(F.col(c).cast(state.schema[c].dataType).cast("string"), F.lit(NO_VALUE))
             )
             for c in state.partition_by
         ]
-        named = rows.select(F.concat_ws("/", *parts).alias("folder")).distinct()
-        # Folder names have some letters of the values escaped.
-        known = [(folder, unquote(folder)) for folder in folders]
-        table = self.spark.createDataFrame(known, "escaped string, folder string")
-        return {hit["escaped"] for hit in table.join(named, "folder", "left_semi").collect()}
+        return F.concat_ws("/", *parts)
+
+    def _losses(self, gone: DataFrame, state: State, folders: set[str]) -> dict[str, bool]:
+        """Those of some folders from which rows go, and whether some of their rows stay.
+
+        The rows of the folders are counted, not read: Parquet files say how many they hold. One job, which
+        brings a row per folder to the driver.
+        """
+        one, none = F.lit(1).alias("gone"), F.lit(0).alias("gone")
+        folder = self._folder_of(state).alias("folder")
+        both = gone.select(folder, one).union(self._rows(state, only=folders).select(folder, none))
+        counted = both.groupBy("folder").agg(F.sum("gone").alias("gone"), F.count(F.lit(1)).alias("all"))
+        known = {unquote(name): name for name in folders}
+        hits = counted.where("gone > 0").collect()
+        return {known[hit["folder"]]: hit["all"] > 2 * hit["gone"] for hit in hits}
 
     def one_image_a_key(self, first_version: int, keys: Sequence[str]) -> bool:
         """Whether the feed from a version on is one commit of a table which loads keep unique by the keys.
@@ -417,11 +435,15 @@ class VersionedTable:
         touched = self._folders(target, state.partition_by)
         present = touched & state.folders.keys()
         losing = {folder for folder in present if len(state.older.get(folder, ())) >= MOST_ADDED - 1}
+        partly = set(losing)
         if counts["updated"] or counts["deleted"]:
-            losing |= self._named(gone, state, present) if state.partition_by else present
+            losses = self._losses(gone, state, present)
+            losing |= losses.keys()
+            # A folder from which all rows go is replaced; only in others are those which stay looked up.
+            partly = {folder for folder in losing if losses.get(folder, True)}
         rows = came.select(*state.schema.names)
-        if losing:
-            unchanged = self._rows(state, only=losing).join(gone.select(*keys), list(keys), "left_anti")
+        if partly:
+            unchanged = self._rows(state, only=partly).join(gone.select(*keys), list(keys), "left_anti")
             rows = unchanged.select(*state.schema.names).unionByName(rows)
         kept = {folder: v for folder, v in state.folders.items() if folder not in losing}
         older = {folder: versions for folder, versions in state.older.items() if folder not in losing}

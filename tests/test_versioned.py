@@ -209,3 +209,53 @@ def test_each_key_of_one_load_is_known_to_have_one_image(spark, table):
     assert table.one_image_a_key(1, ["k"]) and not table.one_image_a_key(0, ["k"])
     table.merge(frame(spark, (1, "a", 3.0)), ["k"], T2)
     assert not table.one_image_a_key(2, ["k"])
+
+
+def test_only_folders_which_keep_rows_are_searched_for_them(spark, table, rows, monkeypatch):
+    gone = {}
+    losses = VersionedTable._losses
+    monkeypatch.setattr(
+        VersionedTable, "_losses", lambda *given: gone.update(losses(*given)) or losses(*given)
+    )
+    first = spark.createDataFrame(
+        [(1, "a", 1), (2, "a", 1), (3, "b", 1), (4, "b", 1), (5, "c", 1), (6, "d/1", 1)], "k int, part string, v int"
+    )
+    table.sync(first, ["k", "part"], partition_by=["part"])
+    # All of a is raised, one row of b, none of c; d/1 goes.
+    second = spark.createDataFrame([(1, "a", 2), (2, "a", 2), (3, "b", 2), (4, "b", 1), (5, "c", 1)], first.schema)
+    table.sync(second, ["k", "part"])
+    assert gone == {"part=a": False, "part=b": True, "part=d%2F1": False}
+    assert rows(table.read(), "k", "v", "is_deleted") == [
+        (1, 2, False), (2, 2, False), (3, 2, False), (4, 1, False), (5, 1, False), (6, 1, True)
+    ]
+
+
+def test_a_table_without_folders_is_searched_if_rows_stay(spark, table, rows):
+    first = spark.createDataFrame([(1, 1), (2, 1)], "k int, v int")
+    table.sync(first, ["k"])
+    table.sync(spark.createDataFrame([(1, 2), (2, 1)], first.schema), ["k"])
+    assert rows(table.read(), "k", "v") == [(1, 2), (2, 1)]
+    table.sync(spark.createDataFrame([(1, 3), (2, 3)], first.schema), ["k"])
+    assert rows(table.read(), "k", "v") == [(1, 3), (2, 3)]
+
+
+def test_stored_rows_keep_all_types_in_the_second_parquet_version(spark, path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from lakeops.sources.writers import overwrite
+
+    many = spark.range(0, 60_000, 1, 1).selectExpr(
+        "id", "concat('S', id, '-', id % 7) AS name", "CAST(id AS INT) AS i", "CAST(id % 100 AS TINYINT) AS b",
+        "CAST(id AS DECIMAL(9, 2)) AS d9", "CAST(id AS DECIMAL(38, 4)) AS d38", "id / 7 AS x", "id % 3 = 0 AS flag",
+        "CAST(CAST(id AS STRING) AS BINARY) AS raw", "timestamp_seconds(id) AS ts", "date_add(DATE'2020-01-01', CAST(id AS INT)) AS day",
+        "IF(id % 5 = 0, NULL, array(id, -id)) AS numbers", "named_struct('a', id, 'b', concat('x', id)) AS pair",
+    )
+    overwrite(many, path)
+    back = spark.read.parquet(path)
+    assert back.dtypes == many.dtypes
+    assert back.exceptAll(many).isEmpty() and many.exceptAll(back).isEmpty()
+    file = pq.ParquetFile(glob.glob(f"{path.removeprefix('file:')}/*.parquet")[0])
+    found = {e for c in range(file.metadata.num_columns) for e in file.metadata.row_group(0).column(c).encodings}
+    assert "DELTA_BYTE_ARRAY" in found and "PLAIN_DICTIONARY" not in found
