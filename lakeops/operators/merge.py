@@ -34,17 +34,33 @@ def unique_keys(df: DataFrame, keys: Sequence[str], dealt_by: Sequence[str] = ()
     anyway, so the check adds no shuffle and no sort to it.
     """
     copies = F.count(F.lit(1)).over(Window.partitionBy(*dealt_by, *[k for k in keys if k not in dealt_by]))
-    missing = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
     named = ", ".join(keys)
-    named_key = F.when(missing, F.raise_error(F.lit(f"NULL in merge key ({named})")).cast("boolean")).otherwise(
-        F.lit(True)
-    )
     fine = F.when(
         F.col("_copies") > 1,
         F.raise_error(F.lit(f"several source rows for one merge key ({named})")).cast("boolean"),
     ).otherwise(F.lit(True))
     # Rows without key fail ahead of the window, so they never gather in one of its tasks.
-    return df.where(named_key).withColumn("_copies", copies).where(fine).drop("_copies")
+    return complete_keys(df, keys).withColumn("_copies", copies).where(fine).drop("_copies")
+
+
+def complete_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The same rows; the job fails when a key is NULL."""
+    missing = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+    error = F.raise_error(F.lit(f"NULL in merge key ({', '.join(keys)})")).cast("boolean")
+    return df.where(F.when(missing, error).otherwise(F.lit(True)))
+
+
+def check_unique(stored: DataFrame, keys: Sequence[str]) -> None:
+    """Fails as ``unique_keys`` does, for rows which are stored and may be read again.
+
+    Only a hash of each key is shuffled. Keys that share one are compared as they are.
+    """
+    hashed = F.xxhash64(*keys).alias("_hash")
+    hashes = stored.select(hashed).repartition("_hash").groupBy("_hash").count()
+    shared = hashes.where("count > 1").select("_hash")
+    if shared.count():
+        suspects = stored.select(*keys, hashed).join(shared, "_hash", "left_semi").select(*keys)
+        unique_keys(suspects, keys).count()
 
 
 # Tasks of a shuffle that write into the same folder, at most, when rows are dealt by folder and key.
@@ -175,12 +191,15 @@ def sync_pairs(
     keys: Sequence[str],
     flag: str = DELETED,
     null_safe: bool = True,
+    grouped: bool = False,
 ) -> DataFrame:
     """Pairs that bring the target in line with a full extract.
 
     New keys are inserted, changed rows updated, active rows missing in the source marked deleted,
-    and a deleted key which returns becomes active again, because its mark differs.
+    and a deleted key which returns becomes active again, because its mark differs. A source ``grouped``
+    by the keys holds each once; only NULL is looked for.
     """
+    source = complete_keys(source, keys) if grouped else source
     source = source.withColumn(flag, F.lit(False))
     if set(source.columns) != set(target.columns):
         different = sorted(set(source.columns) ^ set(target.columns))
@@ -200,7 +219,7 @@ def sync_pairs(
         .when(F.col("action") == SOFT_DELETE, marked)
         .otherwise(F.col("t"))
     )
-    joined = _joined(target, source, keys, whole_target=True, check_keys=True)
+    joined = _joined(target, source, keys, whole_target=True, check_keys=not grouped)
     pairs = joined.withColumn("action", action)
     return pairs.select("t", "action", after.alias("after"))
 

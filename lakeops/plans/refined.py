@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeops.plans.jobs import run_tables
 from lakeops.sources.files import read_table
+from lakeops.sources.writers import few_folders
 from lakeops.tables.versioned import VersionedTable
 
 
@@ -40,11 +41,14 @@ def load_refined(
     """Load one table; returns the new version, or None if nothing changed."""
     source = read_table(spark, f"{raw_root}/{config.name}", config.selected(), raw_format)
     table = VersionedTable(spark, f"{refined_root}/{config.name}")
+    # The extract is stored, so its folders can be counted ahead of the first load.
+    few = not table.exists() and (not config.partition_by or few_folders(source, config.partition_by))
     return table.sync(
         source,
         list(config.keys),
         committed_at=committed_at,
         partition_by=config.partition_by,
+        gathered=few,
         null_safe=null_safe,
     )
 

@@ -25,7 +25,15 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from lakeops.operators import changes as feed_of
-from lakeops.operators.merge import DELETED, merge_pairs, sync_pairs, unique_in_folders, unique_keys
+from lakeops.operators.merge import (
+    DELETED,
+    check_unique,
+    complete_keys,
+    merge_pairs,
+    sync_pairs,
+    unique_in_folders,
+    unique_keys,
+)
 from lakeops.sources.files import folder_times, matching_folders
 from lakeops.sources.writers import FEW_FOLDERS, overwrite_counted
 
@@ -292,8 +300,12 @@ class VersionedTable:
         keys: Sequence[str] = (),
         older: Mapping[str, list[int]] | None = None,
         gathered: bool = False,
+        check: bool = False,
     ) -> int:
-        """Write rows and the commit; ``kept`` are the folders which stay as they are."""
+        """Write rows and the commit; ``kept`` are the folders which stay as they are.
+
+        With ``check`` a key which occurs twice in the rows written fails ahead of the commit.
+        """
         target = f"{self.path}/rows/_version={version}"
         count = overwrite_counted(rows, target, partition_by, gathered, rows=F.count(F.lit(1)))["rows"]
         if operation in _WHOLE:
@@ -302,6 +314,8 @@ class VersionedTable:
         folders = {**kept, **{folder: version for folder in written}}
         state = State(version, committed_at, rows.schema, list(partition_by), folders, dict(properties))
         state.older, state.keys = dict(older or {}), list(keys)
+        if check:
+            check_unique(self._rows(state, only=written), keys)
         return self._write_commit(state, operation, counts)
 
     def _write_commit(self, state: State, operation: str, counts: Mapping[str, int]) -> int:
@@ -350,12 +364,14 @@ class VersionedTable:
         """Version 0; ``gathered`` rows are not shuffled by partition before they are written."""
         return self._create(rows, partition_by, committed_at, properties, gathered=gathered)
 
-    def _create(self, rows, partition_by, committed_at, properties=None, keys=(), gathered=False) -> int:
+    def _create(
+        self, rows, partition_by, committed_at, properties=None, keys=(), gathered=False, check=False
+    ) -> int:
         if self.find_state() is not None:
             raise ValueError(f"table {self.path} exists already")
         when = self._commit_time(committed_at, None)
         return self._write_rows(
-            rows, 0, partition_by, CREATE, when, {}, {}, properties or {}, keys, gathered=gathered
+            rows, 0, partition_by, CREATE, when, {}, {}, properties or {}, keys, gathered=gathered, check=check
         )
 
     def overwrite(
@@ -474,15 +490,24 @@ class VersionedTable:
         keys: Sequence[str],
         committed_at: datetime | None = None,
         partition_by: Sequence[str] = (),
+        grouped: bool = False,
+        gathered: bool = False,
         **options,
     ) -> int | None:
-        """Bring the table in line with a full extract; the first load creates it."""
+        """Bring the table in line with a full extract; the first load creates it.
+
+        A source ``grouped`` by the keys holds each once. The first load writes ``gathered`` rows as they lie
+        in tasks, and looks for repeated keys in what it has written: whole rows are not shuffled.
+        """
         state = self.find_state()
+        if state is None and (grouped or gathered):
+            rows = complete_keys(source, keys).withColumn(options.get("flag", DELETED), F.lit(False))
+            return self._create(rows, partition_by, committed_at, keys=keys, gathered=gathered, check=not grouped)
         if state is None:
             dealt = bool(partition_by) and set(partition_by) <= set(keys)
             checked = unique_in_folders(source, keys, partition_by) if dealt else unique_keys(source, keys)
             rows = checked.withColumn(options.get("flag", DELETED), F.lit(False))
             return self._create(rows, partition_by, committed_at, keys=keys, gathered=dealt)
-        pairs = sync_pairs(self._rows(state), source, keys, **options)
+        pairs = sync_pairs(self._rows(state), source, keys, grouped=grouped, **options)
         return self.commit(pairs, keys, SYNC, committed_at, state=state)
 

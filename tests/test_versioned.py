@@ -259,3 +259,48 @@ def test_stored_rows_keep_all_types_in_the_second_parquet_version(spark, path):
     file = pq.ParquetFile(glob.glob(f"{path.removeprefix('file:')}/*.parquet")[0])
     found = {e for c in range(file.metadata.num_columns) for e in file.metadata.row_group(0).column(c).encodings}
     assert "DELTA_BYTE_ARRAY" in found and "PLAIN_DICTIONARY" not in found
+
+
+@pytest.mark.parametrize("keys, message", [([1, 2, 1], "several source rows"), ([1, None], "NULL in merge key")])
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_keys_of_a_gathered_first_load_are_checked(spark, table, rows, keys, message, partition_by):
+    def source(keys):
+        return spark.createDataFrame([(k, "a", 1.0) for k in keys], SCHEMA)
+
+    with pytest.raises(Exception, match=message):
+        table.sync(source(keys), ["k", "part"], partition_by=partition_by, gathered=True)
+    assert not table.exists()
+    # The same table can be loaded then; what the failed load has left is no part of it.
+    table.sync(source([1, 2]), ["k", "part"], partition_by=partition_by, gathered=True)
+    assert rows(table.read(), "k", "is_deleted") == [(1, False), (2, False)]
+
+
+def test_keys_which_share_a_hash_are_compared_as_they_are(spark, monkeypatch):
+    from lakeops.operators import merge
+
+    monkeypatch.setattr(merge.F, "xxhash64", lambda *columns: F.lit(7).cast("long"))
+    merge.check_unique(spark.createDataFrame([(1,), (2,)], "k int"), ["k"])
+    with pytest.raises(Exception, match="several source rows"):
+        merge.check_unique(spark.createDataFrame([(1,), (2,), (2,)], "k int"), ["k"])
+
+
+def test_a_gathered_first_load_shuffles_hashes_only(spark, table, monkeypatch):
+    dealt = []
+    repartition = type(spark.range(1)).repartition
+    monkeypatch.setattr(
+        type(spark.range(1)), "repartition", lambda df, *given: dealt.append(df.columns) or repartition(df, *given)
+    )
+    source = spark.createDataFrame([(1, "a", 1.0), (2, "b", 1.0)], SCHEMA)
+    table.sync(source, ["k", "part"], partition_by=["part"], gathered=True)
+    assert dealt == [["_hash"]]
+
+
+def test_a_grouped_source_is_not_searched_for_repeated_keys(spark, table, rows):
+    for value in (1, 2):
+        grouped = spark.range(6).selectExpr("CAST(id % 3 AS INT) AS k", "'a' AS part", f"{value} AS v")
+        grouped = grouped.groupBy("k", "part").agg(F.expr("CAST(sum(v) AS DOUBLE) AS v"))
+        table.sync(grouped, ["k", "part"], partition_by=["part"], grouped=True, gathered=True)
+    assert rows(table.read(), "k", "v") == [(0, 4.0), (1, 4.0), (2, 4.0)]
+    missing = spark.createDataFrame([(None, "a", 1.0)], SCHEMA)
+    with pytest.raises(Exception, match="NULL in merge key"):
+        table.sync(missing, ["k", "part"], grouped=True)
