@@ -19,7 +19,7 @@ from lakeops.plans import star
 from lakeops.plans.jobs import run_tables
 from lakeops.plans.refined import RefinedTable, load_all_refined
 from lakeops.session import scratch_path, written
-from lakeops.sources.writers import overwrite
+from lakeops.sources.writers import few_folders, overwrite
 from lakeops.tables import catalog
 from lakeops.tables.versioned import VersionedTable
 
@@ -306,8 +306,11 @@ def fact_load(spark: SparkSession, folder: str) -> DataFrame:
             "length(c_mktsegment) AS dim_item_id", "c_mktsegment AS item_code"
         ).distinct(),
     }
+    years = table(spark, folder, "orders").selectExpr("year(o_orderdate) AS year")
+    few = few_folders(years, ["year"])
     for second, when in ((False, FIRST), (True, SECOND)):
-        source.sync(readings(spark, folder, second), star.READING_KEY, when, ["year"])
+        extract = readings(spark, folder, second)
+        source.sync(extract, star.READING_KEY, when, ["year"], grouped=True, gathered=few)
         star.load_fact(source, dimensions, fact, when, ["year"])
     view = f"fact_{uuid.uuid4().hex}"
     catalog.view(fact, view)
