@@ -2,13 +2,14 @@
 
 1. Each text becomes its set of n-gram hashes, in ascending order: one global order. Sets are
    digested; equal sets are one class from here on.
-2. A fixed bitmap tells which members may occur in several sets. A set with more than n - ceil(t n)
-   members of its own links with nothing and is left out here.
-3. Sets of sizes a and b with Jaccard of at least 0.8 differ in at most (a + b) / 9 members. Between
-   the members they share, that many gaps are broken, so one of the next two in order is unbroken:
-   two shared members follow each other in both sets, within the first 0.4 n + 3 members of each.
-   Classes with such a pair in common are joined into candidate components, a superset of the true
-   ones, found from one edge per pair and class. Small sets use single members.
+2. Sets of sizes a and b with Jaccard of at least 0.8 differ in at most (a + b) / 9 members. Between
+   the members they share, that many gaps are broken. So of the pairs of members that follow each
+   other in both sets, one lies within the first 0.4 n + 3 members of each, and ``spare`` of them if
+   ``spare`` members more are taken: n / 10 for sets of n members. Small sets use single members too.
+3. These keys meet in packed, sorted runs, once for each class and without texts. A key of up to
+   FEW classes counts for each pair of them, a more frequent one for each of its classes. Classes that
+   cannot reach ``spare`` common keys are no candidates; the others are joined into candidate
+   components, a superset of the true ones.
 4. The sets of a candidate component meet in one task, several small components together. One that
    is too large for a task is dealt over blocks, and each pair of blocks meets in a task.
 5. There, sets are put into a prefix tree in order of size. Each one is first looked up: the walk
@@ -27,25 +28,25 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lakeops.llm.common import components, mixed, shingle_set
-from lakeops.session import written
+from lakeops.session import scratch, written
 
-RANGES, RANGE_BITS = 256, 20  # the bitmap has 2**28 bits
-SMALL, LARGER = 8, 10  # a partner of a set of up to 8 members has up to 10
+LARGER = 10  # a partner of a set of up to 8 members, which may share no pair, has up to 10
 TASK_DOCS = 1_500
+FEW = 16
+BUCKETS_BITS = 12  # keys are cut to these bits and 32 more, which costs some candidates only
+GROUP_KEYS = 500_000
+MOST_HELD = 4_000_000
+FILTER_BITS = 25
 
 
 def _digest(members: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(members.tobytes())
 
 
-def _node(digest: bytes) -> int:
-    """A digest's number among candidates, where two digests of one number do no harm."""
-    return int.from_bytes(digest[:8], "little", signed=True)
-
-
 def prefix_length(size: int, percent: int) -> int:
     return size - -(-percent * size // 100) + 1
 
@@ -160,175 +161,259 @@ def linked(sets: list[np.ndarray], percent: int, every: bool = False) -> list[tu
     return links
 
 
-class Occupied:
-    """Which places of the bitmap hold a member of a set, and which hold members of several sets."""
-
-    def __init__(self):
-        self.once = np.zeros(RANGES << (RANGE_BITS - 3), np.uint8)
-        self.again = np.zeros_like(self.once)
-
-    def add(self, sets: list[np.ndarray]) -> None:
-        if not sets:
-            return
-        places = np.sort(_places(np.concatenate(sets)))
-        repeated = places[1:][places[1:] == places[:-1]]
-        for target, chosen in ((self.again, repeated), (None, places)):
-            if not len(chosen):
-                continue
-            octets = chosen >> 3
-            firsts = np.flatnonzero(np.concatenate(([True], octets[1:] != octets[:-1])))
-            bits = np.bitwise_or.reduceat(np.uint8(1) << (chosen & 7).astype(np.uint8), firsts)
-            at = octets[firsts]
-            if target is None:
-                self.again[at] |= self.once[at] & bits
-                self.once[at] |= bits
-            else:
-                target[at] |= bits
-
-    def ranges(self) -> Iterator[tuple[int, bytes, bytes]]:
-        for number, (once, again) in enumerate(zip(np.split(self.once, RANGES), np.split(self.again, RANGES))):
-            yield number, zlib.compress(once.tobytes(), 1), zlib.compress(again.tobytes(), 1)
-
-
-def _places(members: np.ndarray) -> np.ndarray:
-    """A member's place in the bitmap; consecutive members are far apart."""
-    return (mixed(members) >> np.uint64(36)).astype(np.uint32)
-
-
-def _class_table(docs: DataFrame, size: int) -> DataFrame:
-    """A row for each document: its set's size, node and digest. Rows without ``n`` hold the ranges
-    of the bitmaps of a task, over its different sets."""
-
-    names = ["doc_id", "text_hash", "n", "node", "digest", "range", "once", "again"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
-
-    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        occupied, seen = Occupied(), set()
-        for batch in batches:
-            sets = [shingle_set(text, size) for text in batch.column("text").to_pylist()]
-            digests = [_digest(s) for s in sets]
-            if len(seen) > 200_000:
-                seen.clear()
-            new = {d: s for d, s in zip(digests, sets) if len(s) and d not in seen}
-            seen.update(new)
-            occupied.add(list(new.values()))
-            own = [
-                batch.column("doc_id"),
-                batch.column("text_hash"),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([_node(d) for d in digests], pa.int64()),
-                pa.array(digests, pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(own + [pa.nulls(len(sets), k) for k in kinds[5:]], names=names)
-        columns = [pa.array(c, k) for c, k in zip(zip(*occupied.ranges()), kinds[5:])]
-        yield pa.RecordBatch.from_arrays([pa.nulls(RANGES, k) for k in kinds[:5]] + columns, names=names)
-
-    schema = (
-        "doc_id long, text_hash long, n long, node long, digest binary, range long, once binary, again binary"
-    )
-    return written(docs.mapInArrow(digested, schema), "ngram-classes")
-
-
-def _shared_places(table: DataFrame) -> np.ndarray:
-    """The bitmap of places with members of several sets, of a fixed size for any corpus.
+def spare(size: int, percent: int) -> int:
+    """So many keys at least do two sets that link have in common, if neither is smaller than ``size``."""
+    return max(1, size // 10) if percent >= 80 else 1
 
-    A place that is taken by chance keeps a set in the search and costs time only.
-    """
 
-    def combined(frame: pd.DataFrame) -> pd.DataFrame:
-        once = np.zeros(1 << (RANGE_BITS - 3), np.uint8)
-        again = np.zeros_like(once)
-        for one, more in zip(frame["once"], frame["again"]):
-            new = np.frombuffer(zlib.decompress(one), np.uint8)
-            again |= np.frombuffer(zlib.decompress(more), np.uint8) | (once & new)
-            once |= new
-        packed = [zlib.compress(x.tobytes(), 1) for x in (once, again)]
-        return pd.DataFrame({"range": frame["range"][:1], "part": [0], "once": packed[:1], "again": packed[1:]})
-
-    schema = "range long, part long, once binary, again binary"
-    parts = table.filter("n IS NULL").select("range", F.pmod(F.hash("once"), F.lit(16)).cast("long").alias("part"), "once", "again")
-    some = parts.groupBy("range", "part").applyInPandas(combined, schema)
-    rows = some.groupBy("range").applyInPandas(combined, schema).select("range", "again").collect()
-    result = np.zeros((RANGES, 1 << (RANGE_BITS - 3)), np.uint8)
-    for row in rows:
-        result[row["range"]] = np.frombuffer(zlib.decompress(row["again"]), np.uint8)
-    return result.ravel()
-
-
-def search_keys(members: np.ndarray, shared: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of which two sets that link have one in common at least; none for a set that cannot link.
-
-    ``shared`` marks the members that other sets may hold. The others are members of this set only,
-    so they are no part of an overlap, and fewer of the shared ones can be missing elsewhere.
-    """
-    size, alone = len(members), int(np.count_nonzero(~shared))
-    missing = prefix_length(size, percent) - 1  # so many members of its own at most
-    if alone > missing:
-        return members[:0]
-    left = members[shared]
+def search_keys(members: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of which two sets that link have ``spare`` of the smaller one in common at least."""
+    size = len(members)
+    missing = prefix_length(size, percent) - 1
     # With x members missing in the other set and y of its own, x + y gaps are broken, and x members
-    # may lie between: a pair ends within 2 x + y + 2 members, and 2 x + y exceeds twice the most
-    # that can be missing by one at most.
-    reach = 2 * (missing - alone) + 3
+    # may lie between: ``spare`` pairs end within 2 x + y + 1 + spare members, and 2 x + y exceeds twice
+    # the most that can be missing by one at most.
+    reach = 2 * missing + 2 + spare(size, percent)
     with np.errstate(over="ignore"):
-        keys = mixed(left[: min(reach, len(left)) - 1] * np.uint64(3)) + left[1:reach] if len(left) > 1 else left[:0]
+        keys = mixed(members[: min(reach, size) - 1] * np.uint64(3)) + members[1:reach] if size > 1 else members[:0]
         if size <= LARGER:
-            keys = np.concatenate((keys, mixed(left[: missing - alone + 1] + np.uint64(1))))
+            keys = np.concatenate((keys, mixed(members[: missing + 1] + np.uint64(1))))
         return mixed(keys)
 
 
-def _candidate_components(docs: DataFrame, size: int, percent: int, places: np.ndarray) -> DataFrame:
-    """``node`` and ``component`` of the classes that share a key with another one."""
-    held = docs.sparkSession.sparkContext.broadcast(places)
+def pack_keys(keys: list[np.ndarray], rows: list[int]) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, number of keys, packed keys and rows) of the leading bits of each row's keys."""
+    numbers = np.repeat(np.array(rows, np.uint32), [len(k) for k in keys])
+    values = np.concatenate(keys) >> np.uint64(32 - BUCKETS_BITS)
+    order = np.argsort(values)
+    values, numbers = values[order], numbers[order]
+    buckets = (values >> np.uint64(32)).astype(np.int64)
+    low = values.astype(np.uint32)
+    firsts = np.flatnonzero(np.concatenate(([True], buckets[1:] != buckets[:-1])))
+    steps = np.diff(low, prepend=np.uint32(0))
+    steps[firsts] = low[firsts]
+    for first, end in zip(firsts.tolist(), [*firsts[1:].tolist(), len(values)]):
+        # Bytes of one weight lie together: the upper ones of small steps and rows are mostly zero.
+        both = np.stack((steps[first:end], numbers[first:end]))
+        planes = np.ascontiguousarray(both.view(np.uint8).reshape(2, -1, 4).transpose(0, 2, 1))
+        yield int(buckets[first]), end - first, zlib.compress(planes.tobytes(), 1)
+
+
+def unpack_keys(count: int, packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The lower 32 bits of the keys of a bucket, and their rows."""
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(2, 4, count)
+    steps, numbers = np.ascontiguousarray(planes.transpose(0, 2, 1)).view(np.uint32)[:, :, 0]
+    return np.cumsum(steps, dtype=np.uint32), numbers
+
+
+def _key_table(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """A row for each document: its set's size and digest, and a number ``row`` if its keys are here.
+
+    Each task leaves the keys of a set once. Rows without ``n`` hold them, packed by bucket: the keys of
+    rows ``base`` + i.
+    """
+    names = ["doc_id", "text_hash", "n", "digest", "row", "bucket", "base", "count", "packed"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, given, held, seen = TaskContext.get().partitionId() << 32, 0, 0, set()
+        keys, rows = [], []
+
+        def packed() -> pa.RecordBatch:
+            found = list(pack_keys(keys, rows)) if keys else []
+            columns = [[b for b, _, _ in found], [base] * len(found), [c for _, c, _ in found], [p for _, _, p in found]]
+            own = [pa.array(c, k) for c, k in zip(columns, kinds[5:])]
+            return pa.RecordBatch.from_arrays([pa.nulls(len(found), k) for k in kinds[:5]] + own, names=names)
+
         for batch in batches:
-            found = {}
+            counts, digests, numbers = [], [], []
             for text in batch.column("text").to_pylist():
                 members = shingle_set(text, size)
-                if not len(members):
-                    continue
-                node = _node(_digest(members))
-                if node in found:
-                    continue
-                at = _places(members)
-                shared = (held.value[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
-                keys = search_keys(members, shared, percent)
-                if len(keys):
-                    found[node] = keys.view(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.list_(pa.int64()))],
-                names=["node", "keys"],
-            )
-
-    stored = written(docs.select("text").mapInArrow(keyed, "node long, keys array<long>"), "ngram-keys")
-    postings = stored.select("node", F.explode("keys").alias("key"))
-    leaders = written(
-        postings.groupBy("key")
-        .agg(F.min("node").alias("leader"), F.max("node").alias("__last"))
-        .filter(F.col("leader") != F.col("__last"))
-        .select("key", "leader"),
-        "ngram-leaders",
-    )
-    edges = postings.join(leaders, "key").filter(F.col("node") != F.col("leader"))
-    return components(edges.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), "ngram-candidates")
+                digest, number = _digest(members), None
+                if len(members) and digest not in seen:
+                    if len(seen) > 200_000:
+                        seen.clear()
+                    seen.add(digest)
+                    keys.append(search_keys(members, percent))
+                    rows.append(given)
+                    number, given, held = base + given, given + 1, held + len(keys[-1])
+                counts.append(len(members))
+                digests.append(digest)
+                numbers.append(number)
+                if held > MOST_HELD:
+                    yield packed()
+                    keys.clear()
+                    rows.clear()
+                    held = 0
+            own = [batch.column("doc_id"), batch.column("text_hash")]
+            own += [pa.array(c, k) for c, k in zip((counts, digests, numbers), kinds[2:])]
+            yield pa.RecordBatch.from_arrays(own + [pa.nulls(len(counts), k) for k in kinds[5:]], names=names)
+        yield packed()
+
+    schema = "doc_id long, text_hash long, n long, digest binary, row long, bucket long, base long, count long, packed binary"
+    return written(docs.mapInArrow(keyed, schema), "ngram-keys")
+
+
+def _repeated_rows(classes: DataFrame) -> dict[int, np.ndarray]:
+    """For each task a bitmap of its rows whose class has its keys in an earlier row: a bit a document."""
+
+    def packed(frame: pd.DataFrame) -> pd.DataFrame:
+        places = frame["row"].to_numpy() & 0xFFFFFFFF
+        bits = np.zeros(int(places.max()) + 1, bool)
+        bits[places] = True
+        return pd.DataFrame({"task": frame["task"][:1], "bits": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
+
+    rows = classes.filter("row IS NOT NULL").groupBy("digest").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    later = rows.filter(F.size("rows") > 1).select(F.explode(F.expr("slice(rows, 2, size(rows))")).alias("row"))
+    tasks = later.withColumn("task", F.shiftright("row", 32)).groupBy("task")
+    found = tasks.applyInPandas(packed, "task long, bits binary").collect()
+    return {r["task"]: np.unpackbits(np.frombuffer(zlib.decompress(r["bits"]), np.uint8)).astype(bool) for r in found}
+
+
+def common_keys(keys: np.ndarray, rows: np.ndarray, few: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``a``, ``b``, ``often``, ``hits``: keys that pairs of rows share, a < b.
+
+    A key of more than ``few`` rows gives each row a, the smallest row b and ``often`` instead.
+    """
+    order = np.lexsort((rows, keys))
+    keys, rows = keys[order], rows[order]
+    firsts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    holders = np.diff(np.append(firsts, len(keys)))
+    names, places = np.unique(rows, return_inverse=True)
+    places = places.astype(np.int64)
+    long = np.repeat(holders, holders) > few
+    ones, others = [], []
+    for count in range(2, few + 1):
+        runs = places[firsts[holders == count][:, None] + np.arange(count)]
+        for i in range(count):
+            for j in range(i + 1, count):
+                ones.append(runs[:, i])
+                others.append(runs[:, j])
+    result = []
+    stars = (places[long], np.repeat(places[firsts], holders)[long])
+    for often, (one, other) in enumerate(((np.concatenate(ones), np.concatenate(others)), stars)):
+        if not often:
+            one, other = one[one != other], other[one != other]
+        pairs, hits = np.unique(one * len(names) + other, return_counts=True)
+        a, b = np.divmod(pairs, max(1, len(names)))
+        result.append((names[a], names[b], np.full(len(pairs), bool(often)), hits))
+    return tuple(np.concatenate(x) for x in zip(*result))
+
+
+def _common_keys(table: DataFrame, repeated: dict[int, np.ndarray]) -> DataFrame:
+    """``a``, ``b``, ``often``, ``hits`` of ``common_keys`` over all rows but the repeated ones."""
+    spark = table.sparkSession
+    left_out = spark.sparkContext.broadcast(repeated)
+    packed = table.filter("n IS NULL").select("bucket", "base", "count", "packed")
+    total = packed.agg(F.sum("count")).first()[0] or 0
+    groups = min(1 << BUCKETS_BITS, max(256, total // GROUP_KEYS))
+
+    def shared(frame: pd.DataFrame) -> pd.DataFrame:
+        keys, rows = [], []
+        for bucket, base, count, packed in zip(frame["bucket"], frame["base"], frame["count"], frame["packed"]):
+            low, numbers = unpack_keys(count, packed)
+            bits = left_out.value.get(base >> 32)
+            if bits is not None:
+                known = numbers[numbers < len(bits)]
+                alone = np.ones(len(numbers), bool)
+                alone[numbers < len(bits)] = ~bits[known]
+                low, numbers = low[alone], numbers[alone]
+            keys.append(low.astype(np.int64) + (bucket << 32))
+            rows.append(numbers.astype(np.int64) + base)
+        found = common_keys(np.concatenate(keys), np.concatenate(rows), FEW)
+        return pd.DataFrame(dict(zip(("a", "b", "often", "hits"), found)))
+
+    group = F.expr(f"shiftright(bucket * {groups}, {BUCKETS_BITS})")
+    found = packed.groupBy(group).applyInPandas(shared, "a long, b long, often boolean, hits long")
+    return written(found.groupBy("a", "b", "often").agg(F.sum("hits").alias("hits")), "ngram-common")
+
+
+def _candidates(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id``, ``text_hash``, ``n``, ``digest``, ``row`` of each document; ``row`` and ``component`` of
+    the classes that have enough keys in common with others."""
+    with scratch(docs.sparkSession) as outer:
+        table = _key_table(docs, size, percent)
+        names = ["doc_id", "text_hash", "n", "digest", "row"]
+        classes = written(table.filter("n IS NOT NULL").select(*names), "ngram-classes", outer)
+        common = _common_keys(table, _repeated_rows(classes))
+        sizes = classes.filter("row IS NOT NULL").select("row", "n")
+        least = F.ceil(F.col("n") * percent / 100)
+        enough = F.greatest(F.lit(1), F.floor(least / 10)) if percent >= 80 else F.lit(1)
+        # Of its frequent keys a row may lose as many as leave one in common, if the other loses as many.
+        weakest = Window.partitionBy("a").orderBy("hits", "b").rowsBetween(Window.unboundedPreceding, 0)
+        stars = written(
+            common.filter("often")
+            .join(sizes.withColumnRenamed("row", "a"), "a")
+            .withColumn("__all", F.sum("hits").over(Window.partitionBy("a")))
+            .filter(F.col("__all") >= enough)
+            .withColumn("__lost", F.sum("hits").over(weakest))
+            .filter(F.col("__lost") > F.floor((enough - 1) / 2))
+            .select("a", "b"),
+            "ngram-frequent",
+        )
+        frequent = common.filter("often").groupBy("a").agg(F.sum("hits").alias("often"))
+        known = sizes.join(frequent.withColumnRenamed("a", "row"), "row", "left").select(
+            "row", "n", F.coalesce("often", F.lit(0)).alias("often")
+        )
+        pairs = (
+            common.filter("NOT often")
+            .select("a", "b", "hits")
+            .join(known.toDF("a", "__n", "__often"), "a")
+            .join(known.toDF("b", "__m", "__other"), "b")
+            .withColumns({"__less": F.least("__n", "__m"), "__more": F.greatest("__n", "__m")})
+            .filter(F.col("__less") * 100 >= F.col("__more") * percent)
+        )
+        needed = F.greatest(F.lit(1), F.floor(F.col("__less") / 10)) if percent >= 80 else F.lit(1)
+        pairs = written(
+            pairs.filter(F.col("hits") + F.least("__often", "__other") >= needed).select("a", "b"), "ngram-near"
+        )
+        # The smallest row of a frequent key may be none that can link: it joins others only.
+        linking = stars.select("a").union(pairs.select("a")).union(pairs.select("b")).distinct()
+        joined = components(stars.union(pairs), "ngram-candidates").withColumnRenamed("node", "row")
+        candidates = written(joined.join(linking.withColumnRenamed("a", "row"), "row"), "ngram-candidates", outer)
+    return classes, candidates
+
+
+def _among(chosen: DataFrame):
+    """A filter by ``text_hash`` that passes all texts of ``chosen`` and few others, of a fixed size."""
+    wide = 1 << (FILTER_BITS - 8)
+
+    def set_bits(frame: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(wide, bool)
+        bits[frame["place"].to_numpy() % wide] = True
+        return pd.DataFrame({"range": frame["range"][:1], "bits": [zlib.compress(np.packbits(bits).tobytes(), 1)]})
+
+    places = chosen.select(F.expr(f"pmod(text_hash, {1 << FILTER_BITS})").alias("place")).distinct()
+    ranges = places.withColumn("range", F.expr(f"place div {wide}")).groupBy("range")
+    result = np.zeros((1 << 8, wide // 8), np.uint8)
+    for row in ranges.applyInPandas(set_bits, "range long, bits binary").collect():
+        result[row["range"]] = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
+    held = chosen.sparkSession.sparkContext.broadcast(result.ravel())
+
+    @F.pandas_udf("boolean")
+    def among(hashes: pd.Series) -> pd.Series:
+        at = hashes.to_numpy() % (1 << FILTER_BITS)
+        return pd.Series((held.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
+
+    return among
 
 
 def _links(
     docs: DataFrame, classes: DataFrame, candidates: DataFrame, size: int, percent: int, every: bool = False
 ) -> DataFrame:
     """Links (a, b) between the digests of classes; some may come twice."""
+    sizes = candidates.groupBy("component").agg(F.count("row").alias("__size")).filter("__size > 1")
     sized = written(
-        candidates.join(candidates.groupBy("component").agg(F.count("node").alias("__size")), "component").select(
-            "node", "component", F.ceil(F.col("__size") / TASK_DOCS).alias("blocks")
+        candidates.join(sizes, "component").select(
+            "row", "component", F.ceil(F.col("__size") / TASK_DOCS).alias("blocks")
         ),
         "ngram-candidates",
     )
     tasks = sized.count() // TASK_DOCS + 1
-    block = F.pmod(F.xxhash64("node"), "blocks")
+    block = F.pmod(F.xxhash64("row"), "blocks")
     # A component of one block shares a task with others; else a class goes to each pair with its block.
     placed = sized.select(
-        "node",
+        "row",
         "component",
         F.explode(
             F.when(F.col("blocks") == 1, F.array(F.pmod(F.xxhash64("component"), F.lit(tasks)))).otherwise(
@@ -339,20 +424,18 @@ def _links(
             )
         ).alias("task"),
     )
-    one_each = classes.groupBy("digest").agg(
-        F.min_by(
-            F.struct("doc_id", "text_hash", "node"), F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")
-        ).alias("__chosen")
+    chosen = written(
+        classes.join(sized.select("row"), "row").select(
+            "row", "digest", F.col("doc_id").alias("__id"), "text_hash"
+        ),
+        "ngram-chosen",
+    )
+    # Only the texts of candidates travel.
+    some = docs.filter(_among(chosen)("text_hash"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
+    texts = some.join(chosen.withColumnRenamed("text_hash", "__hash").join(placed, "row"), same).select(
+        "task", "component", "digest", "text"
     )
-    chosen = one_each.select(
-        "digest",
-        F.col("__chosen.doc_id").alias("__id"),
-        F.col("__chosen.text_hash").alias("__hash"),
-        F.col("__chosen.node").alias("node"),
-    ).join(placed, "node")
-    texts = docs.join(
-        chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))
-    ).select("task", "component", "digest", "text")
 
     def joined(frame: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -371,9 +454,7 @@ def _labelled(docs: DataFrame, size: int, percent: int) -> DataFrame:
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "text_hash", F.xxhash64("text")
     )
-    table = _class_table(narrow, size)
-    classes = table.filter("n IS NOT NULL").select("doc_id", "text_hash", "n", "node", "digest")
-    candidates = _candidate_components(narrow, size, percent, _shared_places(table))
+    classes, candidates = _candidates(narrow, size, percent)
     links = _links(narrow, classes, candidates, size, percent)
     joined = components(links, "ngram").withColumnRenamed("node", "digest")
     smallest = classes.groupBy("digest").agg(F.min("doc_id").alias("__least")).join(joined, "digest")
@@ -419,9 +500,7 @@ def jaccard_links(docs: DataFrame, size: int = 5, percent: int = 80) -> tuple[Da
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "text_hash", F.xxhash64("text")
     )
-    table = _class_table(narrow, size)
-    classes = table.filter("n IS NOT NULL").select("doc_id", "text_hash", "n", "node", "digest")
-    candidates = _candidate_components(narrow, size, percent, _shared_places(table))
+    classes, candidates = _candidates(narrow, size, percent)
     found = _links(narrow, classes, candidates, size, percent, every=True)
     pairs = written(
         found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "ngram-pairs"

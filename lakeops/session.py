@@ -11,6 +11,7 @@ from contextvars import ContextVar
 from pyspark.sql import DataFrame, SparkSession
 
 _RELEASED: ContextVar[list[str] | None] = ContextVar("released", default=None)
+_INNERMOST: list[str] = []
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
@@ -53,15 +54,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[None]:
+def scratch(spark: SparkSession) -> Iterator[list[str] | None]:
     """What ``written`` stores within the block, in this thread, is deleted at its end.
 
-    For loads whose results are stored by then: nothing that is returned may read it.
+    For loads whose results are stored by then: nothing that is returned may read it. Gives the list of
+    the block around it, to which ``written`` is told to add what is needed for longer.
     """
     paths: list[str] = []
+    outer = _RELEASED.get()
     token = _RELEASED.set(paths)
     try:
-        yield
+        yield outer
     finally:
         _RELEASED.reset(token)
         for path in paths:
@@ -69,14 +72,15 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, released: list[str] | None = _INNERMOST) -> DataFrame:
     """The same rows, written once as Parquet to the shared folder and read from there.
 
     For a result which several steps use: it is computed once, a lost executor does not take it
-    along, and readers get its true size and only the columns they need.
+    along, and readers get its true size and only the columns they need. ``released`` is what ``scratch``
+    gave, for a result that is to outlive its block.
     """
     path = scratch_path(df.sparkSession, name)
-    paths = _RELEASED.get()
+    paths = _RELEASED.get() if released is _INNERMOST else released
     if paths is not None:
         paths.append(path)
     df.write.option("compression", "zstd").parquet(path)

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 
 import numpy as np
 import pytest
 
+from lakeops import session
 from lakeops.llm import common, lines, ngram_join, paragraphs
 
 from .conftest import sentence
@@ -301,3 +303,73 @@ def test_components_of_a_chain_and_a_star(spark):
     found = common.components(spark.createDataFrame(chain, "a long, b long"), "test").collect()
     assert {r.node: r.component for r in found} == {n: 0 if n < 100 else 100 for e in chain for n in e}
     assert common.components(spark.createDataFrame([], "a long, b long"), "test").count() == 0
+
+
+def test_linked_sets_have_spare_keys_in_common():
+    chance = np.random.default_rng(8)
+    for size in [*range(1, 40), 120, 500]:
+        for _ in range(60):
+            one = chance.choice(2**62, size, replace=False).astype(np.uint64)
+            left = one[: size - chance.integers(0, size // 5 + 1)]
+            other = np.concatenate((left, chance.choice(2**62, chance.integers(0, size // 4 + 1)).astype(np.uint64)))
+            if 100 * len(left) < 80 * len(np.union1d(one, other)):
+                continue
+            keys = [ngram_join.search_keys(np.sort(s), 80) for s in (one, other)]
+            assert len(np.intersect1d(*keys)) >= ngram_join.spare(min(len(one), len(other)), 80)
+
+
+def test_packed_keys_come_back_and_are_counted_by_pairs():
+    chance = np.random.default_rng(9)
+    pool = chance.integers(0, 2**64, 300, np.uint64)
+    keys = [chance.choice(pool, chance.integers(1, 60), replace=False) for _ in range(40)]
+    rows = list(range(5, 45))
+    found = []
+    for bucket, count, packed in ngram_join.pack_keys(keys, rows):
+        low, numbers = ngram_join.unpack_keys(count, packed)
+        found += [((bucket << 32) + int(k), int(r)) for k, r in zip(low, numbers)]
+    cut = {r: {int(k) >> 20 for k in own} for r, own in zip(rows, keys)}
+    assert sorted(found) == sorted((k, r) for r, own in cut.items() for k in own)
+    few = 6
+    holders = {}
+    for k, r in sorted(found):
+        holders.setdefault(k, []).append(r)
+    expected = {}
+    for own in holders.values():
+        some = [(a, b, False) for a in own for b in own if a < b] if len(own) <= few else [(a, own[0], True) for a in own]
+        for x in some:
+            expected[x] = expected.get(x, 0) + 1
+    a, b, often, hits = ngram_join.common_keys(*map(np.array, zip(*found)), few)
+    assert dict(zip(zip(a.tolist(), b.tolist(), often.tolist()), hits.tolist())) == expected
+
+
+@pytest.mark.parametrize("few", [16, 3])
+def test_documents_that_only_share_passages_are_no_candidates(spark, documents, monkeypatch, few):
+    """Each shares a passage with the next ones; only the copies go on, and no keys stay behind."""
+    monkeypatch.setattr(ngram_join, "FEW", few)
+    passages = [sentence(700 + i, 30) for i in range(24)]
+    rows = [
+        (i, " ".join([sentence(800 + i, 150), *(passages[(i + j) % 24] for j in range(3)), sentence(900 + i, 150)]))
+        for i in range(24)
+    ]
+    rows += [(100 + i, varied(rows[i % 3][1], 1 + i % 4, i)) for i in range(12)]
+    narrow = documents(rows).selectExpr("doc_id", "xxhash64(text) text_hash", "text")
+    written, folders = session.written, []
+
+    def noted(df, name, *more):
+        found = written(df, name, *more)
+        folders.append((name, found.inputFiles()[0].rpartition("/")[0].removeprefix("file:")))
+        return found
+
+    monkeypatch.setattr(ngram_join, "written", noted)
+    classes, candidates = ngram_join._candidates(narrow, 5, 80)
+    found = candidates.join(classes, "row").select("component", "doc_id").collect()
+    groups = {}
+    for r in found:
+        groups.setdefault(r.component, set()).add(r.doc_id)
+    copies = [{g, *(100 + i for i in range(12) if i % 3 == g)} for g in range(3)]
+    assert all(any(c <= g for g in groups.values()) for c in copies)
+    assert set().union(*groups.values()) == set().union(*copies)
+    assert {name: os.path.exists(path) for name, path in folders if name in ("ngram-keys", "ngram-classes")} == {
+        "ngram-keys": False,
+        "ngram-classes": True,
+    }
