@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import pickle
 import random
 
 import numpy as np
@@ -373,3 +374,13 @@ def test_documents_that_only_share_passages_are_no_candidates(spark, documents,
         "ngram-keys": False,
         "ngram-classes": True,
     }
+
+
+def test_little_passes_the_driver(spark, documents, monkeypatch):
+    """What is sent to all executors has a fixed size of 4 MB, and a bit for each document."""
+    sizes, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(
+        type(spark.sparkContext), "broadcast", lambda self, value: sizes.append(len(pickle.dumps(value))) or broadcast(self, value)
+    )
+    assert ngram_join.one_of_each(documents(near_copies())).count() > 0
+    assert sizes and sum(sizes) < 5_000_000
